@@ -8,16 +8,22 @@ keeps its JVM value.
 from __future__ import annotations
 
 import html
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+# Ship the function itself, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # A reference starts with `&` and a letter, or `&#` and a digit or x.
 REFERENCE = "&([A-Za-z]|#[0-9xX])"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _decode(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 

@@ -28,9 +28,6 @@ STOP_WORDS = [
     "link",
 ]
 
-ZERO = F.lit(0.0)
-
-
 def metric_rows(df, metric_type, dim1, dim2, count, pct, score, date, computed_at) -> DataFrame:
     """Project an aggregate into the long form."""
     return df.select(
@@ -38,8 +35,8 @@ def metric_rows(df, metric_type, dim1, dim2, count, pct, score, date, computed_a
         dim1.cast("string").alias("dim1"),
         dim2.cast("string").alias("dim2"),
         count.cast("long").alias("record_count"),
-        F.round(F.coalesce(pct.cast("double"), ZERO), 2).alias("pct"),
-        F.round(F.coalesce(score.cast("double"), ZERO), 4).alias("avg_score"),
+        F.round(F.coalesce(pct.cast("double"), F.lit(0.0)), 2).alias("pct"),
+        F.round(F.coalesce(score.cast("double"), F.lit(0.0)), 4).alias("avg_score"),
         date.cast("string").alias("data_date"),
         F.lit(computed_at).alias("computed_at"),
     )
@@ -94,7 +91,7 @@ def sentiment_trend(df, source, computed_at, grain="day", score="compound", ts="
     date = day(ts) if grain == "day" else F.trunc(day(ts), grain)
     daily = df.groupBy(date.alias("date")).agg(F.count("*").alias("cnt"), F.avg(score).alias("avg_s"))
     return metric_rows(
-        daily, "sentiment_trend", F.col("date"), F.lit(source), F.col("cnt"), ZERO, F.col("avg_s"),
+        daily, "sentiment_trend", F.col("date"), F.lit(source), F.col("cnt"), F.lit(0.0), F.col("avg_s"),
         F.col("date"), computed_at,
     )
 
@@ -145,7 +142,7 @@ def volume_trend(sources: dict[str, DataFrame], computed_at: str, ts: str = "ing
         for name, df in sources.items()
     ]
     return metric_rows(
-        union_rows(*daily), "volume_trend", F.col("date"), F.col("source"), F.col("cnt"), ZERO, ZERO,
+        union_rows(*daily), "volume_trend", F.col("date"), F.col("source"), F.col("cnt"), F.lit(0.0), F.lit(0.0),
         F.col("date"), computed_at,
     )
 

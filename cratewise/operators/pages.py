@@ -7,9 +7,6 @@ expression cannot keep; there a small parser runs inside ``mapInPandas``.
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +14,7 @@ from cratewise.functions.html import unescape_html
 from cratewise.functions.text import SPACES, is_blank, strip, strip_flair
 from cratewise.operators.clean import REACTION_KEYWORDS, is_reaction, null_if_word
 from cratewise.operators.dedup import first_n
+from cratewise.operators.outline import comments_of, posts_of
 
 COMMENTS_PER_POST = 5
 POSTS_PER_SOURCE = 35
@@ -71,132 +69,6 @@ def page_text(pages: DataFrame, n: int | None = None) -> DataFrame:
 
 # --- selector forms -----------------------------------------------------------------
 
-# Elements that never have an end tag.
-VOID = frozenset(
-    "area base br col embed hr img input link meta param source track wbr".split()
-)
-
-
-class _Outline(HTMLParser):
-    """Keeps the open elements as (tag, classes) and feeds two hooks."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.open = []
-
-    def handle_starttag(self, tag, attrs):
-        attrs = {k: v or "" for k, v in attrs}
-        classes = frozenset(attrs.get("class", "").split())
-        self.entered(tag, classes, attrs)
-        if tag not in VOID:
-            self.open.append((tag, classes))
-
-    def handle_startendtag(self, tag, attrs):
-        attrs = {k: v or "" for k, v in attrs}
-        self.entered(tag, frozenset(attrs.get("class", "").split()), attrs)
-
-    def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth][0] == tag:
-                del self.open[depth:]
-                self.left()
-                return
-
-    def entered(self, tag, classes, attrs):
-        pass
-
-    def left(self):
-        pass
-
-
-class _Listing(_Outline):
-    """Posts: ``div.thing.link`` with the text of its first ``a.title``."""
-
-    def __init__(self):
-        super().__init__()
-        self.posts, self.title_depth = [], None
-
-    def entered(self, tag, classes, attrs):
-        if tag == "div" and {"thing", "link"} <= classes:
-            self.posts.append({
-                "titles": 0, "title": "", "depth": len(self.open),
-                "permalink": attrs.get("data-permalink", ""), "score": attrs.get("data-score", "0"),
-            })
-        elif tag == "a" and "title" in classes and self.inside():
-            self.posts[-1]["titles"] += 1
-            if self.posts[-1]["titles"] == 1:
-                self.title_depth = len(self.open)
-
-    def inside(self):
-        return self.posts and len(self.open) > self.posts[-1]["depth"]
-
-    def left(self):
-        if self.title_depth is not None and len(self.open) <= self.title_depth:
-            self.title_depth = None
-
-    def handle_data(self, data):
-        if self.title_depth is not None:
-            self.posts[-1]["title"] += data.strip()
-
-
-class _Thread(_Outline):
-    """Top-level comments: ``div.thing.comment`` right below the site table of
-    the comment area, with the text of the first body in each."""
-
-    def __init__(self):
-        super().__init__()
-        self.comments, self.top, self.body = [], None, None
-
-    def entered(self, tag, classes, attrs):
-        stack = self.open
-        if tag == "div" and {"thing", "comment"} <= classes and self.top is None and len(stack) >= 2:
-            (tag1, area), (tag2, table) = stack[-2:]
-            if tag1 == tag2 == "div" and "commentarea" in area and "sitetable" in table:
-                self.top = len(stack)
-                self.comments.append(None)
-        elif "md" in classes and self.top is not None and self.comments[-1] is None:
-            if any("usertext-body" in c for _, c in stack[self.top:]):
-                self.body = len(stack)
-                self.comments[-1] = []
-
-    def left(self):
-        if self.body is not None and len(self.open) <= self.body:
-            self.body = None
-        if self.top is not None and len(self.open) <= self.top:
-            self.top = None
-
-    def handle_data(self, data):
-        if self.body is not None and data.strip():
-            self.comments[-1].append(data.strip())
-
-
-def _parse(parser, html):
-    parser.feed(html or "")
-    parser.close()
-    return parser
-
-
-def _posts_of(batches):
-    for batch in batches:
-        rows = [
-            (page, pos, post["title"], post["permalink"], post["score"])
-            for page, html in zip(batch["page_id"], batch["html"])
-            for pos, post in enumerate(_parse(_Listing(), html).posts)
-        ]
-        yield pd.DataFrame(rows, columns=["page_id", "pos", "title", "permalink", "score"])
-
-
-def _comments_of(batches):
-    for batch in batches:
-        rows = [
-            (page, pos, " ".join(parts))
-            for page, html in zip(batch["page_id"], batch["html"])
-            for pos, parts in enumerate(_parse(_Thread(), html).comments)
-            if parts
-        ]
-        yield pd.DataFrame(rows, columns=["page_id", "pos", "text"])
-
-
 def listing_posts(pages: DataFrame) -> DataFrame:
     """``(page_id, pos, title, permalink, score)`` of a listing's posts.
 
@@ -205,7 +77,7 @@ def listing_posts(pages: DataFrame) -> DataFrame:
     """
     listings = pages.select("page_id", "html").filter(F.contains("html", F.lit("thing")))
     raw = listings.mapInPandas(
-        _posts_of, "page_id long, pos int, title string, permalink string, score string"
+        posts_of, "page_id long, pos int, title string, permalink string, score string"
     )
     whole = F.coalesce(strip("score").try_cast("long"), F.lit(0)).cast("long")
     return raw.withColumn("score", whole).filter((F.col("title") != "") & (F.col("permalink") != ""))
@@ -215,7 +87,7 @@ def page_comments(pages: DataFrame, n: int = COMMENTS_PER_POST) -> DataFrame:
     """``(page_id, pos, text)``: the first ``n`` top-level comments of a post
     page that are neither empty, deleted nor removed."""
     threads = pages.select("page_id", "html").filter(F.contains("html", F.lit("commentarea")))
-    raw = threads.mapInPandas(_comments_of, "page_id long, pos int, text string")
+    raw = threads.mapInPandas(comments_of, "page_id long, pos int, text string")
     kept = raw.filter((F.col("text") != "") & ~F.col("text").isin("[deleted]", "[removed]"))
     return first_n(kept, ["page_id"], ["pos"], n)
 

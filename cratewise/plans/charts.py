@@ -11,13 +11,17 @@ from cratewise.operators.quality import enforce_schema
 from cratewise.sources.bronze import flatten_artists, flatten_tracks
 
 
+def _silver(flat: DataFrame, names: list[str], schema, mode: str) -> tuple[DataFrame, DataFrame]:
+    valid, rejects = split_invalid(flat, names, "playcount")
+    table, unfit = enforce_schema(dedup_daily(valid, names), schema, mode)
+    return table, rejects if unfit is None else rejects.unionByName(unfit)
+
+
 def silver_artists(records: DataFrame, mode: str = "strict") -> tuple[DataFrame, DataFrame]:
     """``(artists, rejects)`` from ``read_snapshots`` records."""
-    valid, rejects = split_invalid(flatten_artists(records), ["name"], "playcount")
-    return enforce_schema(dedup_daily(valid, ["name"]), schemas.ARTISTS, mode)[0], rejects
+    return _silver(flatten_artists(records), ["name"], schemas.ARTISTS, mode)
 
 
 def silver_tracks(records: DataFrame, mode: str = "strict") -> tuple[DataFrame, DataFrame]:
     """``(tracks, rejects)`` from ``read_snapshots`` records."""
-    valid, rejects = split_invalid(flatten_tracks(records), ["name", "artist_name"], "playcount")
-    return enforce_schema(dedup_daily(valid, ["name", "artist_name"]), schemas.TRACKS, mode)[0], rejects
+    return _silver(flatten_tracks(records), ["name", "artist_name"], schemas.TRACKS, mode)

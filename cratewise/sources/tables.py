@@ -120,7 +120,10 @@ def read_history(spark: SparkSession, path: str, schema: StructType, csv: str |
 
 
 def write_csv(df: DataFrame, folder: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(folder)
+    (
+        df.write.mode("overwrite").option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    )
 
 
 def read_csv(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
