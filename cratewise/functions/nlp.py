@@ -73,105 +73,102 @@ def confidence(text: Column, has_pattern: Column, contrast: Column, words: Colum
     return F.when(words == 0, 0.0).otherwise(clamped)
 
 
-def with_classification(df, text: str, tokens: str | None = None):
-    """Add the classification columns of ``text`` to ``df``.
+def with_once(df, **cols: Column):
+    """Add columns that are computed exactly once per row.
 
-    Each stage is its own projection, so the shared inputs (prepared text,
-    pattern, word count) are computed once per row.
+    The optimizer copies a column's expression into every filter and
+    projection above it, which multiplies long regular-expression chains. A
+    one-row ``inline`` is a step it does not copy expressions across.
     """
-    prepared = F.lower(strip(text))
-    base = df.withColumn("_text", F.coalesce(prepared, F.lit("")))
-    base = base.withColumn("_words", F.col(tokens) if tokens else tokenize("_text"))
-    facts = base.select(
-        "*",
-        F.size("_words").cast("long").alias("word_count"),
-        has_contrast(F.col("_words")).alias("has_contrast"),
-        pattern_type(F.col("_text")).alias("pattern_type"),
-    ).withColumn("has_music_pattern", F.col("pattern_type").isNotNull())
+    row = F.struct(*[value.alias(name) for name, value in cols.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
+def with_classification(df, text: str, tokens: str | None = None):
+    """Add the classification columns of ``text`` to ``df``."""
+    prepared = F.coalesce(F.lower(strip(text)), F.lit(""))
+    base = with_once(df, _text=prepared)
+    base = with_once(base, _words=F.col(tokens) if tokens else tokenize("_text"))
+    facts = with_once(
+        base,
+        word_count=F.size("_words").cast("long"),
+        has_contrast=has_contrast(F.col("_words")),
+        pattern_type=pattern_type(F.col("_text")),
+    )
     pattern, contrast, words = (
         F.col(c) for c in ("has_music_pattern", "has_contrast", "word_count")
     )
-    return facts.select(
-        "*",
-        comment_type(pattern, contrast, words).alias("comment_type"),
-        confidence(F.col("_text"), pattern, contrast, words).alias("confidence"),
+    marked = facts.withColumn("has_music_pattern", F.col("pattern_type").isNotNull())
+    return with_once(
+        marked,
+        comment_type=comment_type(pattern, contrast, words),
+        confidence=confidence(F.col("_text"), pattern, contrast, words),
     ).drop("_text", "_words")
 
 
 # --- extraction -------------------------------------------------------------
 
+# Fixed values per pattern: (points to start with, most words of a song).
+START = {"dash": (2, 6), "by": (3, 8), "colon": (3, 8)}
+# Points that count as certainty. The literal maxima of "by" and "colon" are
+# below the points a comment can reach, so confidence can pass 1; the bounded
+# ones are what can be reached.
+MAXIMUM = {"dash": 8, "by": 7, "colon": 8}
+BOUNDED_MAXIMUM = {"dash": 8, "by": 9, "colon": 10}
+DASH_MINIMUM = 6
+
+
 def _points(condition: Column, points: int) -> Column:
     return F.when(condition, points).otherwise(0)
 
 
-def _between(words: Column, high: int) -> Column:
-    return (words >= 1) & (words <= high)
+def _per_pattern(pattern: Column, values: dict) -> Column:
+    cases = F
+    for name, value in values.items():
+        cases = cases.when(pattern == name, value)
+    return cases
 
 
-def _entity(artist, song, points, maximum) -> Column:
-    return F.struct(
-        artist.alias("artist"),
-        song.alias("song"),
-        F.round(points / F.lit(float(maximum)), 2).alias("extract_confidence"),
-    )
-
+def with_entities(df, text: str, pattern: str = "pattern_type", bounded: bool = False):
+    """Add ``artist``, ``song`` and ``extract_confidence``.
 
-def extract_dash(text: Column) -> Column:
-    """``artist - song``; both are dropped below six of eight points."""
-    left, right = _groups(text, DASH)
-    points = (
-        F.lit(2)
-        + _points(_between(word_count(left), 4), 2)
-        + _points(_between(word_count(right), 6), 2)
-        + _points((F.length(left) < 40) & (F.length(right) < 60), 2)
-    )
-    keep = points >= 6
-    return _entity(F.when(keep, left), F.when(keep, right), points, 8)
+    dash: ``artist - song``, dropped below six points; by: ``song by artist``;
+    colon: ``artist: song``. No text or no pattern gives (null, null, 0).
+    """
+    kind = F.col(pattern)
 
+    def side(group):
+        regexes = {"dash": DASH, "by": BY_ANY_CASE, "colon": COLON}
+        found = {k: F.regexp_extract("_text", regex, group) for k, regex in regexes.items()}
+        return F.nullif(_per_pattern(kind, found), F.lit(""))
 
-def extract_by(text: Column, bounded: bool = False) -> Column:
-    """``song by artist``; the literal maximum of 7 lets confidence pass 1."""
-    song, artist = _groups(text, BY_ANY_CASE)
-    points = (
-        F.lit(3)
-        + _points(_between(word_count(artist), 4), 2)
-        + _points(_between(word_count(song), 8), 2)
-        + _points((F.length(song) < 80) & (F.length(artist) < 40), 2)
+    sides = with_once(with_once(df, _text=strip(text)), _left=side(1), _right=side(2))
+    swapped = kind == "by"
+    named = sides.select(
+        "*",
+        F.when(swapped, F.col("_right")).otherwise(F.col("_left")).alias("_artist"),
+        F.when(swapped, F.col("_left")).otherwise(F.col("_right")).alias("_song"),
     )
-    return _entity(artist, song, points, 9 if bounded else 7)
-
-
-def extract_colon(text: Column, bounded: bool = False) -> Column:
-    """``artist: song``; the literal maximum of 8 lets confidence pass 1."""
-    artist, song = _groups(text, COLON)
+    artist, song = F.col("_artist"), F.col("_song")
+    short = {
+        "dash": (F.length(artist) < 40) & (F.length(song) < 60),
+        "by": (F.length(song) < 80) & (F.length(artist) < 40),
+        "colon": F.length(song) < 80,
+    }
     all_lower = artist.rlike(r"\p{Ll}") & ~artist.rlike(r"[\p{Lu}\p{Lt}]")
     points = (
-        F.lit(3)
-        + _points(_between(word_count(artist), 4), 2)
-        + _points(_between(word_count(song), 8), 2)
-        + _points(~all_lower, 1)
-        + _points(F.length(song) < 80, 2)
-    )
-    return _entity(artist, song, points, 10 if bounded else 8)
-
-
-def extract_entities(text, pattern, bounded: bool = False) -> Column:
-    """Struct ``(artist, song, extract_confidence)`` for the given pattern."""
-    text = strip(text)
-    pattern = F.col(pattern) if isinstance(pattern, str) else pattern
-    nothing = F.struct(
-        F.lit(None).cast("string").alias("artist"),
-        F.lit(None).cast("string").alias("song"),
-        F.lit(0.0).alias("extract_confidence"),
-    )
-    return (
-        F.when((pattern == "dash") & text.rlike(DASH), extract_dash(text))
-        .when((pattern == "by") & text.rlike(BY_ANY_CASE), extract_by(text, bounded))
-        .when((pattern == "colon") & text.rlike(COLON), extract_colon(text, bounded))
-        .otherwise(nothing)
+        _per_pattern(kind, {k: start for k, (start, _) in START.items()})
+        + _points(word_count(artist).between(1, 4), 2)
+        + _points(word_count(song).between(1, _per_pattern(kind, {k: most for k, (_, most) in START.items()})), 2)
+        + _points(_per_pattern(kind, short), 2)
+        + _points((kind == "colon") & ~all_lower, 1)
     )
-
-
-def with_entities(df, text: str, pattern: str = "pattern_type", bounded: bool = False):
-    """Add ``artist``, ``song`` and ``extract_confidence``."""
-    return df.withColumn("_e", extract_entities(text, pattern, bounded)).select("*", "_e.*").drop("_e")
+    scored = with_once(named, _points=F.when(artist.isNotNull(), points))
+    kept = (kind != "dash") | (F.col("_points") >= DASH_MINIMUM)
+    maximum = _per_pattern(kind, {k: float(v) for k, v in (BOUNDED_MAXIMUM if bounded else MAXIMUM).items()})
+    return scored.select(
+        "*",
+        F.when(kept, artist).alias("artist"),
+        F.when(kept, song).alias("song"),
+        F.coalesce(F.round(F.col("_points") / maximum, 2), F.lit(0.0)).alias("extract_confidence"),
+    ).drop("_text", "_left", "_right", "_artist", "_song", "_points")

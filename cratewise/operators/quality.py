@@ -279,6 +279,6 @@ def top_name(name: str, metric: str) -> Column:
     return F.max(F.struct(F.col(metric), F.col(name)))[name]
 
 
-def with_artist(artist: str = "artist") -> Column:
+def with_artist(artist="artist") -> Column:
     """Aggregate: rows that have an extracted artist."""
     return F.count_if(~is_blank(artist))

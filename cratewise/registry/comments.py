@@ -310,16 +310,28 @@ ANNOTATED_SQL = f"""SELECT a.*, compound, {LABEL} AS sentiment FROM ({extracted_
   JOIN ({compound_sql(f"SELECT id, text AS clean FROM ({STAMPED_SQL}) st")}) c ON c.id = a.id"""
 
 
-def annotated(t):
+def stamped(t):
     docs = t.documents.select(
         F.concat(F.lit("doc"), "doc_id").alias("id"), F.expr(DOC_STAMP).alias("ingested_at"), "text"
     )
     parts = comments(t).select(
         F.concat(F.lit("part"), "comment_id").alias("id"), "ingested_at", F.col("raw_comment").alias("text")
     )
-    rows = scored(t, docs.unionByName(parts))
-    marked = with_entities(with_classification(rows, "clean", "tokens"), "clean")
-    return marked.withColumn("sentiment", sentiment_label("compound"))
+    return docs.unionByName(parts)
+
+
+def classified(t):
+    ready = stamped(t).withColumn("clean", clean_comment("text"))
+    return with_entities(with_classification(ready, "clean"), "clean")
+
+
+def rated(t):
+    return scored(t, stamped(t)).withColumn("sentiment", sentiment_label("compound"))
+
+
+def annotated(t):
+    rows = with_classification(scored(t, stamped(t)), "clean", "tokens")
+    return with_entities(rows, "clean").withColumn("sentiment", sentiment_label("compound"))
 
 
 def metric_sql(kind, dim1, dim2, count, pct, score, date, source):
@@ -337,10 +349,10 @@ def _dist_sql(kind, column, score):
 
 
 query("sentiment_dist", _dist_sql("sentiment_dist", "sentiment", "compound"))(
-    lambda t: m.sentiment_dist(annotated(t), "community", COMPUTED_AT)
+    lambda t: m.sentiment_dist(rated(t), "community", COMPUTED_AT)
 )
 query("comment_type_dist", _dist_sql("comment_type_dist", "comment_type", "confidence"))(
-    lambda t: m.comment_type_dist(annotated(t), "community", COMPUTED_AT)
+    lambda t: m.comment_type_dist(classified(t), "community", COMPUTED_AT)
 )
 
 
@@ -355,7 +367,7 @@ DAY = "CAST(ingested_at[1:10] AS DATE)"
 @query("sentiment_trend", f"""SELECT 'day' AS grain, * FROM ({_trend_sql(DAY)}) a
   UNION ALL SELECT 'week', * FROM ({_trend_sql(f"CAST(date_trunc('week', {DAY}) AS DATE)")}) b""")
 def sentiment_trend(t):
-    rows = annotated(t)
+    rows = rated(t)
     by = [m.sentiment_trend(rows, "community", COMPUTED_AT, grain).select(F.lit(grain).alias("grain"), "*") for grain in ("day", "week")]
     return m.union_rows(*by)
 
@@ -377,13 +389,13 @@ BUCKET_SQL = "CASE WHEN avg_score >= 0.05 THEN 'positive' WHEN avg_score <= -0.0
 def top_keywords(t):
     from cratewise.functions.labels import sentiment_bucket
 
-    return m.top_keywords(annotated(t), "community", COMPUTED_AT).withColumn("bucket", sentiment_bucket("avg_score"))
+    return m.top_keywords(rated(t), "community", COMPUTED_AT).withColumn("bucket", sentiment_bucket("avg_score"))
 
 
 @query("top_keywords_stop_table", TOP_KEYWORDS_SQL)
 def top_keywords_stop_table(t):
     stop = t.spark.createDataFrame([(w,) for w in m.STOP_WORDS], "word string")
-    return m.top_keywords(annotated(t), "community", COMPUTED_AT, stop)
+    return m.top_keywords(rated(t), "community", COMPUTED_AT, stop)
 
 
 MENTIONS_SQL = f"SELECT artist AS g, compound FROM ({ANNOTATED_SQL}) an WHERE artist IS NOT NULL AND artist NOT IN ('unknown', '')"
@@ -417,8 +429,8 @@ FILLED = """p_partkey, CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_brand END AS br
 
 
 @query("fill_unknown", f"""SELECT p_partkey, coalesce(brand, 'unknown') AS brand, coalesce(kind, 'unknown') AS kind,
-    sum(CASE WHEN brand IS NULL THEN 1 ELSE 0 END) OVER () AS brand_filled,
-    sum(CASE WHEN kind IS NULL THEN 1 ELSE 0 END) OVER () AS kind_filled FROM (SELECT {FILLED} FROM part) p""")
+    count(*) FILTER (brand IS NULL) OVER () AS brand_filled,
+    count(*) FILTER (kind IS NULL) OVER () AS kind_filled FROM (SELECT {FILLED} FROM part) p""")
 def fill_unknown(t):
     raw = t.part.selectExpr(
         "p_partkey", "CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_brand END AS brand",
