@@ -74,7 +74,7 @@ def duplicate_report(df: DataFrame, keys: list[str]) -> DataFrame:
         F.coalesce(F.sum("_n") - F.count("*"), F.lit(0)).alias("key_dups"),
     )
     def share(c):
-        return F.coalesce(F.round(F.try_divide(F.col(c) * 100, F.col("total")), 2), F.lit(0.0))
+        return F.coalesce(F.round(F.try_divide(F.col(c), F.col("total")) * 100, 2), F.lit(0.0))
 
     return totals.select(
         "*", share("exact_dups").alias("exact_rate"), share("key_dups").alias("key_rate")

@@ -54,9 +54,9 @@ def share_within(df: DataFrame, part: str, x: str, name: str = "pct") -> DataFra
     A window would bring a whole day to one task. The totals hold at most one
     row per calendar day, so they are broadcast instead and no row moves.
     """
-    totals = df.groupBy(part).agg(F.sum(x).alias("_total"))
-    joined = df.join(F.broadcast(totals), F.col(part).eqNullSafe(totals[part])).drop(totals[part])
-    return joined.withColumn(name, F.try_divide(F.col(x), F.col("_total")) * 100).drop("_total")
+    totals = df.groupBy(F.col(part).alias("_part")).agg(F.sum(x).alias("_total"))
+    joined = df.join(F.broadcast(totals), F.col(part).eqNullSafe(F.col("_part")))
+    return joined.withColumn(name, F.try_divide(F.col(x), F.col("_total")) * 100).drop("_part", "_total")
 
 
 def top_k(df: DataFrame, order: list, k: int) -> DataFrame:
@@ -216,23 +216,25 @@ def sentiment_summary(metrics: DataFrame) -> DataFrame:
 
 def histogram(df: DataFrame, col: str, bins: int, by: str | None = None) -> DataFrame:
     """``(by, bin, low, high, n)``: equal-width bins over each group's range,
-    the last one closed. Empty bins are left out."""
+    the last one closed; a range of one value is widened by a half on either
+    side. Empty bins are left out."""
     group = F.col(by).cast("string") if by else F.lit("all")
     values = df.select(group.alias("by"), F.col(col).cast("double").alias("value")).filter("value IS NOT NULL")
-    ranges = values.groupBy("by").agg(F.min("value").alias("first"), F.max("value").alias("last"))
-    width = (F.col("last") - F.col("first")) / bins
-    slot = F.floor(F.try_divide((F.col("value") - F.col("first")) * bins, F.col("last") - F.col("first")))
+    ends = values.groupBy("by").agg(F.min("value").alias("a"), F.max("value").alias("z"))
+    widen = F.when(F.col("a") == F.col("z"), 0.5).otherwise(0.0)
+    ranges = ends.select("by", (F.col("a") - widen).alias("first"), (F.col("z") + widen).alias("last"))
+    span = F.col("last") - F.col("first")
     # Equal values meet before the shuffle, so a hot group stays small.
     counted = values.groupBy("by", "value").agg(F.count("*").alias("n"))
     return (
         counted.join(broadcast_if_small(ranges), "by")
-        .withColumn("bin", F.coalesce(F.least(slot, F.lit(bins - 1)), F.lit(0)))
+        .withColumn("bin", F.least(F.floor((F.col("value") - F.col("first")) * bins / span), F.lit(bins - 1)))
         .groupBy("by", "bin", "first", "last")
         .agg(F.sum("n").alias("n"))
         .select(
             "by", "bin",
-            F.round(F.col("first") + width * F.col("bin"), 4).alias("low"),
-            F.round(F.col("first") + width * (F.col("bin") + 1), 4).alias("high"),
+            F.round(F.col("first") + span / bins * F.col("bin"), 4).alias("low"),
+            F.round(F.col("first") + span / bins * (F.col("bin") + 1), 4).alias("high"),
             "n",
         )
     )

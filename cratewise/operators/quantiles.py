@@ -185,7 +185,7 @@ def iqr_table(df: DataFrame, cols: list[str]) -> DataFrame:
     return counts.select(
         "field", *[two(c) for c in ("q1", "med", "q3", "iqr", "lo", "hi", "lo_whisker", "hi_whisker")],
         "n", "n_out",
-        F.round(F.try_divide(F.col("n_out") * 100, F.col("rows")), 2).alias("rate"),
+        F.round(F.try_divide(F.col("n_out"), F.col("rows")) * 100, 2).alias("rate"),
     )
 
 
@@ -216,7 +216,7 @@ def outlier_rates(df: DataFrame, cols: list[str], err: float = 0.01) -> DataFram
     return (
         values.join(limits, "field")
         .groupBy("field")
-        .agg(F.round(F.try_divide(F.count_if(outside) * 100, F.count("*")), 4).alias("rate"))
+        .agg(F.round(F.try_divide(F.count_if(outside), F.count("*")) * 100, 4).alias("rate"))
     )
 
 

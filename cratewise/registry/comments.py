@@ -344,7 +344,7 @@ LATEST = f"(SELECT max(ingested_at)[1:10] FROM ({STAMPED_SQL}) st2)"
 
 
 def _dist_sql(kind, column, score):
-    groups = f"(SELECT {column} AS g, count(*) AS cnt, avg({score}) AS s, count(*) * 100.0 / sum(count(*)) OVER () AS pct FROM ({ANNOTATED_SQL}) an GROUP BY {column}) gr"
+    groups = f"(SELECT {column} AS g, count(*) AS cnt, avg({score}) AS s, count(*) / sum(count(*)) OVER () * 100 AS pct FROM ({ANNOTATED_SQL}) an GROUP BY {column}) gr"
     return metric_sql(kind, "g", "'community'", "cnt", "pct", "s", LATEST, groups)
 
 
@@ -373,7 +373,7 @@ def sentiment_trend(t):
 
 
 def _top_sql(kind, tokens, k):
-    groups = f"""(SELECT *, cnt * 100.0 / sum(cnt) OVER () AS pct FROM (SELECT g, count(*) AS cnt, avg(compound) AS s
+    groups = f"""(SELECT *, cnt / sum(cnt) OVER () * 100 AS pct FROM (SELECT g, count(*) AS cnt, avg(compound) AS s
       FROM ({tokens}) tk GROUP BY g ORDER BY cnt DESC, g LIMIT {k}) lim) gr"""
     return metric_sql(kind, "g", "'community'", "cnt", "pct", "s", LATEST, groups)
 

@@ -38,17 +38,17 @@ def _each(columns, row):
 
 query("null_rate", f"""WITH g AS ({GAPPY_SQL}) SELECT true AS blanks, * FROM ({_each(GAPPY_FIELDS, '''
     SELECT '{c}' AS field, count(*) FILTER ({c} IS NULL OR CAST({c} AS VARCHAR) = '') AS n,
-      round(count(*) FILTER ({c} IS NULL OR CAST({c} AS VARCHAR) = '') * 100.0 / count(*), 4) AS rate FROM g''')}) a
+      round(count(*) FILTER ({c} IS NULL OR CAST({c} AS VARCHAR) = '') / count(*) * 100, 4) AS rate FROM g''')}) a
   UNION ALL SELECT false, * FROM ({_each(GAPPY_FIELDS, '''
-    SELECT '{c}', count(*) FILTER ({c} IS NULL), round(count(*) FILTER ({c} IS NULL) * 100.0 / count(*), 4) FROM g''')}) b""")(
+    SELECT '{c}', count(*) FILTER ({c} IS NULL), round(count(*) FILTER ({c} IS NULL) / count(*) * 100, 4) FROM g''')}) b""")(
     lambda t: union_rows(*[
         q.null_rates(gappy(t), blanks).select(F.lit(blanks).alias("blanks"), "*") for blanks in (True, False)])
 )
 
 query("null_unknown_rate", f"""WITH g AS ({GAPPY_SQL}) SELECT * FROM ({_each(GAPPY_FIELDS, '''
-    SELECT '{c}' AS field, count(*) FILTER ({c} IS NULL) AS nulls, round(count(*) FILTER ({c} IS NULL) * 100.0 / count(*), 2) AS null_rate,
+    SELECT '{c}' AS field, count(*) FILTER ({c} IS NULL) AS nulls, round(count(*) FILTER ({c} IS NULL) / count(*) * 100, 2) AS null_rate,
       count(*) FILTER (CAST({c} AS VARCHAR) = 'unknown') AS unknowns,
-      round(count(*) FILTER (CAST({c} AS VARCHAR) = 'unknown') * 100.0 / count(*), 2) AS unknown_rate FROM g''')}) a
+      round(count(*) FILTER (CAST({c} AS VARCHAR) = 'unknown') / count(*) * 100, 2) AS unknown_rate FROM g''')}) a
   WHERE nulls + unknowns > 0""")(
     lambda t: q.relevant_nulls(q.null_unknown_rates(gappy(t)))
 )
@@ -57,7 +57,7 @@ query("null_unknown_rate", f"""WITH g AS ({GAPPY_SQL}) SELECT * FROM ({_each(GAP
 def _compliance_sql(columns):
     ok = " AND ".join(f"{c} IS NOT NULL" for c in columns)
     return f"""SELECT count(*) AS total, count(*) FILTER ({ok}) AS compliant,
-      round(count(*) FILTER ({ok}) * 100.0 / count(*), 4) AS compliance FROM ({GAPPY_SQL}) g"""
+      round(count(*) FILTER ({ok}) / count(*) * 100, 4) AS compliance FROM ({GAPPY_SQL}) g"""
 
 
 REQUIRED = ["id", "status", "segment", "ingested_at"]
@@ -78,7 +78,7 @@ def _iqr_sql(table, c):
     return f"""SELECT field, round(q1, 2) AS q1, round(med, 2) AS med, round(q3, 2) AS q3, round(q3 - q1, 2) AS iqr,
       round(lo, 2) AS lo, round(hi, 2) AS hi, n,
       (SELECT count(*) FROM {table} WHERE {c} < lo OR {c} > hi) AS n_out,
-      round((SELECT count(*) FROM {table} WHERE {c} < lo OR {c} > hi) * 100.0 / n, 2) AS rate,
+      round((SELECT count(*) FROM {table} WHERE {c} < lo OR {c} > hi) / n * 100, 2) AS rate,
       round((SELECT CAST(min({c}) AS DOUBLE) FROM {table} WHERE {c} >= lo AND {c} <= hi), 2) AS lo_whisker,
       round((SELECT CAST(max({c}) AS DOUBLE) FROM {table} WHERE {c} >= lo AND {c} <= hi), 2) AS hi_whisker
     FROM (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM ({_box_sql(table, c)}) b) f"""
@@ -126,7 +126,7 @@ def outlier_rate_approx(t):
         outside = (F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))
         facts = numbers.join(F.broadcast(box), "field").groupBy("field").agg(
             within("q1", 0.25).alias("q1_within"), within("q3", 0.75).alias("q3_within"),
-            F.round(F.count_if(outside) * 100 / F.count("*"), 4).alias("expected"),
+            F.round(F.count_if(outside) / F.count("*") * 100, 4).alias("expected"),
         )
         rates = qt.outlier_rates(df, cols, q.OUTLIER_ERROR)
         return facts.join(F.broadcast(rates), "field").select(
@@ -197,15 +197,15 @@ def report(t):
 def _report_sql(name, source, fields, numbers, texts):
     rows = ["SELECT 'ALL' AS field_name, 'volume' AS kpi_type, CAST(count(*) AS DOUBLE) AS value, 'count' AS unit FROM g"]
     rows += [
-        f"SELECT '{c}', 'null_rate', round(count(*) FILTER ({c} IS NULL OR CAST({c} AS VARCHAR) = '') * 100.0 / count(*), 4), 'percentage' FROM g"
+        f"SELECT '{c}', 'null_rate', round(count(*) FILTER ({c} IS NULL OR CAST({c} AS VARCHAR) = '') / count(*) * 100, 4), 'percentage' FROM g"
         for c in fields
     ]
     whole = " AND ".join(f"{c} IS NOT NULL" for c in fields)
-    rows.append(f"SELECT 'ALL', 'schema_compliance', round(count(*) FILTER ({whole}) * 100.0 / count(*), 4), 'percentage' FROM g")
+    rows.append(f"SELECT 'ALL', 'schema_compliance', round(count(*) FILTER ({whole}) / count(*) * 100, 4), 'percentage' FROM g")
     for c in numbers:
         fence = f"(SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM g)"
         rows.append(
-            f"SELECT '{c}', 'outlier_rate', round(count(*) FILTER (q1 <> q3 AND ({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1))) * 100.0 / count(*), 4), 'percentage' FROM g, {fence} f"
+            f"SELECT '{c}', 'outlier_rate', round(count(*) FILTER (q1 <> q3 AND ({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1))) / count(*) * 100, 4), 'percentage' FROM g, {fence} f"
         )
     for c in texts:
         for kpi, value in (
@@ -259,8 +259,8 @@ query("dedup_exact", f"SELECT DISTINCT * FROM ({PLAIN_SQL}) p")(
 
 query("duplicate_report", f"""SELECT count(*) AS total, count(*) - count(DISTINCT (user_id, event_type, day)) AS exact_dups,
     count(*) - count(DISTINCT (user_id, day)) AS key_dups,
-    round((count(*) - count(DISTINCT (user_id, event_type, day))) * 100.0 / count(*), 2) AS exact_rate,
-    round((count(*) - count(DISTINCT (user_id, day))) * 100.0 / count(*), 2) AS key_rate FROM ({PLAIN_SQL}) p""")(
+    round((count(*) - count(DISTINCT (user_id, event_type, day))) / count(*) * 100, 2) AS exact_rate,
+    round((count(*) - count(DISTINCT (user_id, day))) / count(*) * 100, 2) AS key_rate FROM ({PLAIN_SQL}) p""")(
     lambda t: dd.duplicate_report(
         t.events.select("user_id", "event_type", F.to_date("ts").alias("day")), ["user_id", "day"])
 )

@@ -1 +1,35 @@
+"""Structured Streaming over the event table, compared with the batch result."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cratewise.registry.base import query
+from cratewise.session import work_path
+from cratewise.sources import tables
+from cratewise.streaming.ingest import daily_volume_stream, ingest_stream, write_daily_volume
+
+
+def events_stream(t):
+    schema = t.events.schema
+    return t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
+
+
+@query("stream_dedup_daily", """SELECT user_id, event_id, value, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ingested_at, CAST(ts AS DATE) AS day
+  FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1""")
+def stream_dedup_daily(t):
+    rows = events_stream(t).select(
+        "user_id", "event_id", "value", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ingested_at"))
+    folder = work_path(t.spark, "stream-silver")
+    ingest_stream(rows, folder, f"{folder}-checkpoint", ["user_id"], ties=["event_id"]).awaitTermination()
+    return tables.read_table(t.spark, folder, tables.day_schema(rows.schema))
+
+
+@query("stream_daily_volume", """SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS record_count, round(avg(value), 6) AS avg_score
+  FROM events GROUP BY ALL""")
+def stream_daily_volume(t):
+    rows = events_stream(t).select("event_type", "value", F.col("ts").cast("timestamp").alias("ts"))
+    volumes = daily_volume_stream(rows, "ts", "2 days", "event_type", "value")
+    folder = work_path(t.spark, "stream-volume")
+    write_daily_volume(volumes, folder, f"{folder}-checkpoint", "event_type").awaitTermination()
+    return tables.read_table(t.spark, folder).select("day", "event_type", "record_count", F.round("avg_score", 6).alias("avg_score"))
