@@ -30,4 +30,5 @@ def _decode(text: pd.Series) -> pd.Series:
 
 def unescape_html(c) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(_decode(F.when(c.rlike(REFERENCE), c)), c)
+    referring = F.contains(c, F.lit("&")) & c.rlike(REFERENCE)
+    return F.coalesce(_decode(F.when(referring, c)), c)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cratewise.functions.once import with_once
 from cratewise.functions.text import WORD, WS, strip, tokenize, word_count
 
 # Contrast markers.
@@ -21,6 +22,9 @@ BY = f"^{_GAP}{_ANY}[{WS}]+by[{WS}]+{_ANY}{_GAP}$"
 COLON = f"^{_GAP}{_ANY}{_GAP}:{_GAP}{_ANY}{_GAP}$"
 BY_ANY_CASE = BY.replace("by", "[bB][yY]")
 
+MOST_WORDS = 17
+# What `clean_comment` leaves of the characters that are neither word nor space.
+CLEAN_SYMBOLS = "/&-'"
 SYMBOL = f"[^{WORD}{WS}]"
 
 
@@ -37,13 +41,18 @@ def _fits(text: Column, pattern: str, left_words: int, right_words: int) -> Colu
     )
 
 
-def pattern_type(text: Column) -> Column:
-    """First pattern that matches within its word limits, else null."""
-    return (
+def pattern_type(text: Column, words: Column) -> Column:
+    """First pattern that matches within its word limits, else null.
+
+    The limits leave at most 17 words (8 + a lone dash + 8), so longer text
+    never meets a regular expression.
+    """
+    first = (
         F.when(_fits(text, DASH, 8, 8), "dash")
         .when(_fits(text, BY, 10, 5), "by")
         .when(_fits(text, COLON, 5, 10), "colon")
     )
+    return F.when(words <= MOST_WORDS, first)
 
 
 def has_contrast(tokens: Column) -> Column:
@@ -60,40 +69,39 @@ def comment_type(has_pattern: Column, contrast: Column, words: Column) -> Column
     )
 
 
-def confidence(text: Column, has_pattern: Column, contrast: Column, words: Column) -> Column:
+def confidence(symbols: Column, has_pattern: Column, contrast: Column, words: Column) -> Column:
+    """``symbols`` is the number of characters that are neither word nor space."""
     points = (
         F.when(has_pattern, 45).otherwise(0)
         + F.when(words <= 5, 25).when(words <= 10, 15).when(words > 20, -15).otherwise(0)
         + F.when(contrast, -20).otherwise(0)
         + F.when(has_pattern & (contrast | (words > 6)), -10).otherwise(0)
-        + F.when(F.regexp_count(text, F.lit(SYMBOL)) > 5, -10).otherwise(0)
+        + F.when(symbols > 5, -10).otherwise(0)
         + F.when(words < 2, -20).otherwise(0)
     )
     clamped = F.greatest(F.lit(0), F.least(F.lit(100), points)) / F.lit(100.0)
     return F.when(words == 0, 0.0).otherwise(clamped)
 
 
-def with_once(df, **cols: Column):
-    """Add columns that are computed exactly once per row.
+def with_classification(df, text: str, tokens: str | None = None):
+    """Add the classification columns of ``text`` to ``df``.
 
-    The optimizer copies a column's expression into every filter and
-    projection above it, which multiplies long regular-expression chains. A
-    one-row ``inline`` is a step it does not copy expressions across.
+    With ``tokens`` given, ``text`` is a cleaned comment and ``tokens`` its
+    tokens; any other text is trimmed, lower-cased and tokenised here.
     """
-    row = F.struct(*[value.alias(name) for name, value in cols.items()])
-    return df.select("*", F.inline(F.array(row)))
-
-
-def with_classification(df, text: str, tokens: str | None = None):
-    """Add the classification columns of ``text`` to ``df``."""
-    prepared = F.coalesce(F.lower(strip(text)), F.lit(""))
-    base = with_once(df, _text=prepared)
-    base = with_once(base, _words=F.col(tokens) if tokens else tokenize("_text"))
+    if tokens:
+        base = df.select("*", F.col(text).alias("_text"), F.col(tokens).alias("_words"))
+        kept = F.translate("_text", CLEAN_SYMBOLS, "")
+        symbols = F.length("_text") - F.length(kept)
+    else:
+        base = with_once(df, _text=F.coalesce(F.lower(strip(text)), F.lit("")))
+        base = with_once(base, _words=tokenize("_text"))
+        symbols = F.regexp_count("_text", F.lit(SYMBOL))
+    counted = base.withColumn("word_count", F.size("_words").cast("long"))
     facts = with_once(
-        base,
-        word_count=F.size("_words").cast("long"),
+        counted,
         has_contrast=has_contrast(F.col("_words")),
-        pattern_type=pattern_type(F.col("_text")),
+        pattern_type=pattern_type(F.col("_text"), F.col("word_count")),
     )
     pattern, contrast, words = (
         F.col(c) for c in ("has_music_pattern", "has_contrast", "word_count")
@@ -102,7 +110,7 @@ def with_classification(df, text: str, tokens: str | None = None):
     return with_once(
         marked,
         comment_type=comment_type(pattern, contrast, words),
-        confidence=confidence(F.col("_text"), pattern, contrast, words),
+        confidence=confidence(symbols, pattern, contrast, words),
     ).drop("_text", "_words")
 
 

@@ -19,6 +19,8 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cratewise.functions.once import with_once
+
 # Rule constants of the published method.
 NORMAL = 15.0
 NEGATION_FACTOR = -0.74
@@ -122,22 +124,24 @@ def _compound(total: Column) -> Column:
     return F.round(total / F.sqrt(total * total + F.lit(NORMAL)), 4)
 
 
-def compound(tokens: str, lexicon: dict[str, float], negations=NEGATIONS, boosters=BOOSTERS) -> Column:
+def with_compound(df, tokens: str, lexicon: dict[str, float], negations=NEGATIONS, boosters=BOOSTERS) -> DataFrame:
     """Row-local score of a token array column for a bounded lexicon."""
     words = {w: v for w, v in lexicon.items() if w not in boosters}
     if not words:
-        return F.lit(0.0)
+        return df.withColumn("compound", F.lit(0.0))
     known = "{} IN (" + ", ".join(_quote(w) for w in lexicon) + ")"
     rules = _rules(
         _case(words, "t"),
         [f"get({tokens}, i - {k})" for k in (1, 2, 3)],
         known, boosters, negations,
     )
-    weight = _contrast_weight("i + 1", f"array_position({tokens}, {_quote(CONTRAST)})")
+    weight = _contrast_weight("i + 1", "_contrast_at")
     is_word = "t IN (" + ", ".join(_quote(w) for w in words) + ")"
     scored = f"transform({tokens}, (t, i) -> CASE WHEN {is_word} THEN {rules} * {weight} ELSE 0.0D END)"
-    total = F.expr(f"aggregate({scored}, 0.0D, (acc, x) -> acc + x)")
-    return F.coalesce(_compound(total), F.lit(0.0))
+    # The contrast word is looked up once per comment, not once per token.
+    placed = with_once(df, _contrast_at=F.expr(f"array_position({tokens}, {_quote(CONTRAST)})"))
+    total = with_once(placed, _total=F.expr(f"aggregate({scored}, 0.0D, (acc, x) -> acc + x)"))
+    return total.withColumn("compound", F.coalesce(_compound(F.col("_total")), F.lit(0.0))).drop("_contrast_at", "_total")
 
 
 def lookup_valence(tokens_df: DataFrame, lexicon_df: DataFrame) -> DataFrame:
@@ -200,7 +204,7 @@ def score_sentiment(
     sample = lexicon_df.select("token", F.col("valence").cast("double")).limit(limit + 1).collect()
     if len(sample) <= limit:
         lexicon = {r["token"]: r["valence"] for r in sample}
-        return df.withColumn("compound", compound(tokens, lexicon, negations, boosters))
+        return with_compound(df, tokens, lexicon, negations, boosters)
     return _score_by_join(df, key, tokens, lexicon_df, negations, boosters)
 
 

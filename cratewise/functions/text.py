@@ -22,6 +22,8 @@ LINK = f"http[^{WS}]+|www\\.[^{WS}]+"
 PUNCTUATION = f"[^{WORD}{WS}/&\\-']"
 PART_BREAK = f"\\n+|(?<=\\))[{WS}]+(?=[A-Z])"
 FLAIR = f"^\\[[^\\n]*?\\][{WS}]*"
+# A whitespace run that is not already one plain space.
+UNEVEN = f"[{WS}&&[^ ]][{WS}]*| [{WS}]+"
 # One greedy run from the first to the last visible character: linear even on
 # text with very long blank stretches, where `\s+$` would be quadratic.
 VISIBLE = f"(?s)[^{WS}].*[^{WS}]|[^{WS}]"
@@ -43,7 +45,7 @@ def is_blank(c) -> Column:
 
 
 def normalize_text(c) -> Column:
-    return F.lower(F.trim(F.regexp_replace(_col(c), SPACES, " ")))
+    return F.lower(F.trim(F.regexp_replace(_col(c), UNEVEN, " ")))
 
 
 def remove_links(c) -> Column:
@@ -51,8 +53,11 @@ def remove_links(c) -> Column:
 
     The markdown rule ``[..](http..)`` needs an ``http`` followed by a visible
     character, and none is left after bare links are gone, so one pass does.
+    A plain substring test spares most text the regular expression.
     """
-    return F.regexp_replace(_col(c), LINK, "")
+    c = _col(c)
+    linked = F.contains(c, F.lit("http")) | F.contains(c, F.lit("www."))
+    return F.when(linked, F.regexp_replace(c, LINK, "")).otherwise(c)
 
 
 def clean_punctuation(c) -> Column:
@@ -75,9 +80,10 @@ def split_comment(c) -> Column:
     return F.array_remove(parts, "")
 
 
-def tokenize(c) -> Column:
-    """Whitespace tokens; empty text gives an empty array."""
-    return F.array_remove(F.split(_col(c), SPACES, -1), "")
+def tokenize(c, clean: bool = False) -> Column:
+    """Whitespace tokens; empty text gives an empty array. In ``clean`` text
+    the only whitespace is the single space."""
+    return F.array_remove(F.split(_col(c), " " if clean else SPACES, -1), "")
 
 
 def word_count(c) -> Column:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cratewise.functions.text import split_comment
+from cratewise.functions.text import is_blank, split_comment
 
 
 def explode_comments(posts: DataFrame, comments: str = "comments") -> DataFrame:
@@ -27,19 +29,41 @@ def struct_to_columns(df: DataFrame, col: str) -> DataFrame:
     return df.select("*", f"{col}.*").drop(col)
 
 
-def dense_ids(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
-    """Running index 0..n-1 over (group, order) without a global sort.
+ID_BLOCK = 65_536
+
+
+def number_comments(
+    posts: DataFrame, comments: str = "comments", post: str = "post_id",
+    keep: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """One row per non-blank comment with its running ``raw_comment_id``.
 
-    Every group (an input file) numbers its own rows; the groups' row counts,
-    one row per file, give the offsets.
+    Ids run in (post, position) order over all posts, without a global sort:
+    posts are numbered in blocks of consecutive ids, each a bounded window,
+    and the blocks' totals (one row per 65,536 posts) give the offsets. The
+    blocks also spread the posts of a large file evenly. ``post`` must be a
+    unique whole number. ``keep`` is a further condition on a comment.
     """
-    within = Window.partitionBy(group).orderBy(*order)
-    sizes = df.groupBy(group).agg(F.count("*").alias("_n"))
-    before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    numbered = df.withColumn("_row", F.row_number().over(within) - 1)
+    def wanted(entry: Column) -> Column:
+        text = entry["raw_comment"]
+        return ~is_blank(text) & keep(text) if keep else ~is_blank(text)
+
+    entries = F.transform(
+        comments, lambda c, i: F.struct(i.alias("comment_pos"), c.alias("raw_comment"))
+    )
+    blocks = posts.select(
+        *[c for c in posts.columns if c != comments],
+        F.filter(entries, wanted).alias("_kept"),
+        F.floor(F.col(post) / ID_BLOCK).alias("_block"),
+    )
+    size = F.size("_kept").cast("long")
+    totals = blocks.groupBy("_block").agg(F.sum(size).alias("_n"))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    within = Window.partitionBy("_block").orderBy(post).rowsBetween(Window.unboundedPreceding, -1)
+    placed = blocks.withColumn("_before", F.coalesce(F.sum(size).over(within), F.lit(0))).join(offsets, "_block")
     return (
-        numbered.join(offsets, group)
-        .withColumn(name, (F.col("_before") + F.col("_row")).cast("long"))
-        .drop("_before", "_row")
+        placed.select("*", F.posexplode("_kept").alias("_pos", "_entry"))
+        .select("*", "_entry.*", (F.col("_offset") + F.col("_before") + F.col("_pos")).alias("raw_comment_id"))
+        .drop("_block", "_kept", "_before", "_offset", "_pos", "_entry")
     )

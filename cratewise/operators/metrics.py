@@ -68,11 +68,13 @@ def _latest(df: DataFrame, ts: str) -> Column:
 
 
 def _distribution(df, metric, col, score, source, computed_at, ts) -> DataFrame:
-    counts = df.groupBy(col).agg(F.count("*").alias("cnt"), F.avg(score).alias("avg_s"))
-    shares = share_of_total(counts, "cnt")
+    counts = df.groupBy(col).agg(
+        F.count("*").alias("cnt"), F.avg(score).alias("avg_s"), F.max(ts).alias("last")
+    )
+    shares = share_of_total(counts, "cnt").withColumn("last", F.max("last").over(Window.partitionBy()))
     return metric_rows(
         shares, metric, F.col(col), F.lit(source), F.col("cnt"), F.col("pct"), F.col("avg_s"),
-        _latest(df, ts), computed_at,
+        F.substring("last", 1, 10), computed_at,
     )
 
 

@@ -117,16 +117,13 @@ def _length_stats(c: str) -> list[Column]:
 
 def text_length_exact(df: DataFrame, cols: list[str]) -> DataFrame:
     """``(field, mean, median, min, max)`` with the exact median, one digit."""
-    sizes = df.select(*[F.length(c).alias(c) for c in cols])
-    plain = sizes.agg(*[
-        F.struct(
-            F.lit(c).alias("field"), F.round(F.avg(c), 1).alias("mean"),
-            F.min(c).cast("long").alias("min"), F.max(c).cast("long").alias("max"),
-        ).alias(c)
-        for c in cols
-    ]).select(F.inline(F.array(*[F.col(c) for c in cols])))
-    medians = exact_quantiles(sizes, cols, [0.5]).select("field", F.round(F.col("quantiles")[0], 1).alias("median"))
-    return plain.join(F.broadcast(medians), "field").select("field", "mean", "median", "min", "max")
+    sizes = df.selectExpr(*[f"length(`{c}`) AS `{c}`" for c in cols])
+    facts = [
+        f"named_struct('field', '{c}', 'mean', round(avg(`{c}`), 1), 'median', round({'CAST(NULL AS DOUBLE)' if median is None else f'{median!r}D'}, 1), "
+        f"'min', CAST(min(`{c}`) AS BIGINT), 'max', CAST(max(`{c}`) AS BIGINT))"
+        for c, (median,) in exact_quantiles(sizes, cols, [0.5]).items()
+    ]
+    return sizes.selectExpr(f"array({', '.join(facts)}) AS facts").select(F.inline("facts"))
 
 
 def ingestion_days(df: DataFrame, ts: str = "ingested_at") -> DataFrame:
@@ -143,11 +140,10 @@ def ingestion_gaps(df: DataFrame, ts: str = "ingested_at") -> DataFrame:
 
 # --- the report ---------------------------------------------------------------
 
-def _kpi(field: str, kpi: str, value: Column, unit: str) -> Column:
-    return F.struct(
-        F.lit(field).alias("field_name"), F.lit(kpi).alias("kpi_type"),
-        F.coalesce(value.cast("double"), F.lit(0.0)).alias("value"), F.lit(unit).alias("unit"),
-        F.col("_date").alias("data_date"),
+def _kpi(field: str, kpi: str, value: str, unit: str) -> str:
+    return (
+        f"named_struct('field_name', '{field}', 'kpi_type', '{kpi}', "
+        f"'value', coalesce(CAST({value} AS DOUBLE), 0D), 'unit', '{unit}', 'data_date', _date)"
     )
 
 
@@ -165,54 +161,57 @@ def governance_report(
     the second scan, which counts the outliers, as one scalar value. A source
     without rows yields no KPI rows.
     """
-    num_cols = [c for c in num_cols if c in df.columns]
-    text_cols = [c for c in text_cols if c in df.columns]
+    cols = df.columns
+    num_cols = [c for c in num_cols if c in cols]
+    text_cols = [c for c in text_cols if c in cols]
     accuracy = round(1 / OUTLIER_ERROR)
-    stats = df.agg(
-        F.count("*").alias("_n"),
-        data_date(ts).alias("_date"),
-        F.count_if(_all_present(df.columns)).alias("_compliant"),
-        distinct_days(ts).alias("_days"),
-        *[F.count_if(_empty(c)).alias(f"_null_{c}") for c in df.columns],
-        *[F.percentile_approx(F.col(c).cast("double"), F.lit([0.25, 0.75]), F.lit(accuracy)).alias(f"_q_{c}") for c in num_cols],
-        *[F.array(*_length_stats(c)).alias(f"_len_{c}") for c in text_cols],
-    )
-    n = F.col("_n")
-    hidden = [_kpi(c, "fence_input", F.col(f"_q_{c}")[i], "") for c in num_cols for i in (0, 1)]
+    facts = [
+        "count(*) AS _n",
+        f"substring(max(`{ts}`), 1, 10) AS _date",
+        "count_if(" + " AND ".join(f"`{c}` IS NOT NULL" for c in cols) + ") AS _compliant",
+        f"size(collect_set(try_cast(substring(`{ts}`, 1, 10) AS DATE))) AS _days",
+    ]
+    facts += [f"count_if(`{c}` IS NULL OR CAST(`{c}` AS STRING) = '') AS _null{j}" for j, c in enumerate(cols)]
+    facts += [
+        f"percentile_approx(CAST(`{c}` AS DOUBLE), array(0.25D, 0.75D), {accuracy}) AS _q{j}"
+        for j, c in enumerate(num_cols)
+    ]
+    for j, c in enumerate(text_cols):
+        size = f"length(`{c}`)"
+        facts.append(
+            f"array(avg({size}), percentile_approx({size}, 0.5D), min({size}), max({size})) AS _len{j}"
+        )
+    hidden = [_kpi(c, "fence_input", f"_q{j}[{i}]", "") for j, c in enumerate(num_cols) for i in (0, 1)]
     shown = [
-        _kpi("ALL", "volume", n, "count"),
-        *[_kpi(c, "null_rate", _percent(F.col(f"_null_{c}"), n, 4), "percentage") for c in df.columns],
-        _kpi("ALL", "schema_compliance", _percent(F.col("_compliant"), n, 4), "percentage"),
+        _kpi("ALL", "volume", "_n", "count"),
+        *[_kpi(c, "null_rate", f"round(try_divide(_null{j}, _n) * 100, 4)", "percentage") for j, c in enumerate(cols)],
+        _kpi("ALL", "schema_compliance", "round(try_divide(_compliant, _n) * 100, 4)", "percentage"),
         *[
-            _kpi(c, kpi, F.col(f"_len_{c}")[i], "characters")
-            for c in text_cols for i, kpi in enumerate(LENGTH_KPIS)
+            _kpi(c, kpi, f"_len{j}[{i}]", "characters")
+            for j, c in enumerate(text_cols) for i, kpi in enumerate(LENGTH_KPIS)
         ],
-        _kpi(ts, "ingestion_days", F.col("_days"), "days"),
+        _kpi(ts, "ingestion_days", "_days", "days"),
     ]
     # An array cannot be pruned field by field, so this stays one subquery.
-    packed = stats.select(F.when(n > 0, F.array(*hidden, *shown)).alias("kpis"))
-    if not num_cols:
-        kpis = packed.select(F.inline("kpis"))
-    else:
+    packed = df.selectExpr(*facts).selectExpr(
+        f"CASE WHEN _n > 0 THEN array({', '.join(hidden + shown)}) END AS _kpis"
+    )
+    if num_cols:
         known = packed.scalar()
-        outliers = []
-        for i, c in enumerate(num_cols):
-            q1, q3 = known[2 * i]["value"], known[2 * i + 1]["value"]
-            spread = q3 - q1
-            outside = (F.col(c) < q1 - FENCE * spread) | (F.col(c) > q3 + FENCE * spread)
-            rate = _percent(F.count_if((spread != 0) & outside), F.count("*"), 4)
-            outliers.append(F.coalesce(rate, F.lit(0.0)).alias(f"_out_{c}"))
-        counted = df.agg(*outliers).withColumn("_kpis", known)
-        extra = F.array(*[
-            F.struct(
-                F.lit(c).alias("field_name"), F.lit("outlier_rate").alias("kpi_type"),
-                F.col(f"_out_{c}").alias("value"), F.lit("percentage").alias("unit"),
-                F.col("_kpis")[0]["data_date"].alias("data_date"),
-            )
-            for c in num_cols
-        ])
-        kpis = counted.select(F.inline(F.concat("_kpis", extra))).filter("kpi_type <> 'fence_input'")
-    return kpis.select(
+        outside = []
+        for j, c in enumerate(num_cols):
+            q1, q3 = known[2 * j]["value"], known[2 * j + 1]["value"]
+            margin = (q3 - q1) * FENCE
+            outside.append(F.count_if((margin != 0) & ~F.col(c).between(q1 - margin, q3 + margin)).alias(f"_out{j}"))
+        outliers = [
+            _kpi(c, "outlier_rate", f"round(try_divide(_out{j}, _n) * 100, 4)", "percentage")
+            for j, c in enumerate(num_cols)
+        ]
+        counted = df.agg(F.count("*").alias("_n"), *outside).withColumn("_kpis", known)
+        packed = counted.selectExpr("*", "_kpis[0].data_date AS _date").selectExpr(
+            f"concat(_kpis, array({', '.join(outliers)})) AS _kpis"
+        )
+    return packed.select(F.inline("_kpis")).filter("kpi_type <> 'fence_input'").select(
         F.lit(source).alias("source"), "field_name", "kpi_type", "value", "unit", "data_date",
         F.lit(computed_at).alias("computed_at"),
     )

@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cratewise.session import spread
+
 ACCURACY = 10_000
 MARGIN = 3.0 / ACCURACY
 BINS = 512
@@ -24,138 +26,141 @@ FENCE = 1.5
 
 def _numbers(df: DataFrame, cols: list[str]) -> DataFrame:
     """Numeric columns as double; NaN counts as missing."""
-    def number(c):
-        value = F.col(c).cast("double")
-        return F.when(~F.isnan(value), value).alias(c)
-
-    return df.select(*[number(c) for c in cols])
-
-
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
-    """``(field, n, quantiles)`` with linear interpolation between ranks.
-
-    ``quantiles`` is an array in the order of ``probs``; a column without
-    values yields nulls.
+    return df.selectExpr(*[f"nullif(CAST(`{c}` AS DOUBLE), double('NaN')) AS `{c}`" for c in cols])
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _sketch(numbers: DataFrame, cols: list[str], probs: list[float]) -> list[dict]:
+    """Per column and probability the wanted rank among 0..n-1 (``rank`` and a
+    fractional ``part``) and two values it must lie between."""
+    edges = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-MARGIN, MARGIN)]
+    grid = f"array({', '.join(f'{e!r}D' for e in edges)})"
+    facts = []
+    for j, c in enumerate(cols):
+        facts += [
+            f"count(`{c}`) AS n{j}", f"min(`{c}`) AS lowest{j}", f"max(`{c}`) AS highest{j}",
+            f"percentile_approx(`{c}`, {grid}, {ACCURACY}) AS edges{j}",
+        ]
+    row = numbers.selectExpr(*facts).first()
+    brackets = []
+    for j, c in enumerate(cols):
+        n = row[f"n{j}"]
+        for i, p in enumerate(probs):
+            if n == 0:
+                continue
+            whole = p * (n - 1)
+            brackets.append({
+                "k": len(brackets), "field": c, "i": i, "rank": math.floor(whole), "part": whole - math.floor(whole),
+                "low": row[f"edges{j}"][2 * i] if p > MARGIN else row[f"lowest{j}"],
+                "high": row[f"edges{j}"][2 * i + 1] if p < 1 - MARGIN else row[f"highest{j}"],
+            })
+    return brackets
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
+    """Quantiles per column in the order of ``probs``, with linear
+    interpolation between ranks; None for a column without values.
+
+    Like ``DataFrame.approxQuantile`` this runs at once; a few numbers per
+    column come back, never rows of the data.
     """
-    numbers = _numbers(df, cols)
-    edges = [min(max(p + s, 0.0), 1.0) for p in probs for s in (-MARGIN, MARGIN)]
-    grid = f"array({', '.join(repr(e) for e in edges)})"
-    sketch = numbers.agg(*[
-        F.struct(
-            F.lit(c).alias("field"),
-            F.count(c).alias("n"),
-            F.min(c).alias("lowest"),
-            F.max(c).alias("highest"),
-            F.expr(f"percentile_approx(`{c}`, {grid}, {ACCURACY})").alias("edges"),
-        ).alias(c)
-        for c in cols
-    ])
-
-    def bracket(i, p):
-        low = F.col("edges")[2 * i] if p > MARGIN else F.col("lowest")
-        high = F.col("edges")[2 * i + 1] if p < 1 - MARGIN else F.col("highest")
-        # Rank of the quantile among 0..n-1, as a whole and a fractional part.
-        rank = F.lit(float(p)) * (F.col("n") - 1)
-        return F.struct(
-            F.lit(i).alias("i"),
-            low.alias("low"),
-            high.alias("high"),
-            F.floor(rank).alias("rank"),
-            (rank - F.floor(rank)).alias("part"),
-        )
-
-    brackets = (
-        sketch.select(F.inline(F.array(*[F.col(c) for c in cols])))
-        .select("field", "n", F.inline(F.array(*[bracket(i, p) for i, p in enumerate(probs)])))
+    numbers = spread(_numbers(df, cols))
+    brackets = _sketch(numbers, cols, probs)
+    result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols}
+    if not brackets:
+        return result
+
+    def constant(b, name):
+        return f"double('{b[name]!r}')"
+
+    tested = ", ".join(
+        f"named_struct('k', {b['k']}, 'value', `{b['field']}`, 'low', {constant(b, 'low')}, 'high', {constant(b, 'high')})"
+        for b in brackets
     )
-    # At most len(cols) * len(probs) rows, so the hint is safe at any size.
-    bounds = F.broadcast(brackets.filter("n > 0").select("field", "i", "low", "high"))
-    values = numbers.unpivot([], cols, "field", "value").filter("value IS NOT NULL")
+    ranks = f"array({', '.join(f'{b["rank"]}L' for b in brackets)})"
     # Everything below a bracket collapses into one group (bin -1, no value);
     # the inside is cut into bins, so no single task has to order all of it.
-    value, low, high = F.col("value"), F.col("low"), F.col("high")
-    scaled = F.floor((value - low) / (high - low) * BINS)
-    inside = value >= low
     counted = (
-        values.join(bounds, "field")
-        .filter(value <= high)
-        .select(
-            "field", "i",
-            F.when(~inside, -1).when(high > low, F.least(scaled, F.lit(BINS - 1))).otherwise(0).alias("bin"),
-            F.when(inside, value).alias("value"),
+        numbers.selectExpr(f"inline(array({tested}))")
+        .filter("value <= high")
+        .selectExpr(
+            "k",
+            f"""CASE WHEN value < low THEN -1L
+                WHEN high > low THEN least(floor((value - low) / (high - low) * {BINS}), {BINS - 1}L)
+                ELSE 0L END AS bin""",
+            "CASE WHEN value >= low THEN value END AS value",
         )
-        .groupBy("field", "i", "bin", "value")
+        .groupBy("k", "bin", "value")
         .agg(F.count("*").alias("hits"))
     )
-
-    def holds(rank, upto, hits):
-        return (rank >= upto - hits) & (rank < upto)
-
-    targets = F.broadcast(brackets.select("field", "i", "n", "rank", "part"))
-    over_bins = Window.partitionBy("field", "i").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    totals = (
-        counted.groupBy("field", "i", "bin").agg(F.sum("hits").alias("bin_hits"))
-        .withColumn("bin_upto", F.sum("bin_hits").over(over_bins))
-    )
     # The one or two bins per quantile that hold its neighbouring ranks.
-    wanted = totals.join(targets, ["field", "i"]).filter(
-        holds(F.col("rank"), F.col("bin_upto"), F.col("bin_hits"))
-        | holds(F.col("rank") + 1, F.col("bin_upto"), F.col("bin_hits"))
-    ).select("field", "i", "bin", "rank", (F.col("bin_upto") - F.col("bin_hits")).alias("before"))
-    in_bin = Window.partitionBy("field", "i", "bin").orderBy("value")
-    ranked = counted.join(F.broadcast(wanted), ["field", "i", "bin"]).withColumn(
-        "upto", F.col("before") + F.sum("hits").over(in_bin.rowsBetween(Window.unboundedPreceding, 0))
-    )
-
-    def value_at(rank):
-        return F.max(F.when(holds(rank, F.col("upto"), F.col("hits")), F.col("value")))
-
-    picked = ranked.groupBy("field", "i").agg(
-        value_at(F.col("rank")).alias("v0"), value_at(F.col("rank") + 1).alias("v1")
-    )
-    missing = F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")
-    step = F.when(F.col("part") == 0, 0.0).otherwise((F.col("v1") - F.col("v0")) * F.col("part"))
-    quantile = F.when(F.col("n") > 0, F.coalesce(F.col("v0") + step, missing))
-    in_order = F.transform(
-        F.array_sort(F.collect_list(F.struct("i", "quantile"))), lambda s: s["quantile"]
+    wanted = (
+        counted.groupBy("k", "bin").agg(F.sum("hits").alias("bin_hits"))
+        .selectExpr(
+            "*", f"{ranks}[k] AS rank",
+            "sum(bin_hits) OVER (PARTITION BY k ORDER BY bin ROWS UNBOUNDED PRECEDING) - bin_hits AS before",
+        )
+        .filter("rank + 1 >= before AND rank < before + bin_hits")
+        .select("k", "bin", "before", "rank")
     )
-    return (
-        brackets.join(F.broadcast(picked), ["field", "i"], "left")
-        .withColumn("quantile", quantile)
-        .groupBy("field")
-        .agg(F.first("n").alias("n"), in_order.alias("quantiles"))
+    picked = (
+        counted.join(F.broadcast(wanted), ["k", "bin"])
+        .selectExpr(
+            "k", "value", "hits", "rank",
+            "before + sum(hits) OVER (PARTITION BY k, bin ORDER BY value ROWS UNBOUNDED PRECEDING) AS upto",
+        )
+        .groupBy("k")
+        .agg(
+            F.expr("max(CASE WHEN rank >= upto - hits AND rank < upto THEN value END) AS v0"),
+            F.expr("max(CASE WHEN rank + 1 >= upto - hits AND rank + 1 < upto THEN value END) AS v1"),
+        )
     )
+    found = {row["k"]: (row["v0"], row["v1"]) for row in picked.collect()}
+    for b in brackets:
+        v0, v1 = found.get(b["k"], (None, None))
+        if v0 is None or (v1 is None and b["part"] > 0):
+            raise ArithmeticError(f"quantile rank of {b['field']} outside its bracket")
+        result[b["field"]][b["i"]] = v0 + (v1 - v0) * b["part"] if b["part"] > 0 else v0
+    return result
 
 
 def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float], err: float = 0.01) -> DataFrame:
     """``(field, n, quantiles)`` within ``err`` of the wanted rank, one pass."""
-    numbers = _numbers(df, cols)
-    grid = f"array({', '.join(repr(float(p)) for p in probs)})"
-    return numbers.agg(*[
-        F.struct(
-            F.lit(c).alias("field"),
-            F.count(c).alias("n"),
-            F.expr(f"percentile_approx(`{c}`, {grid}, {math.ceil(1 / err)})").alias("quantiles"),
-        ).alias(c)
+    grid = f"array({', '.join(f'{float(p)!r}D' for p in probs)})"
+    facts = [
+        f"named_struct('field', {_quoted(c)}, 'n', count(`{c}`), "
+        f"'quantiles', percentile_approx(`{c}`, {grid}, {math.ceil(1 / err)}))"
         for c in cols
-    ]).select(F.inline(F.array(*[F.col(c) for c in cols])))
+    ]
+    return _numbers(df, cols).selectExpr(f"array({', '.join(facts)}) AS facts").select(F.inline("facts"))
 
 
 def fences(quartiles: DataFrame) -> DataFrame:
     """``(field, n, q1, med, q3, iqr, lo, hi)`` from quantiles .25, .5, .75."""
-    q1, q3 = F.col("quantiles")[0], F.col("quantiles")[2]
-    return quartiles.select(
-        "field", "n",
-        q1.alias("q1"), F.col("quantiles")[1].alias("med"), q3.alias("q3"),
-        (q3 - q1).alias("iqr"),
-        (q1 - FENCE * (q3 - q1)).alias("lo"),
-        (q3 + FENCE * (q3 - q1)).alias("hi"),
+    return quartiles.selectExpr(
+        "field", "n", "quantiles[0] AS q1", "quantiles[1] AS med", "quantiles[2] AS q3",
+        "quantiles[2] - quantiles[0] AS iqr",
+        f"quantiles[0] - {FENCE}D * (quantiles[2] - quantiles[0]) AS lo",
+        f"quantiles[2] + {FENCE}D * (quantiles[2] - quantiles[0]) AS hi",
     )
 
 
-def _quartiles(df, cols, err=None):
-    probs = [0.25, 0.5, 0.75]
-    return fences(exact_quantiles(df, cols, probs) if err is None else approx_quantiles(df, cols, probs, err))
+def _literal(x: float | None) -> str:
+    return "CAST(NULL AS DOUBLE)" if x is None else f"double('{x!r}')"
+
+
+def _box(df: DataFrame, cols: list[str]) -> dict[str, tuple]:
+    """Exact ``(q1, med, q3, iqr, lo, hi)`` per column."""
+    box = {}
+    for c, (q1, med, q3) in exact_quantiles(df, cols, [0.25, 0.5, 0.75]).items():
+        if q1 is None:
+            box[c] = (None,) * 6
+        else:
+            box[c] = (q1, med, q3, q3 - q1, q1 - FENCE * (q3 - q1), q3 + FENCE * (q3 - q1))
+    return box
 
 
 def iqr_table(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -163,84 +168,60 @@ def iqr_table(df: DataFrame, cols: list[str]) -> DataFrame:
 
     Whiskers are the outermost values inside the fences.
     """
-    box = _quartiles(df, cols)
-    values = _numbers(df, cols).unpivot([], cols, "field", "value")
-    inside = (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi"))
-    outside = (F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))
-    # One row per column on the broadcast side; its numbers ride along as keys.
-    counts = (
-        values.join(F.broadcast(box), "field")
-        .groupBy(*box.columns)
-        .agg(
-            F.count("*").alias("rows"),
-            F.count_if(outside).alias("n_out"),
-            F.min(F.when(inside, F.col("value"))).alias("lo_whisker"),
-            F.max(F.when(inside, F.col("value"))).alias("hi_whisker"),
+    facts = []
+    for c, numbers in _box(df, cols).items():
+        q1, med, q3, iqr, lo, hi = map(_literal, numbers)
+        outside = f"(`{c}` < {lo} OR `{c}` > {hi})"
+        inside = f"CASE WHEN `{c}` >= {lo} AND `{c}` <= {hi} THEN `{c}` END"
+        shown = {"q1": q1, "med": med, "q3": q3, "iqr": iqr, "lo": lo, "hi": hi,
+                 "lo_whisker": f"min({inside})", "hi_whisker": f"max({inside})"}
+        facts.append(
+            f"named_struct('field', {_quoted(c)}, "
+            + ", ".join(f"'{name}', round({value}, 2)" for name, value in shown.items())
+            + f", 'n', count(`{c}`), 'n_out', count_if({outside}), "
+            f"'rate', round(try_divide(count_if({outside}), count(*)) * 100, 2))"
         )
-    )
-
-    def two(c):
-        return F.round(F.col(c), 2).alias(c)
-
-    return counts.select(
-        "field", *[two(c) for c in ("q1", "med", "q3", "iqr", "lo", "hi", "lo_whisker", "hi_whisker")],
-        "n", "n_out",
-        F.round(F.try_divide(F.col("n_out"), F.col("rows")) * 100, 2).alias("rate"),
-    )
+    return _numbers(df, cols).selectExpr(f"array({', '.join(facts)}) AS facts").select(F.inline("facts"))
 
 
 def cap_outliers(df: DataFrame, cols: list[str], suffix: str = "_capped") -> DataFrame:
     """Clip each column to its exact fences into ``<col>_capped``.
 
-    The fences arrive as a scalar, so the rows are neither joined nor moved.
+    The fences are constants by then, so the rows are neither joined nor moved.
     """
-    box = _quartiles(df, cols)
-    entry = F.struct("field", F.array("lo", "hi"))
-    limits = box.agg(F.map_from_entries(F.collect_list(entry))).scalar()
-
-    def capped(c):
-        value = F.col(c).cast("double")
-        clipped = F.greatest(F.least(value, limits[c][1]), limits[c][0])
-        return F.when(value.isNotNull(), clipped)
-
-    return df.withColumns({f"{c}{suffix}": capped(c) for c in cols})
+    capped = []
+    for c, (*_, lo, hi) in _box(df, cols).items():
+        value = f"CAST(`{c}` AS DOUBLE)"
+        clipped = value if lo is None else f"greatest(least({value}, {_literal(hi)}), {_literal(lo)})"
+        capped.append(f"CASE WHEN `{c}` IS NOT NULL THEN {clipped} END AS `{c}{suffix}`")
+    return df.selectExpr("*", *capped)
 
 
 def outlier_rates(df: DataFrame, cols: list[str], err: float = 0.01) -> DataFrame:
     """``(field, rate)`` in percent of all rows, fences from approximate
     quartiles; a column with no spread has rate 0."""
-    box = _quartiles(df, cols, err)
+    box = fences(approx_quantiles(df, cols, [0.25, 0.5, 0.75], err))
+    # One row per column on the broadcast side.
     limits = F.broadcast(box.select("field", "iqr", "lo", "hi"))
-    values = _numbers(df, cols).unpivot([], cols, "field", "value")
-    outside = (F.col("iqr") != 0) & ((F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi")))
     return (
-        values.join(limits, "field")
+        _numbers(df, cols).unpivot([], cols, "field", "value")
+        .join(limits, "field")
         .groupBy("field")
-        .agg(F.round(F.try_divide(F.count_if(outside), F.count("*")) * 100, 4).alias("rate"))
+        .agg(F.expr("round(try_divide(count_if(iqr <> 0 AND (value < lo OR value > hi)), count(*)) * 100, 4) AS rate"))
     )
 
 
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per column."""
-    numbers = _numbers(df, cols)
-    moments = numbers.agg(*[
-        F.struct(
-            F.lit(c).alias("field"),
-            F.count(c).alias("count"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"),
-            F.min(c).alias("min"),
-            F.max(c).alias("max"),
-        ).alias(c)
-        for c in cols
-    ]).select(F.inline(F.array(*[F.col(c) for c in cols])))
-    box = exact_quantiles(df, cols, [0.25, 0.5, 0.75]).select(
-        "field",
-        F.col("quantiles")[0].alias("q25"),
-        F.col("quantiles")[1].alias("q50"),
-        F.col("quantiles")[2].alias("q75"),
-    )
-    return moments.join(F.broadcast(box), "field").select(
-        "field", "count",
-        *[F.round(c, 4).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")],
-    )
+    facts = []
+    for c, quartiles in exact_quantiles(df, cols, [0.25, 0.5, 0.75]).items():
+        q25, q50, q75 = map(_literal, quartiles)
+        shown = {
+            "mean": f"avg(`{c}`)", "std": f"stddev_samp(`{c}`)", "min": f"min(`{c}`)",
+            "q25": q25, "q50": q50, "q75": q75, "max": f"max(`{c}`)",
+        }
+        facts.append(
+            f"named_struct('field', {_quoted(c)}, 'count', count(`{c}`), "
+            + ", ".join(f"'{name}', round({value}, 4)" for name, value in shown.items()) + ")"
+        )
+    return _numbers(df, cols).selectExpr(f"array({', '.join(facts)}) AS facts").select(F.inline("facts"))

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from cratewise import schemas
 from cratewise.functions.nlp import with_classification, with_entities
+from cratewise.functions.once import with_once
 from cratewise.functions.text import clean_comment, tokenize
 from cratewise.operators.clean import coerce_score, drop_blank, normalize_nulls, null_if_word, require
 from cratewise.operators.dedup import dedup_first
-from cratewise.operators.explode import dense_ids, explode_comments, explode_parts
+from cratewise.operators.explode import explode_parts, number_comments
 from cratewise.operators.quality import enforce_schema
 from cratewise.operators.quantiles import cap_outliers
 from cratewise.session import materialize
@@ -27,19 +28,15 @@ def comment_rows(posts: DataFrame, drop_deleted: bool = False) -> DataFrame:
     """
     present = require(normalize_nulls(posts, ["title", "score"]), ["title", "comments"])
     scored = present.withColumn("score", coerce_score("score"))
-    comments = drop_blank(explode_comments(scored), "raw_comment")
-    if drop_deleted:
-        comments = comments.filter(null_if_word("raw_comment").isNotNull())
-    # A post file is a JSON array that one task reads whole, so numbering the
-    # comments of a file in one task adds no larger unit of work.
-    return dense_ids(comments, "file", ["post_id", "comment_pos"], "raw_comment_id")
+    keep = (lambda c: null_if_word(c).isNotNull()) if drop_deleted else None
+    return number_comments(scored, keep=keep)
 
 
 def annotate(comments: DataFrame, bounded: bool = False) -> DataFrame:
     """Split, clean, tokenise, classify and extract; all row-local."""
     parts = drop_blank(explode_parts(comments, "raw_comment"), "raw_comment")
-    cleaned = parts.withColumn("clean_comment", clean_comment("raw_comment"))
-    tokens = cleaned.withColumn("tokens", tokenize("clean_comment"))
+    cleaned = with_once(parts, clean_comment=clean_comment("raw_comment"))
+    tokens = with_once(cleaned, tokens=tokenize("clean_comment", clean=True))
     return with_entities(with_classification(tokens, "clean_comment", "tokens"), "clean_comment", bounded=bounded)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cratewise.operators import metrics as m
 from cratewise.registry.base import COMPUTED_AT, SNAPSHOT_SQL, query, snapshots
-from cratewise.registry.comments import ANNOTATED_SQL, TOP_KEYWORDS_SQL, classified, metric_sql, rated
+from cratewise.registry.comments import ANNOTATED_SQL, TOP_KEYWORDS_SQL, classified, metric_sql, rated, ready
 from cratewise.registry.comments import _dist_sql as dist_sql
 from cratewise.session import materialize
 
@@ -124,7 +124,7 @@ HEADLINE_SQL = f"""SELECT * FROM ({dist_sql('sentiment_dist', 'sentiment', 'comp
     (SELECT string_agg(dim1, ', ' ORDER BY record_count DESC, dim1) FROM (SELECT * FROM h WHERE metric_type = 'top_keyword'
       ORDER BY record_count DESC, dim1 LIMIT 3) k) AS keywords""")
 def narrative_card(t):
-    comments = materialize(rated(t).select("ingested_at", "tokens", "compound", "sentiment"), "rated")
+    comments = ready(t)
     return m.narrative(m.union_rows(
         m.sentiment_dist(comments, "community", COMPUTED_AT),
         m.top_keywords(comments, "community", COMPUTED_AT),
@@ -139,5 +139,6 @@ query("sentiment_summary", f"""SELECT dim2 AS source, dim1 AS sentiment, record_
 
 CONFIDENCE_SQL = _histogram_sql(f"({ANNOTATED_SQL}) an", "confidence", 20, "comment_type")
 query("histogram_confidence", CONFIDENCE_SQL)(
-    lambda t: m.histogram(classified(t), "confidence", 20, by="comment_type")
+    lambda t: m.histogram(
+        materialize(classified(t).select("comment_type", "confidence"), "classified"), "confidence", 20, by="comment_type")
 )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cratewise.functions.nlp import CONTRAST_MARKERS, with_classification, with_entities
+from cratewise.functions.once import with_once
 from cratewise.functions.sentiment import lookup_valence, score_sentiment, sentiment_label
 from cratewise.functions.text import WORD, WS, clean_comment, tokenize
 from cratewise.operators import clean as cl
@@ -17,6 +18,7 @@ from cratewise.registry.base import (
 )
 from cratewise.registry.text import TEXTS_SQL, texts
 from cratewise.schemas import BOOL, DOUBLE, LONG, STRING, StructField, StructType
+from cratewise.session import materialize, spread
 
 # --- null words, coercion, filters ---------------------------------------------------
 
@@ -89,14 +91,13 @@ def posts(t):
 
 
 EXPLODED_SQL = f"""SELECT file, post_id, title, CAST(i - 1 AS INTEGER) AS comment_pos, raw_comment,
-    row_number() OVER (ORDER BY file, post_id, i) - 1 AS raw_comment_id
+    row_number() OVER (ORDER BY post_id, i) - 1 AS raw_comment_id
   FROM (SELECT file, post_id, title, unnest(comments) AS raw_comment, generate_subscripts(comments, 1) AS i
     FROM ({POSTS_SQL}) p) e WHERE raw_comment IS NOT NULL AND {s_strip('raw_comment')} <> ''"""
 
 
 def exploded(t):
-    rows = cl.drop_blank(ex.explode_comments(posts(t)), "raw_comment")
-    return ex.dense_ids(rows, "file", ["post_id", "comment_pos"], "raw_comment_id")
+    return ex.number_comments(posts(t))
 
 
 query("explode_comments", EXPLODED_SQL)(
@@ -266,9 +267,13 @@ def lexicon(t):
     return t.spark.createDataFrame(list(LEXICON.items()), "token string, valence double")
 
 
+def with_tokens(df, text="text"):
+    cleaned = with_once(df, clean=clean_comment(text))
+    return with_once(cleaned, tokens=tokenize("clean", clean=True))
+
+
 def scored(t, df, key="id", text="text", limit=20_000):
-    ready = df.withColumn("clean", clean_comment(text)).withColumn("tokens", tokenize("clean"))
-    return score_sentiment(ready, key, "tokens", lexicon(t), NEGATIONS, BOOSTERS, limit)
+    return score_sentiment(with_tokens(df, text), key, "tokens", lexicon(t), NEGATIONS, BOOSTERS, limit)
 
 
 ALL_SQL = f"SELECT kind || CAST(id AS VARCHAR) AS id, {s_clean('text')} AS clean FROM ({TEXTS_SQL}) t"
@@ -290,7 +295,7 @@ query("lexicon_lookup", f"""SELECT id, t AS token, v AS valence, count(*) AS n F
     SELECT id, unnest({s_tokens('clean')}) AS t FROM ({ALL_SQL}) a) b JOIN {LEX_SQL} l(w, v) ON l.w = b.t
   GROUP BY id, t, v""")(
     lambda t: lookup_valence(
-        ex.explode_tokens(all_texts(t).select("id", tokenize(clean_comment("text")).alias("w")), "w", "token").drop("w"),
+        ex.explode_tokens(with_tokens(all_texts(t)).select("id", "tokens"), "tokens", "token").drop("tokens"),
         lexicon(t),
     ).groupBy("id", "token", "valence").agg(F.count("*").alias("n"))
 )
@@ -311,7 +316,7 @@ ANNOTATED_SQL = f"""SELECT a.*, compound, {LABEL} AS sentiment FROM ({extracted_
 
 
 def stamped(t):
-    docs = t.documents.select(
+    docs = spread(t.documents).select(
         F.concat(F.lit("doc"), "doc_id").alias("id"), F.expr(DOC_STAMP).alias("ingested_at"), "text"
     )
     parts = comments(t).select(
@@ -320,9 +325,13 @@ def stamped(t):
     return docs.unionByName(parts)
 
 
+def ready(t):
+    """The scored comments as the metrics get them: written once, narrow."""
+    return materialize(rated(t).select("ingested_at", "tokens", "compound", "sentiment"), "rated")
+
+
 def classified(t):
-    ready = stamped(t).withColumn("clean", clean_comment("text"))
-    return with_entities(with_classification(ready, "clean"), "clean")
+    return with_classification(with_tokens(stamped(t)), "clean", "tokens")
 
 
 def rated(t):
@@ -367,7 +376,7 @@ DAY = "CAST(ingested_at[1:10] AS DATE)"
 @query("sentiment_trend", f"""SELECT 'day' AS grain, * FROM ({_trend_sql(DAY)}) a
   UNION ALL SELECT 'week', * FROM ({_trend_sql(f"CAST(date_trunc('week', {DAY}) AS DATE)")}) b""")
 def sentiment_trend(t):
-    rows = rated(t)
+    rows = ready(t)
     by = [m.sentiment_trend(rows, "community", COMPUTED_AT, grain).select(F.lit(grain).alias("grain"), "*") for grain in ("day", "week")]
     return m.union_rows(*by)
 
@@ -389,18 +398,19 @@ BUCKET_SQL = "CASE WHEN avg_score >= 0.05 THEN 'positive' WHEN avg_score <= -0.0
 def top_keywords(t):
     from cratewise.functions.labels import sentiment_bucket
 
-    return m.top_keywords(rated(t), "community", COMPUTED_AT).withColumn("bucket", sentiment_bucket("avg_score"))
+    return m.top_keywords(ready(t), "community", COMPUTED_AT).withColumn("bucket", sentiment_bucket("avg_score"))
 
 
 @query("top_keywords_stop_table", TOP_KEYWORDS_SQL)
 def top_keywords_stop_table(t):
     stop = t.spark.createDataFrame([(w,) for w in m.STOP_WORDS], "word string")
-    return m.top_keywords(rated(t), "community", COMPUTED_AT, stop)
+    return m.top_keywords(ready(t), "community", COMPUTED_AT, stop)
 
 
 MENTIONS_SQL = f"SELECT artist AS g, compound FROM ({ANNOTATED_SQL}) an WHERE artist IS NOT NULL AND artist NOT IN ('unknown', '')"
 query("top_mentions", _top_sql("community_artist", MENTIONS_SQL, 20))(
-    lambda t: m.top_mentions(annotated(t), "community", COMPUTED_AT)
+    lambda t: m.top_mentions(
+        materialize(annotated(t).select("ingested_at", "artist", "compound"), "annotated"), "community", COMPUTED_AT)
 )
 
 # --- schema enforcement ------------------------------------------------------------------

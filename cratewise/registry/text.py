@@ -11,6 +11,7 @@ from cratewise.operators import explode as ex
 from cratewise.registry.base import (
     COMMENT, WS, comments, query, s_clean, s_html, s_links, s_name_tokens, s_punct, s_strip, s_tokens,
 )
+from cratewise.session import spread
 
 # All long texts and all made comments: (kind, id, text).
 TEXTS_SQL = f"""SELECT 'doc' AS kind, doc_id AS id, text FROM documents
@@ -19,7 +20,7 @@ TEXTS_SQL = f"""SELECT 'doc' AS kind, doc_id AS id, text FROM documents
 
 
 def texts(t):
-    docs = t.documents.select(F.lit("doc").alias("kind"), F.col("doc_id").alias("id"), "text")
+    docs = spread(t.documents).select(F.lit("doc").alias("kind"), F.col("doc_id").alias("id"), "text")
     turns = t.conversations.select(F.lit("turn").alias("kind"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")
     parts = comments(t).select(F.lit("part").alias("kind"), F.col("comment_id").alias("id"), F.col("raw_comment").alias("text"))
     return docs.unionByName(turns).unionByName(parts)
@@ -36,7 +37,7 @@ _mapped("remove_links", tx.remove_links, s_links)
 _mapped("clean_punctuation", tx.clean_punctuation, s_punct)
 
 query("html_unescape", f"SELECT page_id, {s_html('html')} AS decoded FROM pages")(
-    lambda t: t.pages.select("page_id", unescape_html("html").alias("decoded"))
+    lambda t: spread(t.pages).select("page_id", unescape_html("html").alias("decoded"))
 )
 
 NAME = "'  ' || p_name || '   (' || p_type || ') &amp; ' || p_brand || ' http://x.io/' || p_name"
@@ -45,7 +46,7 @@ query("name_tokens", f"""SELECT p_partkey, {s_name_tokens(NAME)} AS part_tokens,
   UNION ALL SELECT doc_id, {s_name_tokens('text')}, lang, 'doc' FROM documents""")(
     lambda t: t.part.select("p_partkey", tx.name_tokens(F.expr(NAME)).alias("part_tokens"),
                             F.lit(None).cast("string").alias("lang"), F.lit("part").alias("kind"))
-    .union(t.documents.select("doc_id", tx.name_tokens("text"), "lang", F.lit("doc")))
+    .union(spread(t.documents).select("doc_id", tx.name_tokens("text"), "lang", F.lit("doc")))
 )
 
 query("tokenize", f"""SELECT kind, id, CAST(len(w) AS BIGINT) AS n, array_to_string(w, '|') AS tokens
@@ -59,11 +60,11 @@ query("tokenize", f"""SELECT kind, id, CAST(len(w) AS BIGINT) AS n, array_to_str
 query("parse_tokens", f"""SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 0 ELSE CAST(len(w) AS BIGINT) END AS n,
   CASE WHEN doc_id % 9 = 0 THEN '' ELSE array_to_string(w, '|') END AS tokens
   FROM (SELECT doc_id, {s_tokens(s_clean('text'))} AS w FROM documents) x""")(
-    lambda t: t.documents.select(
+    lambda t: spread(t.documents).select(
         "doc_id",
         tx.parse_tokens(
             F.when(F.col("doc_id") % 9 == 0, F.lit("['broken"))
-            .otherwise(tx.format_tokens(tx.tokenize(tx.clean_comment("text"))))
+            .otherwise(tx.format_tokens(tx.tokenize(tx.clean_comment("text"), clean=True)))
         ).alias("w"),
     ).select("doc_id", F.size("w").cast("long").alias("n"), F.array_join("w", "|").alias("tokens"))
 )

@@ -9,6 +9,7 @@ from cratewise.operators import pages as pg
 from cratewise.operators import views as v
 from cratewise.registry.base import WS, query, s_html, s_strip
 from cratewise.registry.quality import REPORT_SQL, report
+from cratewise.session import spread
 from cratewise.operators.clean import REACTION_KEYWORDS
 
 KPI = f"WITH k AS ({REPORT_SQL}) "
@@ -99,7 +100,7 @@ LINKS_SQL = f"""SELECT page_id, i - 1 AS pos, {s_visible('markup')} AS title, pe
 
 @query("page_links", f"SELECT * FROM ({LINKS_SQL}) x WHERE title <> '' AND permalink <> ''")
 def page_links(t):
-    return pg.page_links(t.pages)
+    return pg.page_links(spread(t.pages))
 
 
 query("next_link", """SELECT page_id, nullif(regexp_extract(html, 'href="([^"]*)"', 1), '') AS next_link FROM pages""")(
@@ -112,7 +113,7 @@ TEXTS_SQL = f"""SELECT page_id, i - 1 AS pos, {s_visible('markup')} AS text FROM
     SELECT page_id, unnest(regexp_extract_all(html, '{PARAGRAPH}', 1)) AS markup,
       CAST(unnest(generate_series(1, len(regexp_extract_all(html, '{PARAGRAPH}', 1)))) AS INTEGER) AS i FROM pages) l"""
 query("page_text", f"SELECT * FROM ({TEXTS_SQL}) x WHERE lower(text) NOT IN {NULL_TEXTS}")(
-    lambda t: pg.page_text(t.pages)
+    lambda t: pg.page_text(spread(t.pages))
 )
 
 query("page_titles", f"SELECT page_id, {s_visible(chr(39).join(['regexp_extract(html, ', '(?s)<title>(.*?)</title>', ', 1)']))} AS title FROM pages")(
@@ -135,7 +136,7 @@ def as_listing(html):
 @query("listing_posts", f"""SELECT page_id, pos, title || 'post' AS title, permalink,
     coalesce(TRY_CAST(title AS BIGINT), 0) AS score FROM ({LINKS_SQL}) x WHERE title <> '' AND permalink <> ''""")
 def listing_posts(t):
-    return pg.listing_posts(t.pages.select("page_id", as_listing("html").alias("html")))
+    return pg.listing_posts(spread(t.pages).select("page_id", as_listing("html").alias("html")))
 
 
 def as_thread(html):
@@ -164,7 +165,7 @@ THREAD_SQL = f"""SELECT page_id, i - 1 AS pos, {s_strip(s_html("regexp_replace(m
 @query("page_comments", f"""SELECT * FROM ({THREAD_SQL}) x WHERE text <> ''
   QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY pos) <= 5""")
 def page_comments(t):
-    return pg.page_comments(t.pages.select("page_id", as_thread(F.col("html")).alias("html")))
+    return pg.page_comments(spread(t.pages).select("page_id", as_thread(F.col("html")).alias("html")))
 
 
 HIT = " OR ".join(f"contains(lower(title), '{k}')" for k in REACTION_KEYWORDS)
@@ -184,6 +185,6 @@ def assemble_posts(t):
         F.length("html").cast("long").alias("score"),
         F.concat(F.lit("[FRESH "), "page_id", F.lit("] "), pg.page_title("html")).alias("title"),
     )
-    texts = pg.page_text(t.pages, pg.COMMENTS_PER_POST)
+    texts = pg.page_text(spread(t.pages), pg.COMMENTS_PER_POST)
     done = pg.assemble_posts(posts, texts, "source", "page_id")
     return done.withColumn("comments", F.array_join("comments", "|"))

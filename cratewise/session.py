@@ -58,3 +58,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = work_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# Below this size dealing rows out costs less than leaving cores idle.
+SPREAD_LIMIT = 256 * 1024 * 1024
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small table out to all cores.
+
+    A small Parquet file is one row group, hence one task, and text work on
+    it would use one core. The size Spark knows of the input is checked
+    first: a larger table has splits enough and is never moved.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > SPREAD_LIMIT:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from cratewise import schemas
 from cratewise.functions.text import name_tokens, strip
-from cratewise.session import materialize
+from cratewise.session import broadcast_if_small, materialize
 
 # Fixed value: the run stamp at the end of a post file's name.
 STAMP = r"_(\d{8}_\d{6})\.json$"
@@ -187,9 +187,11 @@ def read_posts(spark: SparkSession, folder: str) -> DataFrame:
     )
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     sizes = files.select("file", F.size("posts").alias("n"))
-    offsets = sizes.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_id"))
+    offsets = materialize(
+        sizes.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_id")), "post-offsets"
+    )
     return (
-        files.join(offsets, "file")
+        files.join(broadcast_if_small(offsets), "file")
         .select("file", "first_id", F.posexplode("posts").alias("pos", "post"))
         .select(
             "file",
