@@ -52,10 +52,12 @@ def _sketch(numbers: DataFrame, cols: list[str], probs: list[float]) -> list[dic
             if n == 0:
                 continue
             whole = p * (n - 1)
+            # The margin must span the next rank too; few values need no bracket.
+            wide = n * MARGIN < 2
             brackets.append({
                 "k": len(brackets), "field": c, "i": i, "rank": math.floor(whole), "part": whole - math.floor(whole),
-                "low": row[f"edges{j}"][2 * i] if p > MARGIN else row[f"lowest{j}"],
-                "high": row[f"edges{j}"][2 * i + 1] if p < 1 - MARGIN else row[f"highest{j}"],
+                "low": row[f"lowest{j}"] if wide or p <= MARGIN else row[f"edges{j}"][2 * i],
+                "high": row[f"highest{j}"] if wide or p >= 1 - MARGIN else row[f"edges{j}"][2 * i + 1],
             })
     return brackets
 

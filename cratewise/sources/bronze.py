@@ -181,7 +181,7 @@ def read_posts(spark: SparkSession, folder: str) -> DataFrame:
     window over one row per file, not over the posts.
     """
     files = (
-        spark.read.option("wholetext", True).text(folder)
+        spark.read.text(folder, wholetext=True)
         .select(F.col("_metadata.file_name").alias("file"), F.from_json("value", schemas.POSTS).alias("posts"))
         .filter("posts IS NOT NULL")
     )
