@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cratewise.operators import metrics as m
-from cratewise.registry.base import COMPUTED_AT, SNAPSHOT_SQL, query, snapshots
+from cratewise.registry.base import COMPUTED_AT, SNAPSHOT_SQL, query, s_round, snapshots
 from cratewise.registry.comments import ANNOTATED_SQL, TOP_KEYWORDS_SQL, classified, metric_sql, rated, ready
 from cratewise.registry.comments import _dist_sql as dist_sql
 from cratewise.session import materialize
@@ -116,9 +116,9 @@ HEADLINE_SQL = f"""SELECT * FROM ({dist_sql('sentiment_dist', 'sentiment', 'comp
 
 @query("narrative_card", f"""WITH h AS ({HEADLINE_SQL}) SELECT
     (SELECT CAST(sum(record_count) AS BIGINT) FROM h WHERE metric_type = 'sentiment_dist') AS comments,
-    (SELECT round(max(pct), 1) FROM h WHERE metric_type = 'sentiment_dist' AND dim1 = 'positive') AS positive_pct,
-    (SELECT round(max(avg_score), 3) FROM h WHERE metric_type = 'sentiment_dist' AND dim1 = 'positive') AS positive_score,
-    (SELECT round(max(pct), 1) FROM h WHERE metric_type = 'sentiment_dist' AND dim1 = 'negative') AS negative_pct,
+    (SELECT {s_round("max(pct)", 1)} FROM h WHERE metric_type = 'sentiment_dist' AND dim1 = 'positive') AS positive_pct,
+    (SELECT {s_round("max(avg_score)", 3)} FROM h WHERE metric_type = 'sentiment_dist' AND dim1 = 'positive') AS positive_score,
+    (SELECT {s_round("max(pct)", 1)} FROM h WHERE metric_type = 'sentiment_dist' AND dim1 = 'negative') AS negative_pct,
     (SELECT dim1 FROM h WHERE metric_type = 'top_artist_lastfm' ORDER BY avg_score DESC, dim1 DESC LIMIT 1) AS leader,
     (SELECT CAST(floor(max(avg_score) / 1e6) AS BIGINT) FROM h WHERE metric_type = 'top_artist_lastfm') AS leader_millions,
     (SELECT string_agg(dim1, ', ' ORDER BY record_count DESC, dim1) FROM (SELECT * FROM h WHERE metric_type = 'top_keyword'

@@ -82,7 +82,8 @@ def s_words(x: str) -> str:
 
 
 def s_round(x: str, digits: int = 4) -> str:
-    return f"round(CAST({x} AS DOUBLE), {digits})"
+    """Half up on the decimal text of a double, as Spark rounds."""
+    return f"CAST(round(CAST({x} AS DECIMAL(38, 12)), {digits}) AS DOUBLE)"
 
 
 # --- inputs ------------------------------------------------------------------------

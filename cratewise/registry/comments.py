@@ -345,7 +345,7 @@ def annotated(t):
 
 def metric_sql(kind, dim1, dim2, count, pct, score, date, source):
     return f"""SELECT '{kind}' AS metric_type, CAST({dim1} AS VARCHAR) AS dim1, {dim2} AS dim2, CAST({count} AS BIGINT) AS record_count,
-      round(CAST({pct} AS DOUBLE), 2) AS pct, {s_round(score)} AS avg_score, CAST({date} AS VARCHAR) AS data_date,
+      {s_round(pct, 2)} AS pct, {s_round(score)} AS avg_score, CAST({date} AS VARCHAR) AS data_date,
       '{COMPUTED_AT}' AS computed_at FROM {source}"""
 
 

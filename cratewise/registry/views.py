@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cratewise.functions.labels import severity
 from cratewise.operators import pages as pg
 from cratewise.operators import views as v
-from cratewise.registry.base import WS, query, s_html, s_strip
+from cratewise.registry.base import WS, query, s_html, s_round, s_strip
 from cratewise.registry.quality import REPORT_SQL, report
 from cratewise.session import spread
 from cratewise.operators.clean import REACTION_KEYWORDS
@@ -29,7 +29,7 @@ query("kpi_slice", KPI + "SELECT * FROM k WHERE kpi_type = 'null_rate' AND sourc
 )
 
 query("text_kpi_pivot", KPI + "SELECT source, field_name, " + ", ".join(
-    f"round(avg(value) FILTER (kpi_type = 'text_len_{x}'), 1) AS text_len_{x}" for x in ("mean", "median", "min", "max"))
+    f"{s_round(f'avg(value) FILTER (kpi_type = {chr(39)}text_len_{x}{chr(39)})', 1)} AS text_len_{x}" for x in ("mean", "median", "min", "max"))
     + " FROM k WHERE kpi_type LIKE 'text_len_%' GROUP BY source, field_name")(
     lambda t: v.text_kpi_pivot(report(t))
 )
@@ -44,7 +44,7 @@ query("kpi_cards", KPI + """SELECT CAST(sum(value) FILTER (kpi_type = 'volume')
 )
 
 query("kpi_table_flags", KPI + """SELECT source AS "Source", field_name AS "Field", source || '.' || field_name AS "FullField",
-    kpi_type AS "KPI", round(value, 3) AS "Value", unit AS "Unit", data_date AS "DataDate",
+    kpi_type AS "KPI", CAST(round(CAST(value AS DECIMAL(38, 12)), 3) AS DOUBLE) AS "Value", unit AS "Unit", data_date AS "DataDate",
     CASE WHEN kpi_type = 'null_rate' AND value > 5 THEN 'high_nulls' WHEN kpi_type = 'schema_compliance' AND value = 100 THEN 'compliant'
       WHEN kpi_type = 'outlier_rate' AND value > 15 THEN 'many_outliers' END AS flag FROM k""")(
     lambda t: v.kpi_table(report(t))
