@@ -57,11 +57,11 @@ def s_punct(x: str) -> str:
 
 
 def s_html(x: str) -> str:
+    """The entities of the test tables; a cut-off one lacks its semicolon."""
     for entity, char in (
-        ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
-        ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
+        ("&#39;", "''"), ("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&copy;?", "©"), ("&middot;?", "·"), ("&amp;?", "&"),
     ):
-        x = f"replace({x}, '{entity}', '{char}')"
+        x = f"regexp_replace({x}, '{entity}', '{char}', 'g')"
     return x
 
 
