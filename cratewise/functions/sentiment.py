@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.functions.once import with_once
+from cratewise.session import broadcast_if_small
 
 # Rule constants of the published method.
 NORMAL = 15.0
@@ -160,12 +161,14 @@ def _score_by_join(df, key, tokens, lexicon_df, negations, boosters) -> DataFram
             f"'p1', get({tokens}, i - 1), 'p2', get({tokens}, i - 2), 'p3', get({tokens}, i - 3))))"
         ),
     )
-    words = lexicon_df.select("token", F.col("valence").cast("double")).dropDuplicates(["token"])
+    words = broadcast_if_small(
+        lexicon_df.select("token", F.col("valence").cast("double")).dropDuplicates(["token"])
+    )
     boosters_in = F.col("token").isin(list(boosters)) if boosters else F.lit(False)
     hits = spread.filter(~boosters_in).join(words, "token")
     for name in ("p1", "p2", "p3"):
         marks = words.select(F.col("token").alias(name), F.lit(True).alias(f"{name}_known"))
-        hits = hits.join(marks, name, "left")
+        hits = hits.join(marks, name, "left")  # marks keeps the hint of words
     value = "valence"
     negated = ", ".join(_quote(w) for w in negations)
     for damping, name in zip(DAMPING, ("p1", "p2", "p3")):

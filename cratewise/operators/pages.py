@@ -95,20 +95,20 @@ def page_comments(pages: DataFrame, n: int = COMMENTS_PER_POST) -> DataFrame:
 def assemble_posts(
     posts: DataFrame, comments: DataFrame, source: str = "source", post: str = "post_id",
     order: list[str] | None = None, keywords: list[str] = REACTION_KEYWORDS, n: int = POSTS_PER_SOURCE,
+    per_post: int = COMMENTS_PER_POST,
 ) -> DataFrame:
     """``(source, post_id, title, score, comments)``.
 
     Keeps posts whose title has a keyword and that have comments, cleans the
     title, and takes the first ``n`` accepted posts per source in listing
-    order. Only accepted posts' comments are gathered, and a post has at most
-    the few that ``page_comments`` keeps.
+    order, each with its first ``per_post`` comments.
     """
     wanted = posts.filter(is_reaction("title", keywords))
     accepted = first_n(
         wanted.join(comments.select(post).distinct(), post, "left_semi"), [source], order or [post], n
     )
     bodies = (
-        comments.join(accepted.select(post), post, "left_semi")
+        first_n(comments.join(accepted.select(post), post, "left_semi"), [post], ["pos"], per_post)
         .groupBy(post)
         .agg(F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("_c"))
     )

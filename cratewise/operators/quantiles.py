@@ -1,12 +1,13 @@
 """Quantiles, fences, capping and box-plot numbers.
 
 Exact quantiles never sort a column in one place and never keep its distinct
-values in one aggregation buffer. One pass over the data brackets every
-wanted rank with an approximate quantile of known rank error; a second pass
-counts what lies below each bracket and groups the values inside it. Only
-that sliver (about 6/accuracy of the rows, equal values collapsed to one row
-before the shuffle) is ordered to read off the exact values. The rank is
-checked against the bracket, so a result is exact or the job fails.
+values in one aggregation buffer. A first pass counts the values in bins of
+about one percent relative width; the bins that hold a wanted rank bracket
+its value. While a bracket holds too many rows, further passes cut it into
+4096 bins. The last pass counts what lies below each bracket and groups the
+equal values inside it, and only the bins that hold the wanted ranks are
+ordered. All passes are plain grouped counts, combined on the map side. The
+rank is checked at the end, so a result is exact or the job fails.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ from pyspark.sql import functions as F
 
 from cratewise.session import spread
 
-ACCURACY = 10_000
-MARGIN = 3.0 / ACCURACY
+# A bracket with at most this many rows is ordered, a larger one cut again.
+SMALL = 1 << 24
+CUTS = 4096
 BINS = 512
 FENCE = 1.5
 
@@ -33,33 +35,94 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _sketch(numbers: DataFrame, cols: list[str], probs: list[float]) -> list[dict]:
-    """Per column and probability the wanted rank among 0..n-1 (``rank`` and a
-    fractional ``part``) and two values it must lie between."""
-    edges = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-MARGIN, MARGIN)]
-    grid = f"array({', '.join(f'{e!r}D' for e in edges)})"
-    facts = []
-    for j, c in enumerate(cols):
-        facts += [
-            f"count(`{c}`) AS n{j}", f"min(`{c}`) AS lowest{j}", f"max(`{c}`) AS highest{j}",
-            f"percentile_approx(`{c}`, {grid}, {ACCURACY}) AS edges{j}",
-        ]
-    row = numbers.selectExpr(*facts).first()
-    brackets = []
-    for j, c in enumerate(cols):
-        n = row[f"n{j}"]
-        for i, p in enumerate(probs):
-            if n == 0:
-                continue
-            whole = p * (n - 1)
-            # The margin must span the next rank too; few values need no bracket.
-            wide = n * MARGIN < 2
-            brackets.append({
-                "k": len(brackets), "field": c, "i": i, "rank": math.floor(whole), "part": whole - math.floor(whole),
-                "low": row[f"lowest{j}"] if wide or p <= MARGIN else row[f"edges{j}"][2 * i],
-                "high": row[f"highest{j}"] if wide or p >= 1 - MARGIN else row[f"edges{j}"][2 * i + 1],
-            })
-    return brackets
+def _literal(x: float | None) -> str:
+    return "CAST(NULL AS DOUBLE)" if x is None else f"double('{x!r}')"
+
+
+# Ranks `rank` and `rank + 1` against the rows a bin holds.
+HOLDS = "rank + 1 >= upto - n AND rank < upto"
+
+
+def _first_brackets(numbers: DataFrame, cols: list[str], probs: list[float]) -> list[dict]:
+    """Per column and probability: the wanted rank among 0..n-1 (``rank`` and
+    a fractional ``part``), two values it lies between, and the rows there."""
+    values = ", ".join(f"named_struct('j', {j}, 'value', `{c}`)" for j, c in enumerate(cols))
+    grid = ", ".join(f"{float(p)!r}D" for p in probs)
+    bins = (
+        numbers.selectExpr(f"inline(array({values}))")
+        .filter("value IS NOT NULL")
+        .groupBy("j", F.expr("floor(greatest(least(signum(value) * log1p(abs(value)), 1000D), -1000D) * 100) AS bin"))
+        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    )
+    # At most 200,000 bins per column, whatever the data.
+    rows = (
+        bins.selectExpr(
+            "*", "sum(n) OVER (PARTITION BY j ORDER BY bin ROWS UNBOUNDED PRECEDING) AS upto",
+            "sum(n) OVER (PARTITION BY j) AS total",
+        )
+        .selectExpr("*", f"posexplode(array({grid})) AS (i, p)")
+        .withColumn("rank", F.expr("floor(p * (total - 1))"))
+        .filter(HOLDS)
+        .groupBy("j", "i", "p", "total", "rank")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("inside"))
+        .collect()
+    )
+    return [
+        {
+            "k": k, "field": cols[r["j"]], "i": r["i"], "rank": r["rank"],
+            "part": r["p"] * (r["total"] - 1) - r["rank"], "low": r["low"], "high": r["high"], "inside": r["inside"],
+        }
+        for k, r in enumerate(sorted(rows, key=lambda r: (r["j"], r["i"])))
+    ]
+
+
+def _in_brackets(numbers: DataFrame, brackets: list[dict], bins: int) -> DataFrame:
+    """``(k, value, bin)`` of every value up to the bracket's high end; bin -1
+    is below the bracket, the inside is cut evenly."""
+    tested = ", ".join(
+        f"named_struct('k', {b['k']}, 'value', `{b['field']}`, 'low', {_literal(b['low'])}, 'high', {_literal(b['high'])})"
+        for b in brackets
+    )
+    return (
+        numbers.selectExpr(f"inline(array({tested}))")
+        .filter("value <= high")
+        .selectExpr(
+            "k", "value",
+            f"""CASE WHEN value < low THEN -1L
+                WHEN high > low THEN least(floor((value - low) / (high - low) * {bins}), {bins - 1}L)
+                ELSE 0L END AS bin""",
+        )
+    )
+
+
+def _ranks(brackets: list[dict]) -> str:
+    """SQL array of the wanted ranks, addressed by ``k``."""
+    ranks = {b["k"]: b["rank"] for b in brackets}
+    return "array(" + ", ".join(f"{ranks.get(k, -2)}L" for k in range(max(ranks) + 1)) + ")"
+
+
+def _narrow(numbers: DataFrame, brackets: list[dict]) -> bool:
+    """Cut the given brackets once; False when none became smaller."""
+    rows = (
+        _in_brackets(numbers, brackets, CUTS)
+        .groupBy("k", "bin")
+        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .selectExpr(
+            "*", "sum(n) OVER (PARTITION BY k ORDER BY bin ROWS UNBOUNDED PRECEDING) AS upto",
+            f"{_ranks(brackets)}[k] AS rank",
+        )
+        .filter(HOLDS)
+        .groupBy("k")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("inside"))
+        .collect()
+    )
+    found = {r["k"]: r for r in rows}
+    progress = False
+    for b in brackets:
+        row = found[b["k"]]
+        progress |= row["inside"] < b["inside"]
+        b.update(low=row["low"], high=row["high"], inside=row["inside"])
+    return progress
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
@@ -70,43 +133,29 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[
     column come back, never rows of the data.
     """
     numbers = spread(_numbers(df, cols))
-    brackets = _sketch(numbers, cols, probs)
+    brackets = _first_brackets(numbers, cols, probs)
     result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols}
     if not brackets:
         return result
+    large = [b for b in brackets if b["inside"] > SMALL and b["low"] < b["high"]]
+    while large and _narrow(numbers, large):
+        large = [b for b in large if b["inside"] > SMALL and b["low"] < b["high"]]
 
-    def constant(b, name):
-        return f"double('{b[name]!r}')"
-
-    tested = ", ".join(
-        f"named_struct('k', {b['k']}, 'value', `{b['field']}`, 'low', {constant(b, 'low')}, 'high', {constant(b, 'high')})"
-        for b in brackets
-    )
-    ranks = f"array({', '.join(f'{b["rank"]}L' for b in brackets)})"
-    # Everything below a bracket collapses into one group (bin -1, no value);
-    # the inside is cut into bins, so no single task has to order all of it.
     counted = (
-        numbers.selectExpr(f"inline(array({tested}))")
-        .filter("value <= high")
-        .selectExpr(
-            "k",
-            f"""CASE WHEN value < low THEN -1L
-                WHEN high > low THEN least(floor((value - low) / (high - low) * {BINS}), {BINS - 1}L)
-                ELSE 0L END AS bin""",
-            "CASE WHEN value >= low THEN value END AS value",
-        )
+        _in_brackets(numbers, brackets, BINS)
+        .selectExpr("k", "bin", "CASE WHEN bin >= 0 THEN value END AS value")
         .groupBy("k", "bin", "value")
         .agg(F.count("*").alias("hits"))
     )
     # The one or two bins per quantile that hold its neighbouring ranks.
     wanted = (
-        counted.groupBy("k", "bin").agg(F.sum("hits").alias("bin_hits"))
+        counted.groupBy("k", "bin").agg(F.sum("hits").alias("n"))
         .selectExpr(
-            "*", f"{ranks}[k] AS rank",
-            "sum(bin_hits) OVER (PARTITION BY k ORDER BY bin ROWS UNBOUNDED PRECEDING) - bin_hits AS before",
+            "*", "sum(n) OVER (PARTITION BY k ORDER BY bin ROWS UNBOUNDED PRECEDING) AS upto",
+            f"{_ranks(brackets)}[k] AS rank",
         )
-        .filter("rank + 1 >= before AND rank < before + bin_hits")
-        .select("k", "bin", "before", "rank")
+        .filter(HOLDS)
+        .selectExpr("k", "bin", "upto - n AS before", "rank")
     )
     picked = (
         counted.join(F.broadcast(wanted), ["k", "bin"])
@@ -150,10 +199,6 @@ def fences(quartiles: DataFrame) -> DataFrame:
     )
 
 
-def _literal(x: float | None) -> str:
-    return "CAST(NULL AS DOUBLE)" if x is None else f"double('{x!r}')"
-
-
 def _box(df: DataFrame, cols: list[str]) -> dict[str, tuple]:
     """Exact ``(q1, med, q3, iqr, lo, hi)`` per column."""
     box = {}

@@ -104,3 +104,17 @@ def test_run_summary(spark):
     df = spark.createDataFrame([("a", 1, None), ("b", 5, "x")], "name string, plays long, mbid string")
     row = q.run_summary(df, top=q.top_name("name", "plays"), with_artist=q.with_artist("mbid")).first()
     assert tuple(row) == (2, 3, 1, "b", 1)
+
+
+@pytest.mark.parametrize("name", SAMPLES)
+def test_large_brackets_are_cut_again(spark, monkeypatch, name):
+    monkeypatch.setattr(qt, "SMALL", 20)
+    values = SAMPLES[name]
+    df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(4)
+    found = qt.exact_quantiles(df, ["x"], [0.25, 0.5])["x"]
+    assert found == pytest.approx(np.quantile(values, [0.25, 0.5]).tolist(), rel=1e-12, abs=1e-12)
+
+
+def test_infinite_values(spark):
+    df = spark.createDataFrame([(float("inf"),), (float("-inf"),), (1.0,), (2.0,), (3.0,)], "x double")
+    assert qt.exact_quantiles(df, ["x"], [0.5, 0.25]) == {"x": [2.0, 1.0]}
