@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
 from cratewise.operators.dedup import dedup_latest
-from cratewise.session import materialize
+from cratewise.session import staged
 
 MONTHS = ["year", "month"]
 
@@ -48,19 +48,17 @@ def merge_partitions(
     executor or a repeated run leaves the same table.
     """
     spark = new.sparkSession
-    staged = materialize(new, "merge")
-    touched = staged.select(*parts).distinct()
-    existing = read_if_any(spark, path, staged.schema)
     place = F.concat_ws("|", *[F.col(c).cast("string") for c in parts])
-    names = [r[0] for r in touched.select(place).collect()]
-    if not names:
-        return
-    pruned = place.isin(names)
-    merged = dedup(existing.filter(pruned).unionByName(staged))
-    # Rebalance splits a large partition over several files and tasks.
-    merged.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).option(
-        "partitionOverwriteMode", "dynamic"
-    ).parquet(path)
+    with staged(new, "merge") as rows:
+        touched = [r[0] for r in rows.select(place).distinct().collect()]
+        if not touched:
+            return
+        existing = read_if_any(spark, path, rows.schema).filter(place.isin(touched))
+        merged = dedup(existing.unionByName(rows))
+        # Rebalance splits a large partition over several files and tasks.
+        merged.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).option(
+            "partitionOverwriteMode", "dynamic"
+        ).parquet(path)
 
 
 def upsert_months(rows: DataFrame, path: str, key: list[str] | None = None) -> None:
