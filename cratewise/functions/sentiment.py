@@ -146,8 +146,13 @@ def with_compound(df, tokens: str, lexicon: dict[str, float], negations=NEGATION
 
 
 def lookup_valence(tokens_df: DataFrame, lexicon_df: DataFrame) -> DataFrame:
-    """Keep the tokens of the lexicon, with their valence (equi join on token)."""
-    return tokens_df.join(lexicon_df.select("token", F.col("valence").cast("double")), "token")
+    """Keep the tokens of the lexicon, with their valence (equi join on token).
+
+    A lexicon whose rows were counted as few is broadcast, so frequent tokens
+    are not gathered anywhere; a larger one is joined by Spark's own choice.
+    """
+    words = lexicon_df.select("token", F.col("valence").cast("double"))
+    return tokens_df.join(broadcast_if_small(words), "token")
 
 
 def _score_by_join(df, key, tokens, lexicon_df, negations, boosters) -> DataFrame:

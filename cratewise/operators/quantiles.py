@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from cratewise.session import spread
 
 # A bracket with at most this many rows is ordered, a larger one cut again.
-SMALL = 1 << 24
+SMALL = 1 << 22
 CUTS = 4096
 BINS = 512
 FENCE = 1.5
