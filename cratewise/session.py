@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="cratewise-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach.
 
@@ -28,9 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="cratewise-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    return _local_folder()
 
 
 def work_path(spark: SparkSession, name: str) -> str:
