@@ -394,3 +394,14 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("copies", F.lit(1)).cast("long").alias("copies"),
     )
+
+
+def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs``, all columns, with one row of each component: the smallest doc_id's, once.
+
+    Rows without words are linked with nothing and stay, one of equal ones.
+    """
+    found = jaccard_components(docs, size, percent)
+    keep = written(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct(), "keep")
+    kept = docs.join(keep, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+    return kept.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"]).drop("_hash")

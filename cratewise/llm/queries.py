@@ -6,9 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cratewise.llm.decontam import contamination
+from cratewise.llm.line_dedup import drop_repeated_lines
 from cratewise.llm.ngram_join import jaccard_components
 from cratewise.llm.packing import pack
+from cratewise.llm.pii import personal_data
+from cratewise.llm.quality import quality
+from cratewise.llm.secrets import find_secrets
+from cratewise.llm.sharding import shard_documents
 from cratewise.llm.token_counts import count_tokens
+from cratewise.llm.toxicity import fit, score_toxicity
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -17,14 +23,39 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_hilbert(spark: SparkSession, folder: str) -> DataFrame:
+    return shard_documents(_table(spark, folder, "documents"))
+
+
+def op2_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    return drop_repeated_lines(_table(spark, folder, "documents")).select("doc_id", "lines", "lines_gone", "text")
+
+
 def op3_wu_manber(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op4_block_max(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return score_toxicity(docs, fit(docs, _table(spark, folder, "labels")))
+
+
 def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(_table(spark, folder, "documents"))
 
 
+def op6_markov(spark: SparkSession, folder: str) -> DataFrame:
+    return find_secrets(_table(spark, folder, "documents"))
+
+
+def op7_contexts(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(_table(spark, folder, "documents"))
+
+
+def op8_weak_votes(spark: SparkSession, folder: str) -> DataFrame:
+    return quality(_table(spark, folder, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = count_tokens(_table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
     return counts.withColumn("over_limit", counts["n_tokens"] > 2048)
@@ -34,7 +65,13 @@ def op10_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op3_wu_manber, op5_ngram_jaccard, op9_token_counts, op10_best_fit)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_hilbert, op2_winnowing, op3_wu_manber, op4_block_max, op5_ngram_jaccard, op6_markov, op7_contexts, op8_weak_votes,
+        op9_token_counts, op10_best_fit,
+    )
+}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOW_TEXT = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
@@ -69,4 +106,20 @@ copy_count AS (SELECT doc_id, count(*) OVER (PARTITION BY grams) AS copies FROM
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(copies, 1) AS BIGINT) AS copies
 FROM doc JOIN least_id USING (doc_id) LEFT JOIN sized USING (doc_id) LEFT JOIN copy_count USING (doc_id)"""
 
-ORACLES: dict[str, str] = {"op3_wu_manber": OP3_SQL, "op5_ngram_jaccard": OP5_SQL}
+OP2_SQL = r"""
+WITH line AS (SELECT doc_id, i - 1 AS line, content, len(regexp_extract_all(content, '[^\x20\x09-\x0D]+')) AS words
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS content, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
+placed AS (SELECT *, CAST(sum(words) OVER (PARTITION BY doc_id ORDER BY line) AS BIGINT) AS upto FROM line WHERE words > 0),
+ahead AS (SELECT doc_id, min(line) OVER f AS a, max(line) OVER f AS b, sum(words) OVER f AS n, list(content) OVER f AS run
+  FROM (SELECT *, upto - words AS before FROM placed)
+  WINDOW f AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 24 FOLLOWING)),
+behind AS (SELECT doc_id, min(line) OVER f AS a, max(line) OVER f AS b, sum(words) OVER f AS n, list(content) OVER f AS run
+  FROM placed WINDOW f AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 24 PRECEDING AND CURRENT ROW)),
+run AS (SELECT DISTINCT doc_id, a, b, run FROM (SELECT * FROM ahead UNION ALL SELECT * FROM behind) WHERE n >= 25),
+later AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, a) AS nth FROM run),
+gone AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS line FROM later WHERE nth > 1),
+kept AS (SELECT doc_id, count(*) AS lines, count(*) FILTER (gone.line IS NOT NULL) AS lines_gone,
+  string_agg(content, chr(10) ORDER BY line.line) FILTER (gone.line IS NULL) AS text FROM line LEFT JOIN gone USING (doc_id, line) GROUP BY doc_id)
+SELECT doc_id, lines, lines_gone, coalesce(text, '') AS text FROM kept"""
+
+ORACLES: dict[str, str] = {"op2_winnowing": OP2_SQL, "op3_wu_manber": OP3_SQL, "op5_ngram_jaccard": OP5_SQL}
