@@ -113,7 +113,7 @@ def _lead_pieces(fragments: int):
             used, local = np.unique(part, return_inverse=True)
             own = np.flatnonzero((share == f) & (credit > 0))
             rows.append((
-                f, one[a[f] : a[f + 1]].tobytes(), local.astype(np.uint32).tobytes(), nodes[used].tobytes(),
+                f, one[a[f] : a[f + 1]].tobytes(), local.astype(np.uint16).tobytes(), nodes[used].tobytes(),
                 seen[b[f] : b[f + 1]].tobytes(), nodes[own].tobytes(), credit[own].tobytes(),
             ))
         return pd.DataFrame(rows, columns=["fragment", "one", "owner", "nodes", "seen", "own", "credit"])
@@ -125,6 +125,7 @@ def _lead_pieces(fragments: int):
             while start < len(frame):
                 base = sizes[start - 1] if start else 0
                 stop = max(start + 1, int(np.searchsorted(sizes, base + PER_TASK, side="right")))
+                stop = min(stop, start + (1 << 16))
                 part = frame.iloc[start:stop]
                 grams = np.frombuffer(b"".join(part["lead"]), dtype=U)
                 if len(grams):
@@ -135,11 +136,33 @@ def _lead_pieces(fragments: int):
     return run
 
 
-def _shared_in_fragment(frame: pd.DataFrame) -> pd.DataFrame:
-    """Per text, its n-grams of the fragment that some other text has too."""
+def _shared_in_fragment(fragments: int):
+    """Per text, its n-grams of the fragment that some other text has too, in as many
+    packed rows as there are fragments at most."""
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        ids, counts = _fragment_counts(frame)
+        to = (mix(ids.view(U)) % U(fragments)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        ids, counts, to = ids[order], counts[order], to[order]
+        edge = np.flatnonzero(np.r_[True, to[1:] != to[:-1]]) if len(to) else np.zeros(0, dtype=int)
+        return pd.DataFrame(
+            [(int(to[a]), ids[a:z].tobytes(), counts[a:z].tobytes()) for a, z in zip(edge, [*edge[1:], len(to)])], columns=["part", "nodes", "counts"]
+        )
+
+    return run
+
+
+def _sum_shared(frame: pd.DataFrame) -> pd.DataFrame:
+    nodes = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in frame["nodes"]])
+    counts = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in frame["counts"]])
+    ids, place = np.unique(nodes, return_inverse=True)
+    return pd.DataFrame({"node": ids, "shared": np.bincount(place, weights=counts).astype(np.int64)})
+
+
+def _fragment_counts(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     one = [np.frombuffer(x, dtype=U) for x in frame["one"]]
     nodes = [np.frombuffer(x, dtype=np.int64) for x in frame["nodes"]]
-    owner = [names[np.frombuffer(x, dtype=np.uint32)] for names, x in zip(nodes, frame["owner"])]
+    owner = [names[np.frombuffer(x, dtype=np.uint16)] for names, x in zip(nodes, frame["owner"])]
     grams, owner = np.concatenate(one), np.concatenate(owner)
     order = np.argsort(grams, kind="stable")
     grams, owner = grams[order], owner[order]
@@ -155,7 +178,7 @@ def _shared_in_fragment(frame: pd.DataFrame) -> pd.DataFrame:
     ids, counts = np.unique(owner[double], return_counts=True)
     own = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in frame["own"]])
     credit = np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in frame["credit"]])
-    return pd.DataFrame({"node": np.r_[ids, own], "shared": np.r_[counts, credit].astype(np.int64)})
+    return np.r_[ids, own], np.r_[counts, credit].astype(np.int64)
 
 
 def shared_leading(sets: DataFrame) -> DataFrame:
@@ -165,8 +188,8 @@ def shared_leading(sets: DataFrame) -> DataFrame:
     return (
         sets.filter("n > 0").select("node", "n_lead", "lead")
         .mapInPandas(_lead_pieces(fragments), "fragment int, one binary, owner binary, nodes binary, seen binary, own binary, credit binary")
-        .groupBy("fragment").applyInPandas(_shared_in_fragment, "node long, shared long")
-        .groupBy("node").agg(F.sum("shared").alias("shared"))
+        .groupBy("fragment").applyInPandas(_shared_in_fragment(fragments), "part int, nodes binary, counts binary")
+        .groupBy("part").applyInPandas(_sum_shared, "node long, shared long")
     )
 
 
@@ -185,6 +208,11 @@ def _full_sets(size: int):
     return run
 
 
+def _each_once(frame: pd.DataFrame) -> pd.DataFrame:
+    """Repeated rows of the table yield a class more than once; equal classes share a batch."""
+    return frame.drop_duplicates("cid").sort_values("cid")
+
+
 def _batch_grams(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The classes of a batch in a fixed order: distinct n-grams, their counts, and where each n-gram is."""
     grams = np.frombuffer(b"".join(frame["grams"]), dtype=U)
@@ -195,7 +223,7 @@ def _counts(fragments: int):
     cuts = np.array([(1 << 64) * f // fragments for f in range(1, fragments)], dtype=U)
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        distinct, _, count = _batch_grams(frame.sort_values("cid"))
+        distinct, _, count = _batch_grams(_each_once(frame))
         at = np.r_[0, np.searchsorted(distinct, cuts), len(distinct)]
         batch = int(frame["batch"].iloc[0])
         return pd.DataFrame(
@@ -224,7 +252,7 @@ def _prefixes(percent: int):
     cuts = np.array([(1 << 64) * f // FRAGMENTS for f in range(1, FRAGMENTS)], dtype=U)
 
     def run(frame: pd.DataFrame, freq: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("cid")
+        frame = _each_once(frame)
         if frame.empty:
             return pd.DataFrame(columns=["cid", "n", "shared", "prefix", "bitmap", "segments"])
         _, place, _ = _batch_grams(frame)
@@ -272,6 +300,8 @@ def _partial_overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The ``pairs`` (a, b, na, nb) whose overlap, summed over the fragments, reaches the similarity."""
+    # Only sets with a prefix n-gram are in a pair; the others need not move.
+    sets = sets.filter(F.size("prefix") > 0)
     left = sets.select(F.col("cid").alias("a"), F.col("segments").alias("x"))
     right = sets.select(F.col("cid").alias("b"), F.col("segments").alias("y"))
     met = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", F.inline(F.arrays_zip("x", "y")))
@@ -373,7 +403,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
         .filter(F.coalesce("shared", F.lit(0)) >= F.col("n_lead") - lacks).select("cid", "rep")
     )
     texts = docs.select("doc_id", "text").join(stay.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("rep")))
-    full = written(texts.select("cid", "text").mapInArrow(_full_sets(size), "cid binary, n long, grams binary").dropDuplicates(["cid"]), "full")
+    full = written(texts.select("cid", "text").mapInArrow(_full_sets(size), "cid binary, n long, grams binary"), "full")
     ready = written(_with_prefixes(full, percent), "ready")
     buckets = written(ready.select(F.explode("prefix").alias("gram"), "cid", "n", "shared"), "buckets")
 
