@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.llm.stores import written
-from cratewise.llm.words import LETTERS, U, Words, mix, windows, word_slices
+from cratewise.llm.words import LETTERS, U, Words, mix, small, windows, word_slices
 
 # Patterns of one search: a larger benchmark is searched in blocks of items
 # whose words sum to at most so many, so tables stay below some 30 MB.
@@ -147,7 +147,7 @@ def search(column: pa.Array, sets: list[Patterns]) -> Iterator[tuple[int, list[t
 
 def _searched(tables):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             n, spans, items = zip(*search(batch.column(batch.num_columns - 1), tables.value)) if batch.num_rows else ([], [], [])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(n, pa.int64()),
@@ -237,7 +237,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
         tables = context.broadcast(compile_patterns(block, size))
 
         def clean(batches: Iterator[pa.RecordBatch], tables=tables) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in small(batches):
                 yield batch.filter(pa.array([not items for _, _, items in search(batch.column(at), tables.value)], pa.bool_()))
 
         docs = docs.mapInArrow(clean, schema)

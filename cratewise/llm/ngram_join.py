@@ -36,13 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.llm.stores import components, written
-from cratewise.llm.words import NOT_SPACE, U, mix, windows, word_slices
+from cratewise.llm.words import NOT_SPACE, U, mix, small, windows, word_slices
 
 # The leading part of the order, as a share of all hashes.
 LEAD = 0.375
 LEAD_END = int(LEAD * 2**64)
 # N-grams that one task holds at a time.
-PER_TASK = 2_000_000
+PER_TASK = 1_000_000
 # Fragments of the overlap count, members of a block of step 5, bits of a bitmap.
 FRAGMENTS, BLOCK, BITS = 4, 1024, 2048
 
@@ -68,7 +68,7 @@ def class_id(grams: np.ndarray) -> bytes:
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             n, cid, node, lead = [], [], [], []
             for _, grams in grams_of(batch.column(1), size):
                 key = class_id(grams) if len(grams) else None
@@ -195,7 +195,7 @@ def shared_leading(sets: DataFrame) -> DataFrame:
 
 def _full_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             cid, n, grams = [], [], []
             wanted = batch.column(0).to_pylist()
             for row, found in grams_of(batch.column(1), size):
@@ -290,7 +290,7 @@ def _with_prefixes(full: DataFrame, percent: int) -> DataFrame:
 
 
 def _partial_overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         count = [
             len(np.intersect1d(np.frombuffer(x, dtype=U), np.frombuffer(y, dtype=U), assume_unique=True))
             for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from cratewise.llm.pretokens import SPECIAL_TOKENS, WordTable
 from cratewise.llm.stores import written
 from cratewise.llm.token_counts import Merger
+from cratewise.llm.words import small
 
 # Fixed value: the id that closes a document.
 END_ID = 1
@@ -115,7 +116,7 @@ def _pieces(spec, capacity: int, with_ids: bool):
 
         table = WordTable(spec.value, encode)
         closing, step = END_ID.to_bytes(4, "little"), 4 * capacity
-        for batch in batches:
+        for batch in small(batches):
             row, start, length, crc, ids = [], [], [], [], []
             for i, own in enumerate(table.rows([x or "" for x in batch.column(1).to_pylist()])):
                 data = b"".join(map(table.values.__getitem__, own.tolist())) + closing

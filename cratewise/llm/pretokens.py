@@ -28,7 +28,7 @@ SHORT, LONG = "stmd", ("re", "ve", "ll")
 
 # Words a task remembers before it starts anew, and code points of a slice.
 REMEMBERED = 1_000_000
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 _BLANK, _LETTER, _NUMBER, _OTHER, _UNKNOWN = range(5)
 

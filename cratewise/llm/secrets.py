@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cratewise.llm.words import slices, text_bytes
+from cratewise.llm.words import slices, small, text_bytes
 
 # The forms of the contract; a match that is too short is dropped.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -126,7 +126,7 @@ def _bigrams(tokens: list[bytes]) -> np.ndarray:
 def _sampled(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, len(SYMBOLS) ** 2), dtype=np.int64)
-        for batch in batches:
+        for batch in small(batches):
             random, plain = [], []
             for _, text, spans, start, end, data in _scan(batch.column(0), least):
                 if text is not None:
@@ -176,7 +176,7 @@ class MarkovModels:
 
 def _found(models, least: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for _, text, spans, start, end, data in _scan(batch.column(1), least):
                 extra = []

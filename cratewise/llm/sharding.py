@@ -51,14 +51,17 @@ def quantised(df: DataFrame, dims: list[str], bits: int) -> DataFrame:
     values = {name: _dimension(df, name, ends) for name in dims}
     steps = [i / 2**bits for i in range(1, 2**bits)]
     cuts = df.agg(*[F.percentile_approx(v, steps, 10_000).alias(name) for name, v in values.items()]).first()
-    levels = []
-    for name, value in values.items():
-        edges = F.array(*[F.lit(c) for c in sorted(set(cuts[name] or []))]) if cuts[name] else None
-        known = F.lit(0) if edges is None else F.size(F.filter(edges, lambda c, v=value: c <= v))
-        levels.append(F.coalesce(F.when(value.isNull(), F.lit(0)).otherwise(known), F.lit(0)).cast("int"))
+    levels = [_level(value, sorted(set(cuts[name] or []))) for name, value in values.items()]
     return with_once(df, levels=F.array(*levels))
 
 
+def _level(value: Column, cuts: list) -> Column:
+    """The number of cut points up to a value."""
+    if not cuts:
+        return F.lit(0)
+    return F.coalesce(F.when(value.isNotNull(), F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= value))), F.lit(0)).cast("int")
+
+
 def with_hilbert(df: DataFrame, dims: int, bits: int) -> DataFrame:
     """Add ``cell``: the Hilbert index of ``levels`` (whole numbers below 2**bits)."""
     n, b = dims, bits

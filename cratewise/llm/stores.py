@@ -11,13 +11,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cratewise.session import shared_dir
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which all executors can reach."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
-    return path.rstrip("/")
+    """The folder in ``spark.checkpoint.dir``, which all executors can reach; a local
+    session without the setting gets one of its own."""
+    return shared_dir(spark)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

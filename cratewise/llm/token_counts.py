@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from cratewise.llm.pretokens import SPECIAL_TOKENS, WordTable, byte_symbols
+from cratewise.llm.words import small
 
 NO_RANK = np.int64(1 << 40)
 SLOT_BITS = 19
@@ -104,7 +105,7 @@ def _counted(spec):
             return [1 if w in SPECIAL_TOKENS else next(counts) for w in words]
 
         table = WordTable(spec.value, encode)
-        for batch in batches:
+        for batch in small(batches):
             texts = [x or "" for x in batch.column(1).to_pylist()]
             tokens, values = [], np.zeros(0, dtype=np.int64)
             for own in table.rows(texts):

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.llm.stores import written
-from cratewise.llm.words import LETTERS, U, word_slices
+from cratewise.llm.words import LETTERS, U, small, word_slices
 
 BLOCK = 64
 
@@ -36,7 +36,7 @@ def held_out(doc_id="doc_id"):
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct word hashes of each text, with counts."""
-    for batch in batches:
+    for batch in small(batches):
         terms, counts = [], []
         for at, to, words in word_slices(batch.column(2), LETTERS):
             for r in range(to - at):
@@ -67,7 +67,7 @@ def _known(column: pa.Array, vocabulary: np.ndarray) -> Iterator[tuple[int, np.n
 def _frequencies(vocabulary: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, texts = np.zeros(len(vocabulary), dtype=np.int64), 0
-        for batch in batches:
+        for batch in small(batches):
             texts += batch.num_rows
             for _, term, _ in _known(batch.column(0), vocabulary):
                 df[term] += 1
@@ -220,7 +220,7 @@ def _scored(shared, with_text: bool, at: int):
     """Rows with score and evidence, or (``with_text``) only rows below one half."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = shared.value, {}
-        for batch in batches:
+        for batch in small(batches):
             score = np.full(batch.num_rows, model.without)
             evidence = [""] * batch.num_rows
             for row, term, count in _known(batch.column(at), model.vocabulary):

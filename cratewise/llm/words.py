@@ -24,7 +24,7 @@ LETTERS = np.zeros(256, dtype=bool)
 LETTERS[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 # Texts are taken in slices of so many bytes (one longer text is a slice of its own).
-SLICE = 1 << 21
+SLICE = 1 << 19
 
 _RADIX = 0x9E3779B97F4A7C15
 _INVERSE = pow(_RADIX, -1, 1 << 64)
@@ -85,6 +85,15 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[base : int(place[-1]) if len(place) else 0], place - base
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows, so that what is built for a part stays small;
+    memory that Arrow keeps for itself is given back between batches."""
+    for batch in batches:
+        for start in range(0, max(batch.num_rows, 1), rows):
+            yield batch.slice(start, rows)
+        pa.default_memory_pool().release_unused()
+
+
 def slices(offsets: np.ndarray, limit: int = SLICE) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes, or of one row."""
     n, at = len(offsets) - 1, 0
