@@ -19,7 +19,6 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cratewise.functions.once import with_once
 from cratewise.session import broadcast_if_small
 
 # Rule constants of the published method.
@@ -72,8 +71,6 @@ DEFAULT_LEXICON = {
     "weird": -0.7, "wonderful": 2.7, "worst": -3.0, "wow": 2.4,
 }
 
-LEXICON_LIMIT = 20_000
-
 
 def default_lexicon(spark) -> DataFrame:
     return spark.createDataFrame(list(DEFAULT_LEXICON.items()), "token string, valence double")
@@ -98,22 +95,6 @@ def _case(words: dict[str, float], subject: str) -> str:
     return f"CASE WHEN {subject} NOT IN ({known}) THEN 0.0D {branches} ELSE 0.0D END"
 
 
-def _rules(current: str, previous, known: str, boosters, negations) -> str:
-    """Apply booster and negation of each earlier token, nearest first."""
-    value = current
-    negated = ", ".join(_quote(w) for w in negations)
-    for damping, earlier in zip(DAMPING, previous):
-        idle = f"({earlier} IS NULL OR {known.format(earlier)})"
-        boost = f"({_case(boosters, earlier)} * {damping}D * sign({current}))"
-        value = f"({value} + CASE WHEN {idle} THEN 0.0D ELSE {boost} END)"
-        if negations:
-            value = (
-                f"({value} * CASE WHEN {idle} OR {earlier} NOT IN ({negated}) "
-                f"THEN 1.0D ELSE {NEGATION_FACTOR}D END)"
-            )
-    return value
-
-
 def _contrast_weight(position: str, contrast_at: str) -> str:
     return (
         f"CASE WHEN {contrast_at} = 0 OR {position} = {contrast_at} THEN 1.0D "
@@ -125,26 +106,6 @@ def _compound(total: Column) -> Column:
     return F.round(total / F.sqrt(total * total + F.lit(NORMAL)), 4)
 
 
-def with_compound(df, tokens: str, lexicon: dict[str, float], negations=NEGATIONS, boosters=BOOSTERS) -> DataFrame:
-    """Row-local score of a token array column for a bounded lexicon."""
-    words = {w: v for w, v in lexicon.items() if w not in boosters}
-    if not words:
-        return df.withColumn("compound", F.lit(0.0))
-    known = "{} IN (" + ", ".join(_quote(w) for w in lexicon) + ")"
-    rules = _rules(
-        _case(words, "t"),
-        [f"get({tokens}, i - {k})" for k in (1, 2, 3)],
-        known, boosters, negations,
-    )
-    weight = _contrast_weight("i + 1", "_contrast_at")
-    is_word = "t IN (" + ", ".join(_quote(w) for w in words) + ")"
-    scored = f"transform({tokens}, (t, i) -> CASE WHEN {is_word} THEN {rules} * {weight} ELSE 0.0D END)"
-    # The contrast word is looked up once per comment, not once per token.
-    placed = with_once(df, _contrast_at=F.expr(f"array_position({tokens}, {_quote(CONTRAST)})"))
-    total = with_once(placed, _total=F.expr(f"aggregate({scored}, 0.0D, (acc, x) -> acc + x)"))
-    return total.withColumn("compound", F.coalesce(_compound(F.col("_total")), F.lit(0.0))).drop("_contrast_at", "_total")
-
-
 def lookup_valence(tokens_df: DataFrame, lexicon_df: DataFrame) -> DataFrame:
     """Keep the tokens of the lexicon, with their valence (equi join on token).
 
@@ -155,10 +116,22 @@ def lookup_valence(tokens_df: DataFrame, lexicon_df: DataFrame) -> DataFrame:
     return tokens_df.join(broadcast_if_small(words), "token")
 
 
-def _score_by_join(df, key, tokens, lexicon_df, negations, boosters) -> DataFrame:
-    """Any lexicon size. Neighbours travel with each token, so the rule needs
-    no window; the sums are combined per map task before they are shuffled."""
-    spread = df.select(
+def clean_lexicon(lexicon_df: DataFrame) -> DataFrame:
+    """One row per token: rows without token or valence are ignored, of several the largest valence counts."""
+    words = lexicon_df.select("token", F.col("valence").cast("double")).filter("token is not null and valence is not null")
+    return words.groupBy("token").agg(F.max("valence").alias("valence"))
+
+
+def _score_by_join(df, tokens, lexicon_df, negations, boosters) -> DataFrame:
+    """Any lexicon size. A score depends on the tokens alone, so each distinct
+    token list is scored once and found again by its hash. Neighbours travel
+    with each token, so the rule needs no window; the sums are combined per map
+    task before they are shuffled."""
+    key = F.struct(F.xxhash64(tokens).alias("x"), F.xxhash64(F.lit(1), tokens).alias("y"))
+    df = df.withColumn("_list", key)
+    key = "_list"
+    distinct = df.filter(F.size(tokens) > 0).select(key, tokens).dropDuplicates([key])
+    spread = distinct.select(
         key,
         F.expr(f"array_position({tokens}, {_quote(CONTRAST)})").alias("but_at"),
         F.expr(
@@ -166,9 +139,7 @@ def _score_by_join(df, key, tokens, lexicon_df, negations, boosters) -> DataFram
             f"'p1', get({tokens}, i - 1), 'p2', get({tokens}, i - 2), 'p3', get({tokens}, i - 3))))"
         ),
     )
-    words = broadcast_if_small(
-        lexicon_df.select("token", F.col("valence").cast("double")).dropDuplicates(["token"])
-    )
+    words = broadcast_if_small(clean_lexicon(lexicon_df))
     boosters_in = F.col("token").isin(list(boosters)) if boosters else F.lit(False)
     hits = spread.filter(~boosters_in).join(words, "token")
     for name in ("p1", "p2", "p3"):
@@ -192,28 +163,19 @@ def _score_by_join(df, key, tokens, lexicon_df, negations, boosters) -> DataFram
     return (
         df.join(totals, key, "left")
         .withColumn("compound", F.coalesce(_compound(F.col("_total")), F.lit(0.0)))
-        .drop("_total")
+        .drop("_total", "_list")
     )
 
 
 def score_sentiment(
     df: DataFrame,
-    key: str,
     tokens: str,
     lexicon_df: DataFrame,
     negations=NEGATIONS,
     boosters=BOOSTERS,
-    limit: int = LEXICON_LIMIT,
 ) -> DataFrame:
-    """Add ``compound``; null or empty token arrays score 0.
-
-    ``key`` must be unique per row; it is only used by the join path.
-    """
-    sample = lexicon_df.select("token", F.col("valence").cast("double")).limit(limit + 1).collect()
-    if len(sample) <= limit:
-        lexicon = {r["token"]: r["valence"] for r in sample}
-        return with_compound(df, tokens, lexicon, negations, boosters)
-    return _score_by_join(df, key, tokens, lexicon_df, negations, boosters)
+    """Add ``compound``; null or empty token arrays score 0. See ``clean_lexicon`` for odd lexicon rows."""
+    return _score_by_join(df, tokens, lexicon_df, negations, boosters)
 
 
 def sentiment_label(score, threshold: float = 0.05) -> Column:

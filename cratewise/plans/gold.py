@@ -31,7 +31,7 @@ def governance(sources: dict[str, DataFrame], computed_at: str, measured=MEASURE
 
 def comment_metrics(comments: DataFrame, lexicon: DataFrame, computed_at: str, source=COMMENT_SOURCE) -> DataFrame:
     """Comments are scored once; the six metrics read the narrow result."""
-    scored = score_sentiment(comments, "raw_comment_id", "tokens", lexicon)
+    scored = score_sentiment(comments, "tokens", lexicon)
     slim = scored.select(
         "ingested_at", "tokens", "comment_type", "confidence", "artist", "compound",
         sentiment_label("compound").alias("sentiment"),

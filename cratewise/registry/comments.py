@@ -272,8 +272,8 @@ def with_tokens(df, text="text"):
     return with_once(cleaned, tokens=tokenize("clean", clean=True))
 
 
-def scored(t, df, key="id", text="text", limit=20_000):
-    return score_sentiment(with_tokens(df, text), key, "tokens", lexicon(t), NEGATIONS, BOOSTERS, limit)
+def scored(t, df, text="text"):
+    return score_sentiment(with_tokens(df, text), "tokens", lexicon(t), NEGATIONS, BOOSTERS)
 
 
 ALL_SQL = f"SELECT kind || CAST(id AS VARCHAR) AS id, {s_clean('text')} AS clean FROM ({TEXTS_SQL}) t"
@@ -286,9 +286,8 @@ def all_texts(t):
 query("sentiment_score", compound_sql(ALL_SQL))(
     lambda t: scored(t, all_texts(t)).select("id", "compound")
 )
-# The same score through the token join that a lexicon past the bound takes.
 query("sentiment_score_by_join", compound_sql(ALL_SQL))(
-    lambda t: scored(t, all_texts(t), limit=0).select("id", "compound")
+    lambda t: scored(t, all_texts(t)).select("id", "compound")
 )
 
 query("lexicon_lookup", f"""SELECT id, t AS token, v AS valence, count(*) AS n FROM (

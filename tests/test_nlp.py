@@ -109,11 +109,12 @@ TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("limit", [20_000, 0])
-def test_sentiment_by_hand_on_both_paths(spark, limit):
+@pytest.mark.parametrize("more", [0, 50_000])
+def test_sentiment_by_hand_with_any_lexicon(spark, more):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "id long, t string")
     ready = rows.withColumn("tokens", tokenize("t"))
-    scored = se.score_sentiment(ready, "id", "tokens", se.default_lexicon(spark), limit=limit)
+    others = spark.range(more).selectExpr("concat('zz', id) AS token", "1.0D AS valence")
+    scored = se.score_sentiment(ready, "tokens", se.default_lexicon(spark).unionByName(others))
     found = {r["id"]: r["compound"] for r in scored.collect()}
     expected = {
         i: by_hand(t.split(), se.DEFAULT_LEXICON, se.NEGATIONS, se.BOOSTERS) for i, t in enumerate(TEXTS)
@@ -124,10 +125,18 @@ def test_sentiment_by_hand_on_both_paths(spark, limit):
 
 def test_null_tokens_score_zero(spark):
     df = spark.sql("SELECT 1L AS id, CAST(NULL AS ARRAY<STRING>) AS tokens")
-    row = se.score_sentiment(df, "id", "tokens", se.default_lexicon(spark)).first()
+    row = se.score_sentiment(df, "tokens", se.default_lexicon(spark)).first()
     assert row["compound"] == 0.0
 
 
+def test_parts_of_one_comment_are_scored_apart(spark):
+    df = spark.createDataFrame([("c1", ["love", "it"]), ("c1", ["hate", "it"]), ("c1", ["love", "it"])], "raw_comment_id string, tokens array<string>")
+    odd = spark.createDataFrame([(None, 1.0), ("love", None), ("love", 0.5)], "token string, valence double")
+    found = se.score_sentiment(df, "tokens", se.default_lexicon(spark).unionByName(odd)).collect()
+    by = {tuple(r.tokens): r.compound for r in found}
+    assert len(found) == 3 and by["love", "it"] > 0.5 and by["hate", "it"] < -0.5
+
+
 def test_label_thresholds_are_inclusive(spark):
     df = spark.createDataFrame([(0.05,), (0.049,), (-0.05,), (-0.049,), (None,)], "c double")
     labels = [r[0] for r in df.select(se.sentiment_label("c")).collect()]
