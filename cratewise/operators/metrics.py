@@ -164,13 +164,13 @@ def daily_share(df, keys: list[str], share: str, metric_type: str, computed_at:
     """Per entity and day the peak counts, and the share of the day's total.
 
     ``keys`` is ``[name]`` (second dimension a constant) or ``[name, artist]``.
-    Rows are ordered by day, then by the shared metric, largest first.
+    Rows come in no order: the table is merged by month, and readers sort
+    the days they show.
     """
     shares = share_within(_daily_peaks(df, keys, ts), "date", share)
     second = F.lit(dim2) if len(keys) == 1 else F.col(keys[1])
-    rows = shares.orderBy(F.asc("date"), F.desc(share), *keys)
     return metric_rows(
-        rows, metric_type, F.col(keys[0]), second, F.col("playcount"), F.col("pct"), F.col("listeners"),
+        shares, metric_type, F.col(keys[0]), second, F.col("playcount"), F.col("pct"), F.col("listeners"),
         F.col("date"), computed_at,
     )
 
@@ -222,17 +222,19 @@ def histogram(df: DataFrame, col: str, bins: int, by: str | None = None) -> Data
     side. Empty bins are left out."""
     group = F.col(by).cast("string") if by else F.lit("all")
     values = df.select(group.alias("by"), F.col(col).cast("double").alias("value")).filter("value IS NOT NULL")
-    ends = values.groupBy("by").agg(F.min("value").alias("a"), F.max("value").alias("z"))
-    widen = F.when(F.col("a") == F.col("z"), 0.5).otherwise(0.0)
-    ranges = ends.select("by", (F.col("a") - widen).alias("first"), (F.col("z") + widen).alias("last"))
+    ends = F.struct(F.min("value").alias("a"), F.max("value").alias("z")).alias("ends")
+    if by is None:
+        ranged = values.withColumn("ends", values.agg(ends).scalar())
+    else:
+        ranged = values.join(broadcast_if_small(values.groupBy("by").agg(ends)), "by")
+    widen = F.when(F.col("ends.a") == F.col("ends.z"), 0.5).otherwise(0.0)
+    placed = ranged.select("by", "value", (F.col("ends.a") - widen).alias("first"), (F.col("ends.z") + widen).alias("last"))
     span = F.col("last") - F.col("first")
-    # Equal values meet before the shuffle, so a hot group stays small.
-    counted = values.groupBy("by", "value").agg(F.count("*").alias("n"))
+    # Values are binned where they are read: what is shuffled is a count per task, group and bin.
     return (
-        counted.join(broadcast_if_small(ranges), "by")
-        .withColumn("bin", F.least(F.floor((F.col("value") - F.col("first")) * bins / span), F.lit(bins - 1)))
+        placed.withColumn("bin", F.least(F.floor((F.col("value") - F.col("first")) * bins / span), F.lit(bins - 1)))
         .groupBy("by", "bin", "first", "last")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count("*").alias("n"))
         .select(
             "by", "bin",
             F.round(F.col("first") + span / bins * F.col("bin"), 4).alias("low"),

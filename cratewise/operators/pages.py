@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.functions.html import unescape_html
+from cratewise.functions.once import with_once
 from cratewise.functions.text import SPACES, is_blank, strip, strip_flair
 from cratewise.operators.clean import REACTION_KEYWORDS, is_reaction, null_if_word
 from cratewise.operators.dedup import first_n
@@ -21,7 +22,7 @@ POSTS_PER_SOURCE = 35
 
 # Tag patterns.
 ANCHOR = r"(?s)<a[^>]*?href=\"([^\"]*)\"[^>]*>(.*?)</a>"
-PARAGRAPH = r"(?s)<p>(.*?)</p>"
+PARAGRAPH = r"(?si)<p(?:[ \t\r\n\f][^>]*)?>(.*?)</p[ \t\r\n\f]*>"
 TITLE = r"(?s)<title>(.*?)</title>"
 NEXT_BUTTON = r"(?s)<span[^>]*?class=\"[^\"]*?next-button[^\"]*\"[^>]*>[^<]*<a[^>]*?href=\"([^\"]*)\""
 TAG = r"(?s)<[^>]*>"
@@ -40,9 +41,8 @@ def page_links(pages: DataFrame) -> DataFrame:
         F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(1)).alias("permalink"),
     )
     links = pages.select("page_id", F.posexplode(found).alias("pos", "a"))
-    return links.select(
-        "page_id", "pos", visible_text("a.markup").alias("title"), F.col("a.permalink").alias("permalink")
-    ).filter(~is_blank("title") & (F.col("permalink") != ""))
+    decoded = with_once(links, title=visible_text("a.markup"), permalink=unescape_html(F.col("a.permalink")))
+    return decoded.select("page_id", "pos", "title", "permalink").filter(~is_blank("title") & (F.col("permalink") != ""))
 
 
 def next_link(html) -> Column:
@@ -62,8 +62,8 @@ def page_text(pages: DataFrame, n: int | None = None) -> DataFrame:
     paragraphs = pages.select(
         "page_id", F.posexplode(F.regexp_extract_all("html", F.lit(PARAGRAPH), F.lit(1))).alias("pos", "markup")
     )
-    texts = paragraphs.select("page_id", "pos", null_if_word(visible_text("markup")).alias("text"))
-    texts = texts.filter("text IS NOT NULL")
+    texts = with_once(paragraphs, text=null_if_word(visible_text("markup")))
+    texts = texts.select("page_id", "pos", "text").filter("text IS NOT NULL")
     return texts if n is None else first_n(texts, ["page_id"], ["pos"], n)
 
 

@@ -82,6 +82,37 @@ def snapshot_roundtrip(t):
     return bronze.flatten_artists(records)
 
 
+# --- post files ---------------------------------------------------------------------------
+
+# A file per hundred parts; every seventh file is cut off and must come back as a reject.
+FILE = "CAST(floor(p_partkey / 100) AS BIGINT)"
+
+
+@query("post_files", f"""SELECT 'post' AS kind, p_name AS title, CAST(p_size AS VARCHAR) AS score, p_type || '|' || p_brand AS comments, 1 AS n
+    FROM part WHERE {FILE} % 7 <> 3
+  UNION ALL SELECT 'reject', 'no JSON list of posts', NULL, NULL, count(DISTINCT {FILE}) FROM part WHERE {FILE} % 7 = 3
+  UNION ALL SELECT 'ids', NULL, NULL, NULL, count(*) FROM part WHERE {FILE} % 7 <> 3""")
+def post_files(t):
+    """Write all parts as post files, some of them damaged, and read the folder back."""
+    folder = work_path(t.spark, "posts")
+    entry = F.struct(
+        F.col("p_name").alias("title"), F.col("p_size").cast("string").alias("score"), F.array("p_type", "p_brand").alias("comments"))
+    bodies = t.part.groupBy(F.expr(FILE).alias("f")).agg(F.to_json(F.collect_list(entry)).alias("value"))
+    cut = F.when(F.col("f") % 7 == 3, F.expr("left(value, length(value) - 9)")).otherwise(F.col("value"))
+    bodies.select("f", cut.alias("value")).write.partitionBy("f").text(folder)
+    posts, rejects = bronze.read_posts(t.spark, folder)
+    none = F.lit(None).cast("string")
+    one = F.lit(1).cast("long").alias("n")
+    return m.union_rows(
+        posts.select(F.lit("post").alias("kind"), "title", "score", F.array_join("comments", "|").alias("comments"), one),
+        rejects.groupBy("message").agg(F.count("*").alias("n")).select(
+            F.lit("reject").alias("kind"), F.col("message").alias("title"), none.alias("score"), none.alias("comments"), "n"),
+        # Ids run without gaps: the largest is one less than the number of posts.
+        posts.agg((F.max("post_id") + 1).alias("n")).select(
+            F.lit("ids").alias("kind"), none.alias("title"), none.alias("score"), none.alias("comments"), "n"),
+    )
+
+
 # --- silver ----------------------------------------------------------------------------------
 
 SILVER_SQL = f"""SELECT name, {s_name_tokens('name')} AS name_tokens, playcount, listeners, coalesce(mbid, 'unknown') AS mbid, ingested_at

@@ -55,18 +55,17 @@ query("tokenize", f"""SELECT kind, id, CAST(len(w) AS BIGINT) AS n, array_to_str
         "kind", "id", F.size("w").cast("long").alias("n"), F.array_join("w", "|").alias("tokens"))
 )
 
-# The stored text form is written from the tokens and read back; every ninth
-# document carries a broken list, which reads as empty.
-query("parse_tokens", f"""SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 0 ELSE CAST(len(w) AS BIGINT) END AS n,
-  CASE WHEN doc_id % 9 = 0 THEN '' ELSE array_to_string(w, '|') END AS tokens
+# The stored text form is written from the tokens and read back; beside it a
+# broken list per document, which reads as empty.
+query("parse_tokens", f"""SELECT doc_id, CAST(len(w) AS BIGINT) AS n, array_to_string(w, '|') AS tokens, CAST(0 AS BIGINT) AS n_broken
   FROM (SELECT doc_id, {s_tokens(s_clean('text'))} AS w FROM documents) x""")(
     lambda t: spread(t.documents).select(
         "doc_id",
-        tx.parse_tokens(
-            F.when(F.col("doc_id") % 9 == 0, F.lit("['broken"))
-            .otherwise(tx.format_tokens(tx.tokenize(tx.clean_comment("text"), clean=True)))
-        ).alias("w"),
-    ).select("doc_id", F.size("w").cast("long").alias("n"), F.array_join("w", "|").alias("tokens"))
+        tx.parse_tokens(tx.format_tokens(tx.tokenize(tx.clean_comment("text"), clean=True))).alias("w"),
+        tx.parse_tokens(F.concat(F.lit("['"), "lang")).alias("broken"),
+    ).select(
+        "doc_id", F.size("w").cast("long").alias("n"), F.array_join("w", "|").alias("tokens"),
+        F.size("broken").cast("long").alias("n_broken"))
 )
 
 FLAIR = "'[FRESH ' || p_brand || ']   ' || p_name || ' [' || p_type || '] '"

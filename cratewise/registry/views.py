@@ -63,7 +63,7 @@ query("label_map", """SELECT o_orderkey, o_orderstatus, CASE o_orderstatus WHEN
 )
 
 POP = """SELECT 'supplier_' || CAST(l_suppkey AS VARCHAR) AS name, CAST(sum(l_quantity) AS BIGINT) * 1000 AS listeners FROM lineitem GROUP BY l_suppkey"""
-MENTIONS = """SELECT 'supplier_' || CAST(l_suppkey AS VARCHAR) AS name, count(*) AS mentions FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_suppkey"""
+MENTIONS = """SELECT 'supplier_' || CAST(l_suppkey AS VARCHAR) AS name, count(*) AS mentions FROM lineitem GROUP BY l_suppkey"""
 TOP10 = "(SELECT * FROM ({}) {} ORDER BY {} DESC, name LIMIT 10)"
 POP10, MENTION10 = TOP10.format(POP, "p0", "listeners"), TOP10.format(MENTIONS, "m0", "mentions")
 
@@ -71,7 +71,7 @@ POP10, MENTION10 = TOP10.format(POP, "p0", "listeners"), TOP10.format(MENTIONS,
 def _popularity(t):
     name = F.concat(F.lit("supplier_"), "l_suppkey").alias("name")
     pop = t.lineitem.groupBy(name).agg((F.sum("l_quantity").cast("long") * 1000).alias("listeners"))
-    mentions = t.lineitem.filter("l_returnflag = 'R'").groupBy(name).agg(F.count("*").alias("mentions"))
+    mentions = t.lineitem.groupBy(name).agg(F.count("*").alias("mentions"))
     return pop, mentions
 
 
@@ -93,7 +93,7 @@ def s_visible(x):
 
 
 LINK = '(?s)<a[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
-LINKS_SQL = f"""SELECT page_id, i - 1 AS pos, {s_visible('markup')} AS title, permalink FROM (
+LINKS_SQL = f"""SELECT page_id, i - 1 AS pos, {s_visible('markup')} AS title, {s_html('permalink')} AS permalink FROM (
     SELECT page_id, unnest(regexp_extract_all(html, '{LINK}', 2)) AS markup, unnest(regexp_extract_all(html, '{LINK}', 1)) AS permalink,
       CAST(unnest(generate_series(1, len(regexp_extract_all(html, '{LINK}', 1)))) AS INTEGER) AS i FROM pages) l"""
 
@@ -107,13 +107,16 @@ query("next_link", """SELECT page_id, nullif(regexp_extract(html, 'href="([^"]*)
     lambda t: t.pages.select("page_id", pg.next_link(as_listing("html")).alias("next_link"))
 )
 
-PARAGRAPH = "(?s)<p>(.*?)</p>"
+PARAGRAPH = r"(?si)<p(?:[ \t\r\n\f][^>]*)?>(.*?)</p[ \t\r\n\f]*>"
 NULL_TEXTS = "('null', 'none', 'nan', '', '[deleted]', '[removed]')"
 TEXTS_SQL = f"""SELECT page_id, i - 1 AS pos, {s_visible('markup')} AS text FROM (
     SELECT page_id, unnest(regexp_extract_all(html, '{PARAGRAPH}', 1)) AS markup,
       CAST(unnest(generate_series(1, len(regexp_extract_all(html, '{PARAGRAPH}', 1)))) AS INTEGER) AS i FROM pages) l"""
+# Other ways to write the same paragraphs; the SQL reads the pages as they are.
+WRITTEN = """CASE page_id % 3 WHEN 1 THEN replace(html, '<p>', '<p class="x">')
+  WHEN 2 THEN replace(replace(html, '<p>', '<P>'), '</p>', '</P >') ELSE html END"""
 query("page_text", f"SELECT * FROM ({TEXTS_SQL}) x WHERE lower(text) NOT IN {NULL_TEXTS}")(
-    lambda t: pg.page_text(spread(t.pages))
+    lambda t: pg.page_text(spread(t.pages).select("page_id", F.expr(WRITTEN).alias("html")))
 )
 
 query("page_titles", f"SELECT page_id, {s_visible(chr(39).join(['regexp_extract(html, ', '(?s)<title>(.*?)</title>', ', 1)']))} AS title FROM pages")(

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from cratewise import schemas
 from cratewise.functions.text import name_tokens, strip
-from cratewise.session import broadcast_if_small, materialize
+from cratewise.session import materialize
 
 # Fixed value: the run stamp at the end of a post file's name.
 STAMP = r"_(\d{8}_\d{6})\.json$"
@@ -173,25 +173,28 @@ def write_snapshot(
 
 # --- posts ------------------------------------------------------------------------
 
-def read_posts(spark: SparkSession, folder: str) -> DataFrame:
-    """``(file, file_stamp, post_id, title, score, comments)`` of all post files.
+def read_posts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """``(posts, rejects)`` of all post files.
 
-    A post file is one JSON array, so it is one row until it is exploded;
-    ``post_id`` runs over the files in name order. The offsets come from a
-    window over one row per file, not over the posts.
+    Posts are ``(file, file_stamp, post_id, title, score, comments)``; a file
+    that is no JSON list, a cut-off one too, is a reject ``(file, message)``.
+    A post file is one JSON array, so it is one row until it is exploded. It
+    is parsed once, into the shared folder; ``post_id`` runs over the files in
+    name order, from a window over one narrow row per file.
     """
-    files = (
-        spark.read.text(folder, wholetext=True)
-        .select(F.col("_metadata.file_name").alias("file"), F.from_json("value", schemas.POSTS).alias("posts"))
-        .filter("posts IS NOT NULL")
+    files = materialize(
+        spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True).select(
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"),
+            F.from_json("value", schemas.POSTS).alias("posts"),
+        ), "post-files",
     )
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = files.select("file", F.size("posts").alias("n"))
-    offsets = materialize(
-        sizes.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_id")), "post-offsets"
-    )
-    return (
-        files.join(broadcast_if_small(offsets), "file")
+    rejects = files.filter("posts IS NULL").select("file", F.lit("no JSON list of posts").alias("message"))
+    good = files.filter("posts IS NOT NULL")
+    before = Window.orderBy("file", "path").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = good.select("path", "file", F.size("posts").alias("n"))
+    offsets = sizes.select("path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_id"))
+    posts = (
+        good.join(offsets, "path")
         .select("file", "first_id", F.posexplode("posts").alias("pos", "post"))
         .select(
             "file",
@@ -200,6 +203,7 @@ def read_posts(spark: SparkSession, folder: str) -> DataFrame:
             "post.title", "post.score", "post.comments",
         )
     )
+    return posts, rejects
 
 
 def latest_stamp(posts: DataFrame) -> DataFrame:

@@ -23,12 +23,18 @@ def read_table(spark: SparkSession, folder: str, schema: StructType | None = Non
 
 def read_if_any(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
     """As ``read_table``; a folder that does not exist is an empty table."""
+    found = _if_there(lambda: spark.read.schema(schema).parquet(folder))
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+def _if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` returns, None if its path does not exist; other errors are raised."""
     try:
-        return spark.read.schema(schema).parquet(folder)
+        return read()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return None
 
 
 def write_silver(df: DataFrame, schema: StructType, folder: str) -> None:
@@ -86,15 +92,16 @@ def with_months(schema: StructType) -> StructType:
 
 def read_history(spark: SparkSession, path: str, schema: StructType, csv: str | None = None,
                  since: str | None = None) -> DataFrame:
-    """All months, oldest run first, always with ``data_date``.
+    """All months, always with ``data_date``, in no order.
 
     Without a gold table the CSV export is read, without that no rows. Older
-    tables name the date ``ingest_date``. ``since`` (``yyyy-MM-dd``) prunes
-    month folders before rows are filtered.
+    tables name the date ``ingest_date`` and have no month folders. The schema
+    is declared, so no footer is read to plan, and ``since`` (``yyyy-MM-dd``)
+    prunes month folders before rows are filtered.
     """
-    try:
-        found = spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException:
+    declared = with_months(StructType([*schema.fields, StructField("ingest_date", StringType())]))
+    found = _if_there(lambda: spark.read.schema(declared).parquet(path))
+    if found is None:
         if csv is None:
             return spark.createDataFrame([], schema)
         found = spark.read.option("header", True).option("escape", '"').csv(csv)
@@ -107,14 +114,14 @@ def read_history(spark: SparkSession, path: str, schema: StructType, csv: str |
         if set(MONTHS) <= set(found.columns):
             year, month = int(since[:4]), int(since[5:7])
             found = found.filter(
-                (F.col("year") > year) | ((F.col("year") == year) & (F.col("month") >= month))
+                F.col("year").isNull() | (F.col("year") > year) | ((F.col("year") == year) & (F.col("month") >= month))
             )
         found = found.filter(F.col("data_date") >= since)
     typed = [
         (F.col(f.name).try_cast(f.dataType) if f.name in found.columns else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema
     ]
-    return found.select(*typed).orderBy("computed_at")
+    return found.select(*typed)
 
 
 def write_csv(df: DataFrame, folder: str) -> None:
@@ -135,14 +142,14 @@ def read_csv(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
 def fingerprint(spark: SparkSession, path: str) -> str:
     """Changes when any file below ``path`` is added, replaced or removed.
 
-    Order-free sums of per-file hashes, so no list of files is collected.
+    One row per file, whose content is not read, and order-free sums of
+    per-file hashes, so no list of files is collected.
     """
-    try:
-        files = spark.read.option("recursiveFileLookup", True).parquet(path)
-    except AnalysisException:
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    files = _if_there(lambda: listing.load(path))
+    if files is None:
         return "empty"
-    stamp = F.xxhash64("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
-    each = files.select(stamp.alias("h")).distinct()
+    each = files.select(F.xxhash64("path", "length", "modificationTime").alias("h"))
     row = each.agg(
         F.count("*").alias("n"),
         F.sum(F.col("h").cast("decimal(20,0)")).alias("total"),

@@ -81,7 +81,7 @@ def posts(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("posts")
     for stamp, rows in POSTS.items():
         (folder / f"music_posts_{stamp}.json").write_text(json.dumps(rows, indent=1))
-    return bronze.read_posts(spark, str(folder))
+    return bronze.read_posts(spark, str(folder))[0]
 
 
 @pytest.fixture(scope="module")
