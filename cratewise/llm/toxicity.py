@@ -49,6 +49,38 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and value of each entry of a list column."""
+    row = np.repeat(np.arange(len(column)), column.value_lengths().to_numpy(zero_copy_only=False))
+    return row, column.flatten().to_numpy(zero_copy_only=False)
+
+
+def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per part of a batch and word: examples with the word, and toxic ones among them."""
+    for batch in small(batches):
+        row, term = _flat(batch.column(1))
+        term, place, n = np.unique(term, return_inverse=True, return_counts=True)
+        toxic = np.bincount(place, weights=batch.column(0).to_numpy(zero_copy_only=False)[row], minlength=len(term))
+        yield pa.RecordBatch.from_arrays([pa.array(term, pa.int64()), pa.array(n, pa.int64()), pa.array(toxic.astype(np.int64))], ["term", "n", "t"])
+
+
+def _placed(vocabulary: np.ndarray):
+    """Per example the places and counts of its words that the vocabulary has."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            row, term = _flat(batch.column(2))
+            count = batch.column(3).flatten().to_numpy(zero_copy_only=False)
+            hit = np.isin(term.view(U), vocabulary)
+            ends = np.r_[0, np.cumsum(np.bincount(row[hit], minlength=batch.num_rows))].astype(np.int32)
+            lists = [np.searchsorted(vocabulary, term[hit].view(U)), count[hit]]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *[pa.ListArray.from_arrays(pa.array(ends), pa.array(x, pa.int64())) for x in lists]],
+                ["doc_id", "toxic", "places", "counts"],
+            )
+
+    return run
+
+
 def _known(column: pa.Array, vocabulary: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Per text with any: (row, places in the vocabulary, counts)."""
     if not len(vocabulary):
@@ -174,7 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, max_term
     )
     total, toxic = examples.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     base = toxic / total if total else 0.0
-    seen = examples.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"), F.sum("toxic").alias("t"))
+    seen = examples.select("toxic", "terms").mapInArrow(_seen, "term long, n long, t long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
     strong = seen.withColumn("z", F.abs(F.col("t") - F.col("n") * base) / F.sqrt(F.col("n") * base * (1 - base) + 1)).filter(F.col("z") >= strength)
     vocabulary = np.sort(np.array([r["term"] for r in strong.orderBy(F.desc("z"), "term").limit(max_terms).collect()], dtype=np.int64).view(U))
 
@@ -188,19 +220,18 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, max_term
             df[row["term"]] = row["n"]
     idf = np.log((texts + 1) / (df + 1)) + 1
 
-    wanted = F.array(*[F.lit(int(v)) for v in vocabulary.view(np.int64)]) if len(vocabulary) else F.array().cast("array<bigint>")
-    known = F.filter(F.arrays_zip("terms", "counts"), lambda x: F.array_contains(wanted, x["terms"]))
     model = ToxicityModel(vocabulary, idf, BlockMaxIndex([], np.zeros(0), [], len(vocabulary)), base, base, (np.array([0.0]), np.array([base])))
     ids, label, vectors, bare = [], [], [], [0, 0]
     # At most max_examples rows of a few words each.
-    for row in examples.select("doc_id", "toxic", known.alias("known")).orderBy("doc_id").toLocalIterator():
-        if not row["known"]:
+    placed = examples.mapInArrow(_placed(vocabulary), f"doc_id {kind}, toxic int, places array<long>, counts array<long>")
+    for row in placed.orderBy("doc_id").collect():
+        if not row["places"]:
             bare[0] += row["toxic"]
             bare[1] += 1
             continue
-        term = np.searchsorted(vocabulary, np.array([x["terms"] for x in row["known"]], dtype=np.int64).view(U))
+        term, count = np.array(row["places"]), np.array(row["counts"])
         order = np.argsort(term)
-        term, count = term[order], np.array([x["counts"] for x in row["known"]])[order]
+        term, count = term[order], count[order]
         ids.append(row["doc_id"])
         label.append(row["toxic"])
         vectors.append((term, model.vector(term, count)))
