@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cratewise.functions.text import is_blank, split_comment
+from cratewise.session import materialize
 
 
 def explode_comments(posts: DataFrame, comments: str = "comments") -> DataFrame:
@@ -29,20 +30,18 @@ def struct_to_columns(df: DataFrame, col: str) -> DataFrame:
     return df.select("*", f"{col}.*").drop(col)
 
 
-ID_BLOCK = 65_536
-
-
 def number_comments(
     posts: DataFrame, comments: str = "comments", post: str = "post_id",
     keep: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """One row per non-blank comment with its running ``raw_comment_id``.
 
-    Ids run in (post, position) order over all posts, without a global sort:
-    posts are numbered in blocks of consecutive ids, each a bounded window,
-    and the blocks' totals (one row per 65,536 posts) give the offsets. The
-    blocks also spread the posts of a large file evenly. ``post`` must be a
-    unique whole number. ``keep`` is a further condition on a comment.
+    Ids run in (post, position) order over all posts. Only the posts' ids and
+    comment counts are ordered: dealt out by ranges of ids, so that sparse ids
+    spread like dense ones, summed within each range, and offset by the totals
+    of the ranges before (one row per shuffle partition). The text meets its
+    post's first id afterwards. ``post`` must be a unique whole number.
+    ``keep`` is a further condition on a comment.
     """
     def wanted(entry: Column) -> Column:
         text = entry["raw_comment"]
@@ -51,19 +50,19 @@ def number_comments(
     entries = F.transform(
         comments, lambda c, i: F.struct(i.alias("comment_pos"), c.alias("raw_comment"))
     )
-    blocks = posts.select(
-        *[c for c in posts.columns if c != comments],
-        F.filter(entries, wanted).alias("_kept"),
-        F.floor(F.col(post) / ID_BLOCK).alias("_block"),
-    )
-    size = F.size("_kept").cast("long")
-    totals = blocks.groupBy("_block").agg(F.sum(size).alias("_n"))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_block").orderBy(post).rowsBetween(Window.unboundedPreceding, -1)
-    placed = blocks.withColumn("_before", F.coalesce(F.sum(size).over(within), F.lit(0))).join(offsets, "_block")
+    kept = posts.select(*[c for c in posts.columns if c != comments], F.filter(entries, wanted).alias("_kept"))
+    sizes = kept.select(F.col(post).alias("_post"), F.size("_kept").cast("long").alias("_n"))
+    # Written, as the ranges are sampled and must be the same in both reads.
+    ranges = materialize(sizes.repartitionByRange("_post").withColumn("_range", F.spark_partition_id()), "comment-counts")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranges.groupBy("_range").agg(F.sum("_n").alias("_n"))
+    offsets = totals.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    within = Window.partitionBy("_range").orderBy("_post").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("_offset") + F.coalesce(F.sum("_n").over(within), F.lit(0))
+    firsts = ranges.join(F.broadcast(offsets), "_range").select("_post", first.alias("_first"))
     return (
-        placed.select("*", F.posexplode("_kept").alias("_pos", "_entry"))
-        .select("*", "_entry.*", (F.col("_offset") + F.col("_before") + F.col("_pos")).alias("raw_comment_id"))
-        .drop("_block", "_kept", "_before", "_offset", "_pos", "_entry")
+        kept.join(firsts.hint("shuffle_hash"), F.col(post) == F.col("_post"))
+        .select("*", F.posexplode("_kept").alias("_pos", "_entry"))
+        .select("*", "_entry.*", (F.col("_first") + F.col("_pos")).alias("raw_comment_id"))
+        .drop("_post", "_kept", "_first", "_pos", "_entry")
     )

@@ -199,9 +199,14 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, cols: list[str], approximate: bool = False) -> DataFrame:
-    """One row of distinct counts; approximate ones need a single pass."""
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    return df.agg(*[count(c).alias(c) for c in cols])
+    """One row of distinct counts; approximate ones need a single pass.
+
+    Exact ones read one column each, so no row is multiplied by the columns.
+    """
+    if approximate:
+        return df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols])
+    counts = [df.select(c).distinct().agg(F.count(c)).scalar().alias(c) for c in cols]
+    return df.sparkSession.range(1).select(*counts)
 
 
 def volume_by_source(metrics: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@
 
 Exact quantiles never sort a column in one place and never keep its distinct
 values in one aggregation buffer. A first pass counts the values in bins of
-about one percent relative width; the bins that hold a wanted rank bracket
-its value. While a bracket holds too many rows, further passes cut it into
-4096 bins. The last pass counts what lies below each bracket and groups the
+about one percent relative width; the bin that holds a wanted rank and the
+next one brackets both. If they lie in two bins, they are the ends of these
+and known at once, however far the bins are apart. While a bracket holds too
+many rows, further passes cut it into 4096 bins. The last pass counts what lies below each bracket and groups the
 equal values inside it, and only the bins that hold the wanted ranks are
 ordered. All passes are plain grouped counts, combined on the map side. The
 rank is checked at the end, so a result is exact or the job fails.
@@ -43,6 +44,20 @@ def _literal(x: float | None) -> str:
 HOLDS = "rank + 1 >= upto - n AND rank < upto"
 
 
+def _bracket_facts() -> list:
+    """Aggregates over the one or two bins that hold a rank and the next. Of two bins,
+    the lower one ends with the rank's value and the upper one begins with the next."""
+    return [
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("inside"),
+        F.when(F.count("*") == 2, F.struct(F.min("high").alias("v0"), F.max("low").alias("v1"))).alias("solved"),
+    ]
+
+
+def _open(brackets: list[dict], limit: int = 0) -> list[dict]:
+    """Brackets not solved that hold more than ``limit`` rows and, with a limit, can be cut."""
+    return [b for b in brackets if b["solved"] is None and (not limit or (b["inside"] > limit and b["low"] < b["high"]))]
+
+
 def _first_brackets(numbers: DataFrame, cols: list[str], probs: list[float]) -> list[dict]:
     """Per column and probability: the wanted rank among 0..n-1 (``rank`` and
     a fractional ``part``), two values it lies between, and the rows there."""
@@ -64,13 +79,14 @@ def _first_brackets(numbers: DataFrame, cols: list[str], probs: list[float]) ->
         .withColumn("rank", F.expr("floor(p * (total - 1))"))
         .filter(HOLDS)
         .groupBy("j", "i", "p", "total", "rank")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("inside"))
+        .agg(*_bracket_facts())
         .collect()
     )
     return [
         {
             "k": k, "field": cols[r["j"]], "i": r["i"], "rank": r["rank"],
             "part": r["p"] * (r["total"] - 1) - r["rank"], "low": r["low"], "high": r["high"], "inside": r["inside"],
+            "solved": r["solved"],
         }
         for k, r in enumerate(sorted(rows, key=lambda r: (r["j"], r["i"])))
     ]
@@ -113,15 +129,15 @@ def _narrow(numbers: DataFrame, brackets: list[dict]) -> bool:
         )
         .filter(HOLDS)
         .groupBy("k")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("inside"))
+        .agg(*_bracket_facts())
         .collect()
     )
     found = {r["k"]: r for r in rows}
     progress = False
     for b in brackets:
         row = found[b["k"]]
-        progress |= row["inside"] < b["inside"]
-        b.update(low=row["low"], high=row["high"], inside=row["inside"])
+        progress |= row["solved"] is not None or row["inside"] < b["inside"]
+        b.update(low=row["low"], high=row["high"], inside=row["inside"], solved=row["solved"])
     return progress
 
 
@@ -137,10 +153,23 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[
     result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols}
     if not brackets:
         return result
-    large = [b for b in brackets if b["inside"] > SMALL and b["low"] < b["high"]]
+    large = _open(brackets, SMALL)
     while large and _narrow(numbers, large):
-        large = [b for b in large if b["inside"] > SMALL and b["low"] < b["high"]]
+        large = _open(large, SMALL)
 
+    found = {b["k"]: tuple(b["solved"]) for b in brackets if b["solved"] is not None}
+    if _open(brackets):
+        found |= _picked(numbers, _open(brackets))
+    for b in brackets:
+        v0, v1 = found.get(b["k"], (None, None))
+        if v0 is None or (v1 is None and b["part"] > 0):
+            raise ArithmeticError(f"quantile rank of {b['field']} outside its bracket")
+        result[b["field"]][b["i"]] = v0 + (v1 - v0) * b["part"] if b["part"] > 0 else v0
+    return result
+
+
+def _picked(numbers: DataFrame, brackets: list[dict]) -> dict[int, tuple]:
+    """The values of each bracket's rank and the next, by ``k``."""
     counted = (
         _in_brackets(numbers, brackets, BINS)
         .selectExpr("k", "bin", "CASE WHEN bin >= 0 THEN value END AS value")
@@ -169,13 +198,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[
             F.expr("max(CASE WHEN rank + 1 >= upto - hits AND rank + 1 < upto THEN value END) AS v1"),
         )
     )
-    found = {row["k"]: (row["v0"], row["v1"]) for row in picked.collect()}
-    for b in brackets:
-        v0, v1 = found.get(b["k"], (None, None))
-        if v0 is None or (v1 is None and b["part"] > 0):
-            raise ArithmeticError(f"quantile rank of {b['field']} outside its bracket")
-        result[b["field"]][b["i"]] = v0 + (v1 - v0) * b["part"] if b["part"] > 0 else v0
-    return result
+    return {row["k"]: (row["v0"], row["v1"]) for row in picked.collect()}
 
 
 def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float], err: float = 0.01) -> DataFrame:
@@ -246,16 +269,17 @@ def cap_outliers(df: DataFrame, cols: list[str], suffix: str = "_capped") -> Dat
 
 def outlier_rates(df: DataFrame, cols: list[str], err: float = 0.01) -> DataFrame:
     """``(field, rate)`` in percent of all rows, fences from approximate
-    quartiles; a column with no spread has rate 0."""
+    quartiles; a column with no spread has rate 0, a table without rows null
+    rates. The fences reach the second pass as one scalar."""
     box = fences(approx_quantiles(df, cols, [0.25, 0.5, 0.75], err))
-    # One row per column on the broadcast side.
-    limits = F.broadcast(box.select("field", "iqr", "lo", "hi"))
-    return (
-        _numbers(df, cols).unpivot([], cols, "field", "value")
-        .join(limits, "field")
-        .groupBy("field")
-        .agg(F.expr("round(try_divide(count_if(iqr <> 0 AND (value < lo OR value > hi)), count(*)) * 100, 4) AS rate"))
-    )
+    limits = box.select(F.map_from_entries(F.collect_list(F.struct("field", F.struct("iqr", "lo", "hi"))))).scalar()
+    facts = []
+    for c in cols:
+        own = f"_box[{_quoted(c)}]"
+        outside = f"{own}.iqr <> 0 AND (`{c}` < {own}.lo OR `{c}` > {own}.hi)"
+        facts.append(f"named_struct('field', {_quoted(c)}, 'rate', round(try_divide(count_if({outside}), count(*)) * 100, 4))")
+    numbers = _numbers(df, cols).withColumn("_box", limits)
+    return numbers.selectExpr(f"array({', '.join(facts)}) AS facts").select(F.inline("facts"))
 
 
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cratewise.functions import sentiment
+from cratewise.functions.nlp import with_entities
 from cratewise.operators import metrics as m
+from cratewise.plans import gold
 from cratewise.registry.base import COMPUTED_AT, SNAPSHOT_SQL, query, s_round, snapshots
-from cratewise.registry.comments import ANNOTATED_SQL, TOP_KEYWORDS_SQL, classified, metric_sql, rated, ready
+from cratewise.registry.comments import (
+    ANNOTATED_SQL, BOOST_SQL, DAY, NEG_SQL, STAMPED_SQL, TOP_KEYWORDS_SQL, TOP_MENTIONS_SQL, _values, classified, lexicon,
+    metric_sql, rated, ready,
+)
 from cratewise.registry.comments import _dist_sql as dist_sql
+from cratewise.registry.comments import _trend_sql as trend_sql
 from cratewise.session import materialize
 
 # Track snapshots out of the line items: (part, supplier, ship day).
@@ -137,6 +144,39 @@ query("sentiment_summary", f"""SELECT dim2 AS source, dim1 AS sentiment, record_
     lambda t: m.sentiment_summary(m.sentiment_dist(rated(t), "community", COMPUTED_AT))
 )
 
+# --- the whole gold plan ---------------------------------------------------------------------
+
+DEFAULT_BOOST_SQL = _values(f"('{w}', CAST({v} AS DOUBLE))" for w, v in sentiment.BOOSTERS.items())
+DEFAULT_NEG_SQL = "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in sentiment.NEGATIONS) + ")"
+
+
+def _volume_sql(name, source):
+    groups = f"(SELECT CAST(ingested_at[1:10] AS DATE) AS d, count(*) AS cnt FROM ({source}) s GROUP BY 1) gr"
+    return metric_sql("volume_trend", "d", f"'{name}'", "cnt", "0", "0", "d", groups)
+
+
+STORY_PARTS = [
+    dist_sql("sentiment_dist", "sentiment", "compound"), dist_sql("comment_type_dist", "comment_type", "confidence"),
+    trend_sql(DAY), TOP_KEYWORDS_SQL, TOP_MENTIONS_SQL, _volume_sql(gold.COMMENT_SOURCE, STAMPED_SQL),
+    _daily_sql(SNAPSHOT_SQL, ["name"], "listeners", gold.ARTIST_METRIC, f"'{gold.CHART_SOURCE}'"),
+    _volume_sql(gold.ARTIST_SOURCE, SNAPSHOT_SQL),
+    _daily_sql(TRACK_SQL, ["name", "artist_name"], "playcount", gold.TRACK_METRIC, "artist_name"),
+    _volume_sql(gold.TRACK_SOURCE, TRACK_SQL),
+]
+# The plan scores with the default degree words and negations and names its own source.
+STORY_SQL = (
+    " UNION ALL ".join(f"SELECT * FROM ({part}) s{i}" for i, part in enumerate(STORY_PARTS))
+    .replace(BOOST_SQL, DEFAULT_BOOST_SQL).replace(NEG_SQL, DEFAULT_NEG_SQL).replace("'community", f"'{gold.COMMENT_SOURCE}")
+)
+
+
+@query("storytelling", STORY_SQL)
+def storytelling(t):
+    """Documents and part comments, artist and track snapshots through the gold plan."""
+    comments = with_entities(classified(t), "clean")
+    return gold.storytelling(COMPUTED_AT, comments, snapshots(t), track_snapshots(t), lexicon(t))
+
+
 CONFIDENCE_SQL = _histogram_sql(f"({ANNOTATED_SQL}) an", "confidence", 20, "comment_type")
 query("histogram_confidence", CONFIDENCE_SQL)(
     lambda t: m.histogram(

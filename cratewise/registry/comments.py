@@ -407,7 +407,8 @@ def top_keywords_stop_table(t):
 
 
 MENTIONS_SQL = f"SELECT artist AS g, compound FROM ({ANNOTATED_SQL}) an WHERE artist IS NOT NULL AND artist NOT IN ('unknown', '')"
-query("top_mentions", _top_sql("community_artist", MENTIONS_SQL, 20))(
+TOP_MENTIONS_SQL = _top_sql("community_artist", MENTIONS_SQL, 20)
+query("top_mentions", TOP_MENTIONS_SQL)(
     lambda t: m.top_mentions(
         materialize(annotated(t).select("ingested_at", "artist", "compound"), "annotated"), "community", COMPUTED_AT)
 )

@@ -94,20 +94,23 @@ def test_observed_rows(spark):
     assert seen.get["rows"] - left.get["rows"] == 75
 
 
-def test_comment_ids_run_over_all_posts(spark):
-    posts = [(p, [f"c{p}", None, " \n", f"d{p}"][: 1 + p % 4]) for p in range(300)]
+@pytest.mark.parametrize("step", [1, 7_000_000_011])
+def test_comment_ids_run_over_all_posts(spark, step):
+    posts = [(p * step, [f"c{p}", None, " \n", f"d{p}"][: 1 + p % 4]) for p in range(300)]
     df = spark.createDataFrame(posts, "post_id long, comments array<string>").repartition(5)
-    old = ex.ID_BLOCK
-    try:
-        ex.ID_BLOCK = 64
-        rows = ex.number_comments(df).orderBy("raw_comment_id").collect()
-    finally:
-        ex.ID_BLOCK = old
+    rows = ex.number_comments(df).orderBy("raw_comment_id").collect()
     expected = [(p, i, c) for p, cs in posts for i, c in enumerate(cs) if c and c.strip()]
     assert [(r["post_id"], r["comment_pos"], r["raw_comment"]) for r in rows] == expected
     assert [r["raw_comment_id"] for r in rows] == list(range(len(expected)))
 
 
+def test_no_text_is_ordered_for_comment_ids(spark):
+    df = spark.createDataFrame([(1, ["a"]), (2, ["b"])], "post_id long, comments array<string>")
+    plan = ex.number_comments(df)._jdf.queryExecution().optimizedPlan().toString()
+    below = [x for x in plan[plan.index("Window") :].split("\n") if "Relation" in x]
+    assert below and all("_post" in x and "comments" not in x for x in below)
+
+
 def test_parts_keep_their_order(spark):
     df = spark.createDataFrame([(1, "Foo (x) Bar\n\nbaz"), (2, "  )  \n A) B"), (3, " \n ")], "id int, c string")
     rows = ex.explode_parts(df, "c").orderBy("id", "part_pos").collect()

@@ -115,6 +115,15 @@ def test_large_brackets_are_cut_again(spark, monkeypatch, name):
     assert found == pytest.approx(np.quantile(values, [0.25, 0.5]).tolist(), rel=1e-12, abs=1e-12)
 
 
+def test_ranks_in_two_far_clusters(spark, monkeypatch):
+    monkeypatch.setattr(qt, "SMALL", 100)
+    values = [*map(float, range(500)), *map(float, range(10**6, 10**6 + 500))]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    first = qt._first_brackets(df, ["x"], [0.5])
+    assert [tuple(b["solved"]) for b in first] == [(499.0, 1e6)]
+    assert qt.exact_quantiles(df, ["x"], PROBS)["x"] == pytest.approx(np.quantile(values, PROBS).tolist(), rel=1e-12)
+
+
 def test_infinite_values(spark):
     df = spark.createDataFrame([(float("inf"),), (float("-inf"),), (1.0,), (2.0,), (3.0,)], "x double")
     assert qt.exact_quantiles(df, ["x"], [0.5, 0.25]) == {"x": [2.0, 1.0]}
