@@ -1,25 +1,30 @@
 """Toxicity by nearest labelled examples.
 
-Words whose presence goes with the label span a TF-IDF space. The examples are
-held in an inverted index whose posting lists are cut into blocks of examples,
-each with its largest weight. For a text, the sum of the block maxima bounds
-the cosine of every example in a block; blocks are scored in the order of that
-bound until it is no better than the k-th neighbour found, so the neighbours
-are exact. Their votes, weighted by closeness, are calibrated by what the
-examples' own neighbours say about them.
-
-The examples and the vocabulary are a bounded sample (``max_examples`` labelled
-rows, ``max_terms`` words). Document frequencies are counted over all texts.
+Every word of the examples is a dimension of a TF-IDF space; no word is left
+out. A word's weight is its idf over all texts times how much its presence says
+about the label, so words that say little are quiet. The examples are held in
+an index of blocks: postings of rare words are summed first, which is exact;
+words that many examples have are kept as dense blocks with the largest weight
+of each word in a block. Sum and maxima bound the cosine of every example in a
+block; blocks are scored in the order of that bound until it is below the k-th
+neighbour found, so the neighbours are exact (in single precision). Their votes,
+weighted by closeness, are calibrated by what the examples' own neighbours say
+about them.
+
+The examples are a bounded sample (``max_examples`` labelled rows), and the
+words are those of the sample. Document frequencies are counted over all texts.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, SparkContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +32,8 @@ from cratewise.llm.stores import written
 from cratewise.llm.words import LETTERS, U, small, word_slices
 
 BLOCK = 64
+# A word that more than one in so many examples has is held in dense blocks.
+COMMON = 16
 
 
 def held_out(doc_id="doc_id"):
@@ -64,18 +71,22 @@ def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(term, pa.int64()), pa.array(n, pa.int64()), pa.array(toxic.astype(np.int64))], ["term", "n", "t"])
 
 
-def _placed(vocabulary: np.ndarray):
-    """Per example the places and counts of its words that the vocabulary has."""
+def _placed(shared):
+    """Per example the places of its words in the vocabulary and its unit vector."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in small(batches):
-            row, term = _flat(batch.column(2))
+            places, weights = [], []
+            ends = np.r_[0, np.cumsum(batch.column(2).value_lengths().to_numpy(zero_copy_only=False))]
+            place = np.searchsorted(model.vocabulary, batch.column(2).flatten().to_numpy(zero_copy_only=False).view(U))
             count = batch.column(3).flatten().to_numpy(zero_copy_only=False)
-            hit = np.isin(term.view(U), vocabulary)
-            ends = np.r_[0, np.cumsum(np.bincount(row[hit], minlength=batch.num_rows))].astype(np.int32)
-            lists = [np.searchsorted(vocabulary, term[hit].view(U)), count[hit]]
+            for a, z in zip(ends[:-1], ends[1:]):
+                by = np.argsort(place[a:z])
+                places.append(place[a:z][by].astype(np.int32))
+                weights.append(model.vector(places[-1], count[a:z][by]).astype(np.float32) if z > a else np.zeros(0, np.float32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *[pa.ListArray.from_arrays(pa.array(ends), pa.array(x, pa.int64())) for x in lists]],
-                ["doc_id", "toxic", "places", "counts"],
+                [batch.column(0), batch.column(1), pa.array(places, pa.list_(pa.int32())), pa.array(weights, pa.list_(pa.float32()))],
+                ["doc_id", "toxic", "places", "weights"],
             )
 
     return run
@@ -86,18 +97,20 @@ def _known(column: pa.Array, vocabulary: np.ndarray) -> Iterator[tuple[int, np.n
     if not len(vocabulary):
         return
     for at, _, words in word_slices(column, LETTERS):
-        place = np.minimum(np.searchsorted(vocabulary, words.hashes), len(vocabulary) - 1)
-        hit = np.flatnonzero(vocabulary[place] == words.hashes)
-        row = np.searchsorted(words.first, hit, side="right") - 1
-        pair, count = np.unique(row * len(vocabulary) + place[hit], return_counts=True)
+        # Each distinct word of the slice is looked up once, in order.
+        found, nth = np.unique(words.hashes, return_inverse=True)
+        place = np.minimum(np.searchsorted(vocabulary, found), len(vocabulary) - 1)
+        hit = np.flatnonzero((vocabulary[place] == found)[nth])
+        pair, count = np.unique(words.row[hit] * len(vocabulary) + place[nth[hit]], return_counts=True)
         row, term = pair // len(vocabulary), pair % len(vocabulary)
         edge = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else []
         for a, z in zip(edge, [*edge[1:], len(row)]):
             yield at + int(row[a]), term[a:z], count[a:z]
 
 
-def _frequencies(vocabulary: np.ndarray):
+def _frequencies(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
         df, texts = np.zeros(len(vocabulary), dtype=np.int64), 0
         for batch in small(batches):
             texts += batch.num_rows
@@ -110,53 +123,98 @@ def _frequencies(vocabulary: np.ndarray):
 
 
 class BlockMaxIndex:
-    """Examples by term, in blocks, with the largest weight of a term in each block."""
+    """Examples by term: postings of rare terms; dense blocks, with the largest weight in each, of common ones."""
 
     def __init__(self, ids: list, toxic: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int):
         # Examples whose heaviest word is the same lie together, so that block maxima are tight.
         order = sorted(range(len(ids)), key=lambda i: (int(vectors[i][0][np.argmax(vectors[i][1])]), len(vectors[i][0]), ids[i]))
         self.ids, self.toxic = [ids[i] for i in order], np.asarray(toxic)[order]
         self.blocks = -(-len(order) // BLOCK)
-        rows = np.concatenate([np.full(len(vectors[i][0]), n) for n, i in enumerate(order)] or [np.zeros(0, int)]).astype(np.int64)
-        term = np.concatenate([vectors[i][0] for i in order] or [np.zeros(0, int)]).astype(np.int64)
-        weight = np.concatenate([vectors[i][1] for i in order] or [np.zeros(0)])
-        by = np.lexsort((rows, term))
-        self.rows, self.weight, term = rows[by], weight[by], term[by]
-        # Postings of term t in block b: start[t, b] to start[t, b + 1].
-        keys = np.arange(terms)[:, None] * (self.blocks + 1) * BLOCK + np.arange(self.blocks + 1)[None, :] * BLOCK
-        self.start = np.searchsorted(term * (self.blocks + 1) * BLOCK + self.rows, keys)
-        self.top = np.zeros((terms, max(self.blocks, 1)))
-        np.maximum.at(self.top, (term, self.rows // BLOCK), self.weight)
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The k examples with the largest cosine above 0: (cosine, example). Exact; ties by example."""
-        bound = weight @ self.top[term]
+        rows = np.repeat(np.arange(len(order), dtype=np.int32), [len(vectors[i][0]) for i in order])
+        term = np.concatenate([vectors[i][0] for i in order] or [np.zeros(0)]).astype(np.int32)
+        weight = np.concatenate([vectors[i][1] for i in order] or [np.zeros(0)]).astype(np.float32)
+        by = np.argsort(term, kind="stable")
+        self._fill(np.bincount(term, minlength=terms), rows[by], weight[by])
+
+    def _fill(self, n: np.ndarray, rows: np.ndarray, weight: np.ndarray) -> None:
+        """From postings in the order of terms, ``n`` of each term."""
+        common = n * COMMON > len(self.ids)
+        self.place = np.where(common, np.cumsum(common) - 1, -1).astype(np.int32)
+        dense = np.repeat(common, n)
+        self.dense = np.zeros((self.blocks, int(common.sum()), BLOCK), dtype=np.float32)
+        self.dense[rows[dense] // BLOCK, np.repeat(self.place, n)[dense], rows[dense] % BLOCK] = weight[dense]
+        self.top = np.ascontiguousarray(self.dense.max(axis=2, initial=0).T)
+        self.rows, self.weight = rows[~dense], weight[~dense]
+        # Postings of rare term t: start[t] to start[t + 1].
+        self.start = np.r_[0, np.cumsum(np.where(common, 0, n))].astype(np.int32)
+        self.common = n[common], rows[dense], weight[dense]
+
+    def __getstate__(self):
+        """Postings only, with narrow row numbers: each executor keeps a file of them."""
+        n = np.diff(self.start)
+        n[self.place >= 0] = self.common[0]
+        rows, weight = np.zeros(n.sum(), dtype=np.int32), np.zeros(n.sum(), dtype=np.float32)
+        dense = np.repeat(self.place >= 0, n)
+        rows[dense], weight[dense], rows[~dense], weight[~dense] = *self.common[1:], self.rows, self.weight
+        return self.ids, self.toxic, self.blocks, n, rows.astype(np.min_scalar_type(len(self.ids))), weight
+
+    def __setstate__(self, state):
+        self.ids, self.toxic, self.blocks, n, rows, weight = state
+        self._fill(n, rows.astype(np.int32), weight)
+
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, but: list[int] = ()) -> list[tuple[float, int]]:
+        """The k examples, none of ``but``, with the largest cosine above 0: (cosine, example). Ties by example."""
+        if not self.blocks:
+            return []
+        weight, place = weight.astype(np.float32), self.place[term]
+        rare = place < 0
+        begin = self.start[term[rare]]
+        n = self.start[term[rare] + 1] - begin
+        at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        part = np.bincount(self.rows[at], weights=np.repeat(weight[rare], n) * self.weight[at], minlength=self.blocks * BLOCK).astype(float)
+        part[list(but)] = -np.inf
+        part = part.reshape(self.blocks, BLOCK)
+        place, weight = place[~rare], weight[~rare]
+        # A little more than the sum, against rounding.
+        bound = (part.max(axis=1) + weight @ self.top[place]) * (1 + 1e-5)
         order = np.argsort(-bound, kind="stable")
-        best: list[tuple[float, int]] = []
-        for b in order:
-            if bound[b] <= 0 or (len(best) == k and bound[b] <= best[-1][0]):
+        score, example, least, step = np.zeros(0), np.zeros(0, dtype=np.int64), 0.0, 4
+        while len(order):
+            take, order = order[:step], order[step:]
+            take = take[(bound[take] > 0) & (bound[take] >= least)]
+            if not len(take):
                 break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(term, weight):
-                a, z = self.start[t, b], self.start[t, b + 1]
-                scores[self.rows[a:z] - b * BLOCK] += w * self.weight[a:z]
-            found = np.flatnonzero(scores > (best[-1][0] if len(best) == k else 0))
-            best = sorted(best + [(float(scores[i]), int(b * BLOCK + i)) for i in found], key=lambda x: (-x[0], x[1]))[:k]
-        return best
+            scores = part[take] + weight @ self.dense[take[:, None], place]
+            hit = (scores > 0) & (scores >= least)
+            score = np.r_[score, scores[hit]]
+            example = np.r_[example, (take[:, None] * BLOCK + np.arange(BLOCK))[hit]]
+            best = np.lexsort((example, -score))[:k]
+            score, example = score[best], example[best]
+            least = score[-1] if len(score) == k else 0.0
+            step = min(2 * step, 64)
+        return list(zip(score.tolist(), example.tolist()))
 
 
 @dataclass
 class ToxicityModel:
     vocabulary: np.ndarray
-    idf: np.ndarray
+    worth: np.ndarray  # weight of each word
     index: BlockMaxIndex
     base: float  # share of toxic examples
-    without: float  # the same among examples without a word of the vocabulary
+    without: float  # the same among examples without a word
     steps: tuple[np.ndarray, np.ndarray]  # calibration: votes and probabilities
     k: int = 15
+    shared: Broadcast | None = None  # this model on the executors, but for its steps
+
+    def __getstate__(self):
+        return self.__dict__ | {"shared": None}
+
+    def on_executors(self, context: SparkContext) -> Broadcast:
+        self.shared = self.shared or context.broadcast(self)
+        return self.shared
 
     def vector(self, term: np.ndarray, count: np.ndarray) -> np.ndarray:
-        weight = (1 + np.log(count)) * self.idf[term]
+        weight = (1 + np.log(count)) * self.worth[term]
         return weight / math.sqrt(float((weight**2).sum()))
 
     def vote(self, near: list[tuple[float, int]]) -> float:
@@ -186,14 +244,44 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([p[2] / p[1] for p in pools]), np.array([p[0] / p[1] for p in pools])
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, max_terms: int = 256, strength: float = 5.0) -> ToxicityModel:
+def worths(n: np.ndarray, toxic: np.ndarray, base: float, idf: np.ndarray) -> np.ndarray:
+    """Weight of words that ``n`` examples have, ``toxic`` of them toxic: never 0.
+
+    The idf is multiplied by the logarithm of the toxic share over the base rate
+    (drawn to 0 by four examples more) and by how many deviations the toxic count
+    is from what chance would give.
+    """
+    if not 0 < base < 1:
+        return idf
+    lift = np.log((toxic + 4 * base) / ((n + 4) * base))
+    z = (toxic - n * base) / np.sqrt(n * base * (1 - base) + 1)
+    return idf * (np.abs(lift * z) + 0.01)
+
+
+def _votes(shared):
+    """Vote of each example's neighbours, itself left out, beside its label."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, own = shared.value, {}
+        for n, i in enumerate(model.index.ids):
+            own.setdefault(i, []).append(n)
+        for batch in small(batches):
+            votes = []
+            for i, place, weight in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
+                place, weight = (x.values.to_numpy(zero_copy_only=False) for x in (place, weight))
+                votes.append(model.vote(model.index.nearest(place, weight, model.k, own[i])))
+            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), batch.column(1)], ["vote", "toxic"])
+
+    return run
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000) -> ToxicityModel:
     """Train on labelled rows that are not held out.
 
-    A sample by hash of the ids of about ``max_examples`` labelled rows is used.
-    Words go into the vocabulary if their toxic count is ``strength`` deviations
-    from what chance would give, the ``max_terms`` strongest. A document labelled
-    more than once is toxic if any label says so; null labels are none.
+    A sample by hash of the ids of about ``max_examples`` labelled rows is used, with
+    every word of it. A document labelled more than once is toxic if any label says
+    so; null labels are none.
     """
+    context = docs.sparkSession.sparkContext
     labelled = written(
         labels.filter("toxic is not null and doc_id is not null").filter(~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")), "labelled"
     )
@@ -207,57 +295,53 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000, max_term
     total, toxic = examples.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     base = toxic / total if total else 0.0
     seen = examples.select("toxic", "terms").mapInArrow(_seen, "term long, n long, t long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-    strong = seen.withColumn("z", F.abs(F.col("t") - F.col("n") * base) / F.sqrt(F.col("n") * base * (1 - base) + 1)).filter(F.col("z") >= strength)
-    vocabulary = np.sort(np.array([r["term"] for r in strong.orderBy(F.desc("z"), "term").limit(max_terms).collect()], dtype=np.int64).view(U))
+    # The words of at most max_examples texts.
+    seen = [c.to_numpy() for c in seen.toArrow().columns]
+    by = np.argsort(seen[0].view(U))
+    vocabulary = seen[0].view(U)[by]
 
     df, texts = np.zeros(len(vocabulary)), 0
+    shared = context.broadcast(vocabulary)
     # One row per word at most, summed.
-    counted = docs.select("text").mapInArrow(_frequencies(vocabulary), "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    for row in counted.collect():
-        if row["term"] < 0:
-            texts = row["n"]
-        else:
-            df[row["term"]] = row["n"]
-    idf = np.log((texts + 1) / (df + 1)) + 1
-
-    model = ToxicityModel(vocabulary, idf, BlockMaxIndex([], np.zeros(0), [], len(vocabulary)), base, base, (np.array([0.0]), np.array([base])))
-    ids, label, vectors, bare = [], [], [], [0, 0]
-    # At most max_examples rows of a few words each.
-    placed = examples.mapInArrow(_placed(vocabulary), f"doc_id {kind}, toxic int, places array<long>, counts array<long>")
-    for row in placed.orderBy("doc_id").collect():
-        if not row["places"]:
-            bare[0] += row["toxic"]
-            bare[1] += 1
-            continue
-        term, count = np.array(row["places"]), np.array(row["counts"])
-        order = np.argsort(term)
-        term, count = term[order], count[order]
-        ids.append(row["doc_id"])
-        label.append(row["toxic"])
-        vectors.append((term, model.vector(term, count)))
-    model.without = bare[0] / bare[1] if bare[1] else base
-    if ids:
-        model.index = BlockMaxIndex(ids, np.array(label), vectors, len(vocabulary))
-        own = {i: n for n, i in enumerate(model.index.ids)}
-        votes = []
-        for i, (term, weight) in zip(ids, vectors):
-            near = [x for x in model.index.nearest(term, weight, model.k + 1) if x[1] != own[i]][: model.k]
-            votes.append(model.vote(near))
-        model.steps = isotonic(np.array(votes), np.array(label, dtype=float))
+    counted = docs.select("text").mapInArrow(_frequencies(shared), "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    term, n = [c.to_numpy() for c in counted.toArrow().columns]
+    texts = int(n[term < 0].sum())
+    df[term[term >= 0]] = n[term >= 0]
+    shared.destroy()
+    worth = worths(seen[1][by], seen[2][by], base, np.log((texts + 1) / (df + 1)) + 1).astype(np.float32)
+
+    model = ToxicityModel(vocabulary, worth, BlockMaxIndex([], np.zeros(0), [], 0), base, base, (np.array([0.0]), np.array([base])))
+    shared = context.broadcast(model)
+    placed = written(examples.mapInArrow(_placed(shared), f"doc_id {kind}, toxic int, places array<int>, weights array<float>"), "placed")
+    bare, bad = placed.filter("size(places) = 0").agg(F.count("*"), F.sum("toxic")).first()
+    model.without = bad / bare if bare else base
+    # At most max_examples rows.
+    worded = placed.filter("size(places) > 0")
+    table = worded.toArrow().combine_chunks()
+    shared.destroy()
+    if table.num_rows:
+        ids, label, places, weights = (c.chunk(0) for c in table.columns)
+        ends = np.r_[0, np.cumsum(places.value_lengths().to_numpy(zero_copy_only=False))]
+        places, weights = places.flatten().to_numpy(), weights.flatten().to_numpy()
+        vectors = [(places[a:z], weights[a:z]) for a, z in zip(ends[:-1], ends[1:])]
+        model.index = BlockMaxIndex(ids.to_pylist(), label.to_numpy(), vectors, len(vocabulary))
+        del table, places, weights, vectors
+        votes = worded.mapInArrow(_votes(model.on_executors(context)), "vote double, toxic int").toArrow()
+        model.steps = isotonic(votes["vote"].to_numpy(), votes["toxic"].to_numpy().astype(float))
     return model
 
 
-def _scored(shared, with_text: bool, at: int):
+def _scored(shared, steps: tuple[np.ndarray, np.ndarray], with_text: bool, at: int):
     """Rows with score and evidence, or (``with_text``) only rows below one half."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = shared.value, {}
+        model, known = replace(shared.value, steps=steps), {}
         for batch in small(batches):
             score = np.full(batch.num_rows, model.without)
             evidence = [""] * batch.num_rows
             for row, term, count in _known(batch.column(at), model.vocabulary):
-                key = term.tobytes() + count.tobytes()
+                key = hashlib.blake2b(term.tobytes() + count.tobytes(), digest_size=16).digest()
                 if key not in known:
-                    if len(known) > 100_000:
+                    if len(known) > 20_000:
                         known.clear()
                     s, near = model.score(term, count)
                     known[key] = s, ",".join(f"{model.index.ids[i]}:{model.index.toxic[i]}:{c:.4f}" for c, i in near[:3])
@@ -275,16 +359,16 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     examples as id:label:cosine).
 
     The score is a function of the text and the model alone. A null, empty or
-    unrelated text gets the toxic share of the examples without any word of the
-    vocabulary; without labels every score is 0. One row per input row.
+    unrelated text gets the toxic share of the examples without any word (or of all);
+    without labels every score is 0. One row per input row.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = model.on_executors(docs.sparkSession.sparkContext)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = docs.select("doc_id", "text").mapInArrow(_scored(shared, False, 1), f"doc_id {kind}, score double, evidence string")
+    scored = docs.select("doc_id", "text").mapInArrow(_scored(shared, model.steps, False, 1), f"doc_id {kind}, score double, evidence string")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """The rows of ``docs``, all columns, that are not predicted toxic."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_scored(shared, True, docs.columns.index("text")), docs.schema)
+    shared = model.on_executors(docs.sparkSession.sparkContext)
+    return docs.mapInArrow(_scored(shared, model.steps, True, docs.columns.index("text")), docs.schema)

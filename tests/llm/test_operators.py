@@ -291,3 +291,38 @@ def test_toxicity(spark, docs):
     assert all(x.predicted == dict(labels)[x.doc_id] for x in found)
     assert all(x.held_out == (zlib.crc32(str(x.doc_id).encode()) % 5 == 0) for x in found)
     assert score_toxicity(docs, fit(docs, known.limit(0))).filter("score > 0").count() == 0
+
+
+def test_toxicity_of_rare_words(spark):
+    r = random.Random(4)
+    plain = [f"w{i}" for i in range(200)]
+    texts = [(i, " ".join(r.choice(plain) for _ in range(30)) + (" nasty vile" if i % 9 == 0 else "")) for i in range(900)]
+    labels = [(i, int(i % 9 == 0)) for i in range(900)]
+    # A small language: six toxic examples share its only toxic word.
+    other = [f"x{i}" for i in range(50)]
+    small = [" ".join(r.choice(other) for _ in range(20)) + (" feo" if i < 6 else "") for i in range(40)]
+    train = [i for i in range(1000, 1200) if zlib.crc32(str(i).encode()) % 5][:40]
+    texts += list(zip(train, small))
+    labels += [(i, int(n < 6)) for n, i in enumerate(train)]
+    asked = [(5000, " ".join(other[:10]) + " feo"), (5001, " ".join(other[:10]))]
+    df = spark.createDataFrame(texts + asked, "doc_id long, text string")
+    model = fit(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert len(model.vocabulary) == 200 + 50 + 3
+    found = {x.doc_id: x for x in score_toxicity(df, model).collect()}
+    assert found[5000].predicted == 1 and found[5001].predicted == 0
+
+
+def test_block_max_of_rare_and_common_words_is_exact():
+    rng = np.random.default_rng(1)
+    share = 0.9 / np.arange(1, 401)
+    dense = np.where(rng.random((700, 400)) < share, rng.random((700, 400)), 0)
+    dense = dense[dense.sum(axis=1) > 0]
+    dense /= np.sqrt((dense**2).sum(axis=1, keepdims=True))
+    vectors = [(np.flatnonzero(x), x[np.flatnonzero(x)]) for x in dense]
+    index = BlockMaxIndex(list(range(len(dense))), np.zeros(len(dense), dtype=int), vectors, 400)
+    assert 0 < index.dense.shape[1] < 400
+    for n, (term, weight) in enumerate(vectors[:100]):
+        own = index.ids.index(n)
+        scores = np.delete(dense[:, term] @ weight, n)
+        best = np.sort(scores)[::-1][:10]
+        assert np.allclose([s for s, _ in index.nearest(term, weight, 10, [own])], best[best > 0], atol=1e-6)
