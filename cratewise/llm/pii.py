@@ -6,9 +6,12 @@
 2. *Patterns.* The word before an instance is its lexical pattern. Every token
    with a digit that is not part of a seed is a candidate instance.
 3. *Graph.* Patterns and instances form a graph. In each round a pattern's
-   confidence for a kind is the share of that kind among its instances, and a
-   candidate's score is one minus the product of its good patterns' doubts;
-   accepted candidates count for their patterns in the next round.
+   confidence for a kind is the share of that kind among its seeds and accepted
+   candidates, and a candidate's score is one minus the product of its good
+   patterns' doubts, times their share of the judged patterns it has; accepted
+   candidates count with their scores for their patterns in the next round. What
+   is not labelled yet speaks neither for nor against a pattern. Rounds end when
+   no candidate is new.
 4. Candidates with a high score are reported as ``near_<kind>`` spans.
 
 Everything is built-in DataFrame functions; a frequent pattern is aggregated on
@@ -100,33 +103,40 @@ def instances(spans: DataFrame) -> DataFrame:
     )
 
 
-def discover(found: DataFrame, rounds: int = 3, support: int = 3, sure: float = 0.7, accept: float = 0.8) -> DataFrame:
+def discover(found: DataFrame, support: int = 3, sure: float = 0.7, accept: float = 0.8) -> DataFrame:
     """(match, near): candidates that patterns of one kind vouch for.
 
-    A pattern counts if at least ``support`` different seeds of the kind stand
-    behind it and its confidence is ``sure`` or more.
+    A pattern is judged if seeds and accepted candidates, which count with their
+    scores, sum to ``support``; it is good for a kind if that kind alone does and
+    its confidence is ``sure`` or more. An accepted candidate stays, so the rounds
+    end: at the latest when all candidates are accepted.
     """
     edges = written(
         found.filter("pattern is not null").groupBy("pattern", "match", "kind").agg(F.count("*").alias("n")), "edges"
     )
-    kinds = F.array(*[F.lit(k) for k in KINDS])
-    seeds = edges.filter("kind <> 'token'").select("pattern", "match", F.col("kind").alias("of"), F.lit(1.0).alias("score"))
-    sizes = written(edges.groupBy("pattern").agg(F.count("*").alias("size")), "sizes")
-    scored = seeds
-    accepted = None
-    for _ in range(rounds):
-        strong = scored.groupBy("pattern", "of").agg(F.sum("score").alias("weight"), F.sum(F.when(F.col("score") == 1.0, 1)).alias("seeds"))
-        good = written(
-            strong.join(sizes, "pattern").withColumn("sure", F.col("weight") / (F.col("size") + 1))
-            .filter((F.col("seeds") >= support) & (F.col("sure") >= sure)).select("pattern", "of", "sure"), "good"
-        )
-        candidates = edges.filter("kind = 'token'").join(good, "pattern")
-        doubt = F.exp(F.sum(F.log(1 - F.least("sure", F.lit(0.999)))))
-        accepted = written(candidates.groupBy("match", "of").agg((1 - doubt).alias("score")).filter(F.col("score") >= accept), "accepted")
-        back = edges.filter("kind = 'token'").join(accepted, "match").select("pattern", "match", "of", "score")
-        scored = seeds.unionByName(back)
-    best = accepted.groupBy("match").agg(F.max(F.struct("score", F.array_position(kinds, F.col("of")), "of")).alias("b"))
-    return best.select("match", F.concat(F.lit("near_"), F.col("b.of")).alias("near"))
+    tokens = edges.filter("kind = 'token'").select("pattern", "match")
+    seeds = edges.filter("kind <> 'token'").select("pattern", F.col("kind").alias("of"), F.lit(1.0).alias("score"))
+    scored, accepted = seeds, None
+    while True:
+        of = [F.coalesce(F.sum(F.when(F.col("of") == k, F.col("score"))), F.lit(0.0)) for k in KINDS]
+        best = F.greatest(*[F.struct(w.alias("weight"), F.lit(k).alias("of")) for w, k in zip(of, KINDS)])
+        patterns = scored.groupBy("pattern").agg(F.sum("score").alias("total"), best.alias("best"))
+        trust = F.col("best.weight") / (F.col("total") + 1)
+        good = (F.col("best.weight") >= support) & (trust >= sure)
+        judged = written(patterns.filter(F.col("total") >= support).select("pattern", F.when(good, F.col("best.of")).alias("of"), trust.alias("sure")), "judged")
+        doubt = F.log(1 - F.least("sure", F.lit(0.999)))
+        parts = [
+            (F.count(F.when(F.col("of") == k, 1)) / F.count("*") * (1 - F.exp(F.coalesce(F.sum(F.when(F.col("of") == k, doubt)), F.lit(0.0)))), k)
+            for k in KINDS
+        ]
+        # Of equal scores the later kind.
+        best = F.greatest(*[F.struct(x.alias("score"), F.lit(n).alias("order"), F.lit(k).alias("of")) for n, (x, k) in enumerate(parts)])
+        scores = tokens.join(judged, "pattern").groupBy("match").agg(best.alias("best")).filter(F.col("best.score") >= accept).select("match", "best.of", "best.score")
+        fresh = written(scores if accepted is None else scores.join(accepted.select("match"), "match", "left_anti"), "accepted")
+        done, accepted = fresh.isEmpty(), fresh if accepted is None else accepted.unionByName(fresh)
+        if done:
+            return accepted.select("match", F.concat(F.lit("near_"), F.col("of")).alias("near"))
+        scored = seeds.unionByName(tokens.join(accepted, "match").select("pattern", "of", "score"))
 
 
 def personal_data(docs: DataFrame) -> DataFrame:

@@ -196,6 +196,20 @@ def test_personal_data(spark, docs):
     assert personal_data(docs.limit(0)).count() == 0
 
 
+def test_personal_data_bootstrap(spark):
+    texts = [f"please dial: +1 (555) 010-00{i:02d} today" for i in range(5)]
+    # More unseen forms than seeds; some of them lead to a context without seeds, and that to one more.
+    texts += [f"please dial: 555-01{i:02d}-77 now" for i in range(30)]
+    texts += [f"or ring: 555-01{i:02d}-77 now" for i in range(8)] + [f"or ring: 0555/{i:02d} now" for i in range(8)]
+    texts += [f"or buzz: 0555/{i:02d} now" for i in range(8)] + ["or buzz: x555 now"]
+    # A context of several kinds vouches for none, and speaks against what else it introduces.
+    texts += [f"see also +1 (555) 020-00{i:02d}" for i in range(5)] + [f"see also 10.0.0.{i}" for i in range(5)]
+    texts += ["see also part7", "please dial: 2024 now", "see also 2024"]
+    out = personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    near = {r.doc_id for r in out if "near_phone" in r.spans}
+    assert near == set(range(5, 60)) and all("near_" not in r.spans for r in out if r.doc_id >= 60)
+
+
 def test_quality_counts(docs):
     word = re.compile(r"[^\x20\x09-\x0D]+")
     expected = Counter()
