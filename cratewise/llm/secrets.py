@@ -1,11 +1,12 @@
 """Secret scans: fixed forms, and random-looking tokens by two character Markov models.
 
 One model is of random strings, one of ordinary identifiers; both are character
-bigrams. They are trained on labelled samples that Spark counts over the whole
-corpus: values of the fixed forms are random; other long tokens, if digits only
-end them, are ordinary.
-A token whose log-likelihood ratio per character is high enough, and that no
-fixed form covers, is reported as a ``random`` span.
+bigrams. They are trained on samples that Spark counts over the whole corpus:
+values of the fixed forms are random; words too short to be judged, and longer
+tokens that many rows have, are ordinary.
+A token whose log-likelihood ratio, summed over its characters, is high enough,
+and that no fixed form covers, is reported as a ``random`` span. Any token of
+eight characters or more is judged, whatever characters it has.
 
 Long tokens are found in the bytes of a whole Arrow batch at once; only texts
 that hold a key word or a long enough run meet a regular expression.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cratewise.llm.stores import written
 from cratewise.llm.words import slices, small, text_bytes
 
 # The forms of the contract; a match that is too short is dropped.
@@ -32,11 +35,10 @@ HEX = re.compile(r"[0-9a-f]+")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex")
 
-# An identifier that may train the ordinary model: digits at its end at most.
-ORDINARY = re.compile(rb"[A-Za-z+/_=-]+[0-9]{0,4}").fullmatch
-# What the models judge: a digit and a letter at least.
-MIXED = re.compile(rb"(?=[^0-9]*[0-9])[^A-Za-z]*[A-Za-z]").match
-
+# What the summed log-likelihood ratio must reach.
+THRESHOLD = 10.0
+# A token that may train the ordinary model if many rows have it: a number, or digits at its end at most.
+ORDINARY = re.compile(rb"[A-Za-z+/_=-]+[0-9]{0,4}|[0-9+/_=-]+").fullmatch
 # Characters of a token; every other byte ends it.
 _TOKEN = np.zeros(256, dtype=bool)
 _TOKEN[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *map(ord, "+/_=-")]] = True
@@ -78,14 +80,19 @@ def runs(data: np.ndarray, offsets: np.ndarray, member: np.ndarray, least: int)
     return start[long], end[long]
 
 
-def _scan(column: pa.Array, least: int) -> Iterator[tuple[int, str | None, list, np.ndarray, np.ndarray, np.ndarray]]:
+def _scan(column: pa.Array, least: int, models: MarkovModels | None = None, threshold: float = 0.0) -> Iterator[tuple[int, str | None, list, np.ndarray, np.ndarray, np.ndarray]]:
     """Per row: its text and fixed spans if any form may be there, and byte ranges of its long tokens
-    with the bytes they are in."""
+    (with ``models``, of those that score ``threshold`` or more) with the bytes they are in."""
     data, offsets = text_bytes(column)
     for at, to in slices(offsets):
         own = offsets[at : to + 1] - offsets[at]
         part = data[offsets[at] : offsets[to]]
         start, end = runs(part, own, _TOKEN, least)
+        # A run of hexadecimal digits or an access key is within such a token.
+        wide = np.searchsorted(start[end - start >= 16], own)
+        if models is not None and len(start):
+            likely = models.sums(part, start, end) >= threshold
+            start, end = start[likely], end[likely]
         first = np.searchsorted(start, own)
         raw = part.tobytes()
         low = raw.lower()
@@ -93,9 +100,9 @@ def _scan(column: pa.Array, least: int) -> Iterator[tuple[int, str | None, list,
         for r in range(to - at):
             a, z = int(first[r]), int(first[r + 1])
             lo, hi = int(own[r]), int(own[r + 1])
-            near = z > a or (maybe and (any(low.find(w.encode(), lo, hi) >= 0 for w in KEYWORDS) or raw.find(b"AKIA", lo, hi) >= 0))
-            text = raw[lo:hi].decode() if near else None
-            yield at + r, text, fixed_spans(text) if near else [], start[a:z] - lo, end[a:z] - lo, part[lo:hi]
+            form = wide[r + 1] > wide[r] or (maybe and (any(low.find(w.encode(), lo, hi) >= 0 for w in KEYWORDS) or raw.find(b"AKIA", lo, hi) >= 0))
+            text = raw[lo:hi].decode() if form or z > a else None
+            yield at + r, text, fixed_spans(text) if form else [], start[a:z] - lo, end[a:z] - lo, part[lo:hi]
 
 
 def _outside(text: str, spans: list, start: np.ndarray, end: np.ndarray, data: np.ndarray) -> list[tuple[int, int, bytes]]:
@@ -123,30 +130,68 @@ def _bigrams(tokens: list[bytes]) -> np.ndarray:
     return counts
 
 
+def _short(column: pa.Array, least: int) -> np.ndarray:
+    """Bigrams of the words and numbers that are shorter than ``least``."""
+    counts = np.zeros(len(SYMBOLS) ** 2, dtype=np.int64)
+    data, offsets = text_bytes(column)
+    for at, to in slices(offsets):
+        part = data[offsets[at] : offsets[to]]
+        start, end = runs(part, offsets[at : to + 1] - offsets[at], _TOKEN, 2)
+        below = end - start < least
+        start, n = start[below], (end - start)[below] - 1
+        pair = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        counts += np.bincount(_PLACE[part[pair]] * len(SYMBOLS) + _PLACE[part[pair + 1]], minlength=len(counts))
+    return counts
+
+
 def _sampled(least: int):
+    """Bigrams (label, code, n) of the random samples and of short words, and rows that have a longer token (token, n)."""
+    names = ["label", "code", "token", "n"]
+
+    def listed(rows: Counter) -> pa.RecordBatch:
+        none = pa.nulls(len(rows), pa.int32())
+        return pa.RecordBatch.from_arrays([none, none, pa.array([t.decode() for t in rows], pa.string()), pa.array(list(rows.values()), pa.int64())], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, len(SYMBOLS) ** 2), dtype=np.int64)
+        total, rows = np.zeros((2, len(SYMBOLS) ** 2), dtype=np.int64), Counter()
         for batch in small(batches):
-            random, plain = [], []
+            random = []
+            total[1] += _short(batch.column(0), least)
             for _, text, spans, start, end, data in _scan(batch.column(0), least):
                 if text is not None:
                     random += [text[s[3] : s[2]].strip("\"'").encode() for s in spans]
-                    plain += [t for _, _, t in _outside(text, spans, start, end, data) if ORDINARY(t)]
-                    if len(plain) > 100_000:
-                        total[1] += _bigrams(plain)
-                        plain = []
+                    rows.update({t for _, _, t in _outside(text, spans, start, end, data) if len(t) <= 64 and ORDINARY(t)})
+                if len(rows) > 200_000:
+                    yield listed(rows)
+                    rows.clear()
             total[0] += _bigrams(random)
-            total[1] += _bigrams(plain)
+        yield listed(rows)
         label, code = np.nonzero(total)
-        yield pa.RecordBatch.from_pydict({"label": pa.array(label, pa.int32()), "code": pa.array(code, pa.int32()), "n": pa.array(total[label, code], pa.int64())})
+        yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(code, pa.int32()), pa.nulls(len(label), pa.string()), pa.array(total[label, code], pa.int64())], names)
 
     return run
 
 
-def bigram_counts(docs: DataFrame, least: int = 12) -> DataFrame:
-    """(label, code, n): character bigrams of random (0) and ordinary (1) samples of the whole corpus."""
-    counted = docs.select("text").mapInArrow(_sampled(least), "label int, code int, n long")
-    return counted.groupBy("label", "code").agg(F.sum("n").alias("n"))
+def _weighted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bigrams of tokens, each as often as rows have it."""
+    total = np.zeros(len(SYMBOLS) ** 2, dtype=np.int64)
+    for batch in small(batches):
+        for token, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            place = _PLACE[np.frombuffer(token.encode(), dtype=np.uint8)]
+            np.add.at(total, place[:-1] * len(SYMBOLS) + place[1:], n)
+    code = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(code)), pa.int32()), pa.array(code, pa.int32()), pa.array(total[code], pa.int64())], ["label", "code", "n"])
+
+
+def bigram_counts(docs: DataFrame, least: int = 8, often: int = 5) -> DataFrame:
+    """(label, code, n): character bigrams of random (0) and ordinary (1) samples of the whole corpus.
+
+    Ordinary are words and numbers shorter than ``least`` and tokens that ``often`` or more rows have."""
+    counted = docs.select("text").mapInArrow(_sampled(least), "label int, code int, token string, n long")
+    counted = written(counted.groupBy("label", "code", "token").agg(F.sum("n").alias("n")), "samples")
+    tokens = counted.filter(F.col("token").isNotNull() & (F.col("n") >= often)).select("token", "n")
+    tokens = tokens.mapInArrow(_weighted, "label int, code int, n long")
+    return counted.filter("token is null").select("label", "code", "n").unionByName(tokens).groupBy("label", "code").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -168,22 +213,21 @@ class MarkovModels:
         random = (1 - uniform) * p[0] + uniform / n
         return cls(np.log(random) - np.log(p[1]))
 
-    def score(self, token: bytes) -> float:
-        """Mean log-likelihood ratio per character pair."""
-        place = _PLACE[np.frombuffer(token, dtype=np.uint8)]
-        return float(self.ratio[place[:-1], place[1:]].mean())
+    def sums(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Log-likelihood ratio of each token data[start:end]."""
+        place = _PLACE[data]
+        upto = np.r_[0.0, np.cumsum(self.ratio[place[:-1], place[1:]])]
+        return upto[end - 1] - upto[start]
 
 
 def _found(models, least: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
             rows = []
-            for _, text, spans, start, end, data in _scan(batch.column(1), least):
+            for _, text, spans, start, end, data in _scan(batch.column(1), least, models.value, threshold):
                 extra = []
                 if text is not None:
-                    for a, z, token in _outside(text, spans, start, end, data):
-                        if MIXED(token) and models.value.score(token) >= threshold:
-                            extra.append((a, len(KINDS), z))
+                    extra = [(a, len(KINDS), z) for a, z, _ in _outside(text, spans, start, end, data)]
                 named = [(s[0], s[1], f"{KINDS[s[1]]}:{s[0]}:{s[2]}") for s in spans]
                 base = ",".join(x[2] for x in named)
                 every = sorted(named + [(a, k, f"random:{a}:{z}") for a, k, z in extra])
@@ -198,14 +242,15 @@ def _found(models, least: int, threshold: float):
     return run
 
 
-def find_secrets(docs: DataFrame, least: int = 16, threshold: float = 1.5, samples: DataFrame | None = None) -> DataFrame:
+def find_secrets(docs: DataFrame, least: int = 8, threshold: float = THRESHOLD, samples: DataFrame | None = None) -> DataFrame:
     """Secret spans of each whole text.
 
     Returns one row per row of ``docs``: ``doc_id``, ``n_assign``, ``n_access``,
     ``n_hex``, ``base_sha256`` (digest of the fixed forms' spans) and ``spans`` (all,
     as kind:start:end by start, then kind; ``random`` is the models' kind). Places
-    are code points, the end is exclusive. The models see tokens of ``least`` or
-    more characters that have a digit and a letter. ``samples`` gives other bigram
+    are code points, the end is exclusive. The models judge every token of ``least``
+    or more characters; the log-likelihood ratio summed over a token must reach
+    ``threshold``, so a short token must be unlikelier per character. ``samples`` gives other bigram
     counts (label, code, n); by default the corpus is counted first: two reads.
     A null or empty text has no spans; repeated rows get equal results; an empty
     table gives no rows; other columns are ignored.

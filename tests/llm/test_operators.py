@@ -183,6 +183,19 @@ def test_secrets(docs):
     assert find_secrets(docs.limit(0)).count() == 0
 
 
+def test_secrets_of_any_characters(spark):
+    words = "the report of this configuration shows understanding identification and representation in 2024 with number 12345678".split()
+    r = random.Random(7)
+    texts = [(i, " ".join(r.choice(words) for _ in range(40))) for i in range(200)]
+    keys = ["xKqZvWjRpTbNmLcD", "QWZXKVJPRTLMHGBNQXZJ", "qzxjvkwqpzhxbjqv", "k9Xq2Lw8", "ZqXw9Kv3"]
+    texts += [(1000 + i, f"the {k} of this") for i, k in enumerate(keys)]
+    # Forms that train the random model.
+    texts += [(2000 + i, "token=" + "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(24))) for i in range(50)]
+    found = {x.doc_id: x.spans for x in find_secrets(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert [found[1000 + i] for i in range(len(keys))] == [f"random:4:{4 + len(k)}" for k in keys]
+    assert all("random" not in found[i] for i in range(200))
+
+
 def test_personal_data(spark, docs):
     found = {r.doc_id: r for r in personal_data(docs).collect()}
     assert found[11].spans == "email:5:10,email:10:16,ip:20:27,card:45:64,phone:65:82"
