@@ -11,9 +11,9 @@ fingerprint for certain.
 2. Fingerprints are counted; windows whose fingerprint occurs once are dropped.
 3. Positions are joined on the fingerprint and the window's content. The first
    place (smallest doc_id, then line) of a window is kept.
-4. Later places are extended both ways: the windows that begin and end at the
-   neighbouring lines overlap, and together they cover the longest repeated run
-   to both sides. Covered lines are deleted.
+4. All windows are joined, not a sparse selection, so there is no extension step: the
+   union of the later places' windows is the longest repeated run to both sides.
+   Covered lines are deleted.
 
 Texts move once, to meet the numbers of their deleted lines. All counting is
 combined before the shuffle; joins on a frequent window are inner joins of
