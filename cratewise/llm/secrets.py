@@ -131,13 +131,14 @@ def _bigrams(tokens: list[bytes]) -> np.ndarray:
 
 
 def _short(column: pa.Array, least: int) -> np.ndarray:
-    """Bigrams of the words and numbers that are shorter than ``least``."""
+    """Bigrams of the words that are shorter than ``least``, and of tokens without letters."""
     counts = np.zeros(len(SYMBOLS) ** 2, dtype=np.int64)
     data, offsets = text_bytes(column)
     for at, to in slices(offsets):
         part = data[offsets[at] : offsets[to]]
         start, end = runs(part, offsets[at : to + 1] - offsets[at], _TOKEN, 2)
-        below = end - start < least
+        letters = np.r_[0, np.cumsum(((part | 0x20) >= 0x61) & ((part | 0x20) <= 0x7A))]
+        below = (end - start < least) | (letters[end] == letters[start])
         start, n = start[below], (end - start)[below] - 1
         pair = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
         counts += np.bincount(_PLACE[part[pair]] * len(SYMBOLS) + _PLACE[part[pair + 1]], minlength=len(counts))
@@ -186,7 +187,7 @@ def _weighted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def bigram_counts(docs: DataFrame, least: int = 8, often: int = 5) -> DataFrame:
     """(label, code, n): character bigrams of random (0) and ordinary (1) samples of the whole corpus.
 
-    Ordinary are words and numbers shorter than ``least`` and tokens that ``often`` or more rows have."""
+    Ordinary are words shorter than ``least``, numbers of any length (phone numbers, dates) and tokens that ``often`` or more rows have."""
     counted = docs.select("text").mapInArrow(_sampled(least), "label int, code int, token string, n long")
     counted = written(counted.groupBy("label", "code", "token").agg(F.sum("n").alias("n")), "samples")
     tokens = counted.filter(F.col("token").isNotNull() & (F.col("n") >= often)).select("token", "n")
