@@ -5,6 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from cratewise.llm.archives import archived_pages
+from cratewise.llm.centroids import lookup_clusters
 from cratewise.llm.decontam import contamination
 from cratewise.llm.line_dedup import drop_repeated_lines
 from cratewise.llm.ngram_join import jaccard_components
@@ -15,6 +17,7 @@ from cratewise.llm.secrets import find_secrets
 from cratewise.llm.sharding import shard_documents
 from cratewise.llm.token_counts import count_tokens
 from cratewise.llm.toxicity import fit, score_toxicity
+from cratewise.llm.turns import repaired_conversations
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -65,11 +68,23 @@ def op10_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op11_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    return lookup_clusters(_table(spark, folder, "embeddings"))
+
+
+def op12_auction(spark: SparkSession, folder: str) -> DataFrame:
+    return repaired_conversations(_table(spark, folder, "conversations"))
+
+
+def op13_zip(spark: SparkSession, folder: str) -> DataFrame:
+    return archived_pages(_table(spark, folder, "pages"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_hilbert, op2_winnowing, op3_wu_manber, op4_block_max, op5_ngram_jaccard, op6_markov, op7_contexts, op8_weak_votes,
-        op9_token_counts, op10_best_fit,
+        op9_token_counts, op10_best_fit, op11_lookup, op12_auction, op13_zip,
     )
 }
 
@@ -122,4 +137,36 @@ kept AS (SELECT doc_id, count(*) AS lines, count(*) FILTER (gone.line IS NOT NUL
   string_agg(content, chr(10) ORDER BY line.line) FILTER (gone.line IS NULL) AS text FROM line LEFT JOIN gone USING (doc_id, line) GROUP BY doc_id)
 SELECT doc_id, lines, lines_gone, coalesce(text, '') AS text FROM kept"""
 
-ORACLES: dict[str, str] = {"op2_winnowing": OP2_SQL, "op3_wu_manber": OP3_SQL, "op5_ngram_jaccard": OP5_SQL}
+OP13_SQL = """
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN nth > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN nth > 1 THEN lead_id END AS refers_to
+FROM (SELECT page_id, size AS payload_bytes, sha256(payload) AS payload_digest,
+    CASE WHEN size >= 100 THEN row_number() OVER same ELSE 1 END AS nth, first_value(page_id) OVER same AS lead_id
+  FROM (SELECT page_id, coalesce(html, '') AS payload, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS size FROM pages)
+  WINDOW same AS (PARTITION BY payload ORDER BY page_id NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"""
+
+_ROUND = """
+near{i} AS MATERIALIZED (SELECT r, c, s FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY s, c) AS nth
+  FROM (SELECT r, c, CAST(sum((cell.x - mid{i}.x) * (cell.x - mid{i}.x)) AS BIGINT) AS s FROM cell JOIN mid{i} USING (d) GROUP BY r, c)) WHERE nth = 1)"""
+_MOVE = """,
+mid{j} AS MATERIALIZED (SELECT c, d, coalesce(y, x) AS x FROM mid{i} LEFT JOIN (
+  SELECT c, d, CAST((total - ((total % n) + n) % n) // n AS BIGINT) AS y FROM (
+    SELECT c, d, CAST(sum(x) AS BIGINT) AS total, count(*) AS n FROM cell JOIN near{i} USING (r) GROUP BY c, d)) USING (c, d)),"""
+OP11_SQL = (
+    """
+WITH part AS MATERIALIZED (SELECT r, vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS d
+  FROM (SELECT vec_id, embedding, row_number() OVER () AS r FROM embeddings)),
+kept AS MATERIALIZED (SELECT r, any_value(vec_id) AS vec_id FROM part GROUP BY r HAVING count(*) = 64 AND count(x) = 64 AND bool_and(isfinite(x))),
+cell AS MATERIALIZED (SELECT r, d, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM part JOIN kept USING (r)),
+named AS MATERIALIZED (SELECT r, row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR))) AS c FROM kept),
+mid0 AS MATERIALIZED (SELECT c, d, x FROM named JOIN cell USING (r) WHERE c <= 40),"""
+    + "".join(_ROUND.format(i=i) + _MOVE.format(i=i, j=i + 1) for i in range(5)) + _ROUND.format(i=5) + """
+SELECT vec_id, CAST(c - 1 AS INTEGER) AS cluster, s AS distance, CAST(sum(s) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(s) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM near5 JOIN kept USING (r) JOIN (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM mid5 GROUP BY c) USING (c)"""
+)
+
+ORACLES: dict[str, str] = {
+    "op11_lookup": OP11_SQL, "op13_zip": OP13_SQL,
+    "op2_winnowing": OP2_SQL, "op3_wu_manber": OP3_SQL, "op5_ngram_jaccard": OP5_SQL,
+}
