@@ -17,6 +17,7 @@ import gzip
 import hashlib
 import io
 import json
+import math
 import os
 import uuid
 import zipfile
@@ -35,6 +36,8 @@ from cratewise.llm.zip_reader import DamagedPackage, members
 
 # A payload of fewer bytes is never revisited.
 LEAST_SHARED = 100
+# Copies of a row that are made at a time.
+COPIES = 10_000
 # Bytes of a package, of a member, and of the ranges that one task reads together.
 PACKAGE_BYTES, MEMBER_BYTES, RANGE_BYTES = 64 << 20, 4 << 20, 8 << 20
 
@@ -130,10 +133,10 @@ class _Package:
         return f"archive/{self.number:05}.warc.gz"
 
     def add(self, data: bytes) -> None:
-        packed = gzip.compress(data, 1, mtime=0)
-        self.index.append(json.dumps({"member": self._label(), "offset": self.member.tell(), "length": len(packed)}))
-        self.member.write(packed)
-        self.bytes, self.records = self.bytes + len(packed), self.records + 1
+        data = gzip.compress(data, 6, mtime=0)
+        self.index.append(json.dumps({"member": self._label(), "offset": self.member.tell(), "length": len(data)}))
+        self.member.write(data)
+        self.bytes, self.records = self.bytes + len(data), self.records + 1
         if self.member.tell() >= MEMBER_BYTES:
             self.store()
 
@@ -153,10 +156,10 @@ def _writer(folder: str, date: str, package_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         package, done = None, []
         for batch in small(batches, 256):
-            for page_id, url, payload, size, digest, refers_to, shared in zip(*[c.to_pylist() for c in batch.columns]):
+            for page, url, payload, size, digest, lead, leads in zip(*[c.to_pylist() for c in batch.columns]):
                 package = package or _Package(folder)
-                own = "" if shared and payload is not None else f":{os.path.basename(package.path)}-{package.records}"
-                package.add(record(page_id, url, payload, size, digest, refers_to, own, date))
+                own = "" if leads else f":{os.path.basename(package.path)}-{package.records}"
+                package.add(record(page, url, payload, size, digest, lead, own, date))
                 if package.bytes >= package_bytes:
                     package.close()
                     done, package = [*done, package], None
@@ -164,7 +167,8 @@ def _writer(folder: str, date: str, package_bytes: int):
             package.close()
             done.append(package)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([p.path for p in done], pa.string()), pa.array([p.records for p in done], pa.int64())], ["path", "records"]
+            [pa.array([p.path for p in done], pa.string()), pa.array([p.records for p in done], pa.int64()), pa.array([p.bytes for p in done], pa.int64())],
+            ["path", "records", "bytes"],
         )
 
     return run
@@ -173,31 +177,47 @@ def _writer(folder: str, date: str, package_bytes: int):
 def write_packages(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z", package_bytes: int = PACKAGE_BYTES) -> DataFrame:
     """Write one record per row of ``pages`` (``page_id``, ``url``, ``html``) below ``folder``.
 
-    Returns the manifest: ``path`` and ``records`` of each package. Rows with
-    equal payloads of at least 100 bytes become one response, that of the
-    smallest page_id (any one of rows that repeat it; a null id only if none has
-    an id), and revisits; a null html is an empty payload. Other columns are
-    ignored.
+    Returns the manifest: ``path``, ``records`` and packed ``bytes`` of each
+    package. Rows with equal payloads of at least 100 bytes become one response,
+    that of the smallest page_id (any one of rows that repeat it; a null id only
+    if none has an id), and revisits; a null html is an empty payload. Other
+    columns are ignored.
     """
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    rows = written(
-        pages.select(
-            F.col("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"), F.sha2(payload, 256).alias("digest"),
-            F.octet_length(payload).cast("long").alias("size"), F.monotonically_increasing_id().alias("place"),
-        ), "payloads"
+    keyed = pages.select(
+        "page_id", F.col("page_id").cast("string").alias("page"), F.col("url").cast("string").alias("url"), payload.alias("payload"),
+        F.octet_length(payload).cast("long").alias("size"), F.sha2(payload, 256).alias("digest"),
     )
-    # Narrow columns only, combined before the shuffle: a payload of many rows costs one row per task.
-    shared = (
-        rows.filter(F.col("size") >= LEAST_SHARED).groupBy("digest")
-        .agg(F.min(F.struct(F.col("page_id").isNull().alias("unnamed"), "page_id", "place")).alias("first"), F.count("*").alias("times"))
-        .filter("times > 1").select(F.col("digest").alias("of"), "first")
+    # Short rows only, combined before the shuffle: a payload of many rows costs a row per task.
+    # The table's size is then known, so Spark broadcasts it if small and merges sorted rows otherwise.
+    shared = written(
+        keyed.filter(F.col("size") >= LEAST_SHARED).groupBy("digest", "page_id", "page").agg(F.count("*").alias("n"))
+        .groupBy("digest").agg(F.min(F.struct(F.col("page_id").isNull().alias("unnamed"), "page_id", "page", "n")).alias("lead"), F.sum("n").alias("times"))
+        .filter("times > 1").select(F.col("digest").alias("of"), "lead.page_id", "lead.page", "lead.n").toDF("of", "lead_id", "lead", "n"), "shared"
     )
-    again = F.col("first").isNotNull() & (F.col("place") != F.col("first.place"))
-    typed = rows.join(shared, (F.col("digest") == F.col("of")) & (F.col("size") >= LEAST_SHARED), "left").select(
-        F.col("page_id").cast("string"), "url", F.when(~F.coalesce(again, F.lit(False)), F.col("payload")).alias("payload"), "size", "digest",
-        F.when(again, F.col("first.page_id")).cast("string").alias("refers_to"), F.col("first").isNotNull().alias("shared"),
+    is_lead = F.col("page_id").eqNullSafe(F.col("lead_id"))
+    columns = ["page", "url", "payload", "size", "digest", "lead", "leads"]
+    met = keyed.join(shared, F.col("digest") == F.col("of"), "left").withColumn("leads", F.col("of").isNotNull() & is_lead)
+    single = met.filter(~F.col("leads") | (F.col("n") == 1))
+    again = F.col("of").isNotNull() & ~F.col("leads")
+    typed = single.withColumn("payload", F.when(~again, F.col("payload"))).select(columns)
+    # A lead that the table repeats: one row answers, the others revisit it.
+    repeated = keyed.join(shared.filter("n > 1"), (F.col("digest") == F.col("of")) & is_lead)
+    answers = repeated.groupBy("digest", "lead").agg(F.min(F.struct("url", "page", "payload", "size")).alias("row"))
+    answered = answers.select("row.page", "row.url", "row.payload", "row.size", "digest", "lead", F.lit(True).alias("leads"))
+    taken = answers.select(F.col("digest").alias("taken"), F.col("row.url").alias("taken_url"))
+    left = F.col("times") - F.when(F.col("taken").isNotNull(), 1).otherwise(0)
+    copies = (
+        repeated.groupBy("page", "url", "size", "digest", "lead").agg(F.count("*").alias("times"))
+        .join(taken, (F.col("digest") == F.col("taken")) & F.col("url").eqNullSafe(F.col("taken_url")), "left")
+        .withColumn("left", left).filter("left > 0")
+        # In two steps, as one array could not hold every copy of a very frequent row.
+        .withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("left") - 1) / COPIES))))
+        .withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.least(F.lit(COPIES), F.col("left") - F.col("run") * COPIES).cast("int"))))
+        .withColumn("payload", F.lit(None).cast("binary")).withColumn("leads", F.lit(False))
     )
-    return written(typed.mapInArrow(_writer(folder, date, package_bytes), "path string, records long"), "manifest")
+    typed = typed.unionByName(answered).unionByName(copies.select(columns))
+    return written(typed.mapInArrow(_writer(folder, date, package_bytes), "path string, records long, bytes long"), "manifest")
 
 
 @contextmanager
@@ -265,9 +285,10 @@ def _record_rows(payloads: bool):
 
 
 def read_records(packages: DataFrame, payloads: bool = False) -> DataFrame:
-    """The records of the packages in column ``path``, each read by its range and checked against its digests."""
-    places = record_places(packages)
-    near = places.repartition("path", F.floor(F.col("start") / RANGE_BYTES)).sortWithinPartitions("path", "start")
+    """The records of the packages in a manifest (``path``, ``bytes``), each read by its range and checked against its digests."""
+    # Ranges are short rows that stand for many bytes: their number of partitions follows the bytes.
+    parts = max(packages.sparkSession.sparkContext.defaultParallelism, math.ceil((packages.agg(F.sum("bytes")).first()[0] or 0) / RANGE_BYTES))
+    near = record_places(packages).repartition(parts, "path", F.floor(F.col("start") / RANGE_BYTES)).sortWithinPartitions("path", "start")
     return near.mapInArrow(_record_rows(payloads), RECORD + ", payload binary" * payloads)
 
 

@@ -220,9 +220,14 @@ def test_repair_of_an_empty_table_and_of_string_ids(spark):
 PAGE = "<p>" + "long enough to be shared " * 8 + "</p>"
 
 
+@pytest.fixture(autouse=True)
+def few_copies(monkeypatch):
+    monkeypatch.setattr(archives, "COPIES", 3)
+
+
 def pages():
     rows = [(i, f"http://x.example/{i}?q=ü é", f"<p>page {i % 9}</p>" * (1 + i % 9 * 3)) for i in range(60)]
-    return rows + [(70, None, None), (71, "", ""), (None, "u", PAGE), (None, "u", PAGE), (72, "u\nv", PAGE), (72, "u", PAGE), (60, "u", PAGE), (73, "u", "x" * 300_000), (5, "again", "y" * 99), (6, "z", "y" * 99)]
+    return rows + [(70, None, None), (71, "", ""), (None, "u", PAGE), (None, "u", PAGE), (72, "u\nv", PAGE), (72, "u", PAGE), (60, "u", PAGE), *[(59, v, PAGE) for v in "uuuuuuuvv"], (73, "u", "x" * 300_000), (5, "again", "y" * 99), (6, "z", "y" * 99)]
 
 
 def plain_archive(rows):
