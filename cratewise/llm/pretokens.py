@@ -3,7 +3,8 @@
 The vocabulary's text pipeline (NFC, white space, lower case, split) leaves
 words that are merged independently of each other, so a text's ids are the ids
 of its words one behind the other. Words are cut from the code points of many
-texts at once, known by a 64-bit hash, and encoded once per task.
+texts at once, looked up by a 64-bit hash, compared character by character with
+what the hash found, and encoded once per task.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from functools import cache
 import numpy as np
 from tokenizers import Tokenizer
 
-from cratewise.llm.words import _INVERSE, _RADIX, U, _power, mix
+from cratewise.llm.words import U, characters, word_hashes
 
 # Fixed values of the vocabulary file: white space, the strings that are one
 # token, and the endings that form a word after an apostrophe.
@@ -78,6 +79,16 @@ def cut(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, ends
 
 
+def _equal(code: np.ndarray, start: np.ndarray, end: np.ndarray, like: np.ndarray) -> np.ndarray:
+    """Whether each word has the characters of the word that ``like`` names."""
+    same = (end - start) == (end - start)[like]
+    if not len(start):
+        return same
+    first, place, at = characters(start, np.where(same, end, start + 1))
+    model = np.repeat(start[like], np.diff(np.r_[first, len(place)])) + place
+    return same & np.logical_and.reduceat(code[at] == code[model], first)
+
+
 class WordTable:
     """Words a task has met, by hash, with what ``encode`` says of each."""
 
@@ -87,11 +98,13 @@ class WordTable:
 
     def clear(self) -> None:
         self.keys, self.place, self.values = np.zeros(0, dtype=U), np.zeros(0, dtype=np.int64), []
+        self.words: dict[int, str] = {}
 
     def _add(self, keys: np.ndarray, words: list[str]) -> None:
         if len(self.keys) + len(keys) > REMEMBERED:
             self.clear()
         place = np.r_[self.place, len(self.values) + np.arange(len(keys))]
+        self.words.update(zip(place[len(self.place):].tolist(), words))
         self.values.extend(self.encode(words))
         keys = np.r_[self.keys, keys]
         order = np.argsort(keys, kind="stable")
@@ -106,9 +119,7 @@ class WordTable:
         """(start, index into ``values``) of every word of normalized text."""
         code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         start, end = cut(code)
-        total = np.zeros(len(code) + 1, dtype=U)
-        np.cumsum((code.astype(U) + U(1)) * _power(_RADIX, len(code))[: len(code)], out=total[1:])
-        hashes = mix((total[end] - total[start]) * _power(_INVERSE, len(code))[start])
+        hashes = word_hashes(code, start, end)
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         _, known = self._find(distinct)
         if not known.all():
@@ -118,7 +129,16 @@ class WordTable:
             new = np.flatnonzero(~known)
             self._add(distinct[new], [text[start[i] : end[i]] for i in first[new]])
         at, _ = self._find(distinct)
-        return start, self.place[at][inverse]
+        places = self.place[at]
+        other = ~_equal(code, start, end, first[inverse])
+        meant = np.fromiter((self.words[p] == text[start[i] : end[i]] for p, i in zip(places.tolist(), first)), dtype=bool, count=len(first))
+        other |= ~meant[inverse]
+        found = places[inverse]
+        if other.any():  # another word with the same hash: such words are encoded where they stand
+            odd = np.flatnonzero(other)
+            found[odd] = len(self.values) + np.arange(len(odd))
+            self.values.extend(self.encode([text[start[i] : end[i]] for i in odd]))
+        return start, found
 
     def _odd(self, text: str) -> list[str]:
         """Words of a text with special strings, or with characters only the library knows."""

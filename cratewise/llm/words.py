@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,24 +27,6 @@ LETTERS[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 # Texts are taken in slices of so many bytes (one longer text is a slice of its own).
 SLICE = 1 << 19
 
-_RADIX = 0x9E3779B97F4A7C15
-_INVERSE = pow(_RADIX, -1, 1 << 64)
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    """base ** (0 .. n) modulo 2**64."""
-    have = _powers.get(base)
-    if have is None or len(have) <= n:
-        size = max(n + 1, SLICE + 1)
-        have = np.full(size, base, dtype=U)
-        have[0] = 1
-        have = np.multiply.accumulate(have)
-        if size <= 4 * SLICE:
-            _powers[base] = have
-    return have[: n + 1]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalizer that spreads every input bit over the word (splitmix64)."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
@@ -51,6 +34,44 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def _sign(place: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """A pseudo-random number for a character at a place in its word."""
+    return mix((place.astype(U) << U(21) | code.astype(U)) * U(0x9E3779B97F4A7C15) + U(0x243F6A8885A308D3))
+
+
+@cache
+def _signs() -> np.ndarray:
+    return _sign(np.repeat(np.arange(256), 256), np.tile(np.arange(256), 256))
+
+
+def characters(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each word's characters begin in the list of all, their places in the word, and in the text."""
+    size = end - start
+    first = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(first, size)
+    return first, place, np.repeat(start, size) + place
+
+
+def word_hashes(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word code[start:end]: a sum of one number for each character and place.
+
+    The numbers are mixed, not powers of a radix, so no pattern of letters makes
+    long words cancel out.
+    """
+    if not len(start):
+        return np.zeros(0, dtype=U)
+    first, place, at = characters(start, end)
+    letter = code[at].astype(np.int64)
+    near = (place < 256) & (letter < 256)
+    if near.all():
+        sign = _signs()[place << 8 | letter]
+    else:
+        sign = np.empty(len(place), dtype=U)
+        sign[near] = _signs()[place[near] << 8 | letter[near]]
+        sign[~near] = _sign(place[~near], letter[~near])
+    return mix(np.add.reduceat(sign, first))
+
+
 @dataclass
 class Words:
     """Words of some rows. Row r has words first[r]:first[r + 1]; word i is
@@ -119,10 +140,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray) -> Words:
         edge = offsets[offsets > 0] - 1
         closes[edge] = inside[edge]
     start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    total = np.zeros(n + 1, dtype=U)
-    np.cumsum((data.astype(U) + U(1)) * _power(_RADIX, n)[:n], out=total[1:])
-    hashes = mix((total[end] - total[start]) * _power(_INVERSE, n)[start])
-    return Words(data, start, end, np.searchsorted(start, offsets), hashes)
+    return Words(data, start, end, np.searchsorted(start, offsets), word_hashes(data, start, end))
 
 
 def word_slices(column: pa.Array, keep: np.ndarray) -> Iterator[tuple[int, int, Words]]:
