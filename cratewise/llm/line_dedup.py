@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cratewise.llm.stores import written
+from cratewise.llm.stores import free_name, written
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -86,6 +86,25 @@ def repeated_lines(docs: DataFrame, min_words: int = 25) -> DataFrame:
     return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("gone"))
 
 
+def _cut(docs: DataFrame, min_words: int, lines: str, lines_gone: str) -> DataFrame:
+    """``docs`` without later runs, and the two counts under the given names."""
+    found = written(repeated_lines(docs, min_words), "gone")
+    taken = docs.withColumns({lines: F.lit(None), lines_gone: F.lit(None)})
+    own = {c: free_name(taken, f"cut_{c}") for c in ("id", "hash", "gone", "parts")}
+    gone = found.select(F.col("doc_id").alias(own["id"]), F.col("text_hash").alias(own["hash"]), F.col("gone").alias(own["gone"]))
+    text = F.split("text", "\n", -1)
+    same = F.col("doc_id").eqNullSafe(F.col(own["id"])) & (F.xxhash64("text") == F.col(own["hash"]))
+    out = docs.join(gone.hint("shuffle_hash"), same, "left")
+    cut = F.col(own["gone"]).isNotNull()
+    kept = F.array_except(F.sequence(F.lit(0), F.size(text) - 1), own["gone"])
+    parts = F.transform(kept, lambda i: F.get(F.col(own["parts"]), i))
+    out = out.withColumn(own["parts"], F.when(cut, text))
+    out = out.withColumn(lines, F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.translate("text", "\n", "")) + 1).cast("long"))
+    out = out.withColumn(lines_gone, F.when(cut, F.size(own["gone"])).otherwise(0).cast("long"))
+    out = out.withColumn("text", F.when(cut, F.array_join(parts, "\n")).otherwise(F.col("text")))
+    return out.drop(*own.values())
+
+
 def drop_repeated_lines(docs: DataFrame, min_words: int = 25) -> DataFrame:
     """``docs`` with later copies of repeated line runs cut out of ``text``, and two more
     columns, ``lines`` (lines of the text before) and ``lines_gone``.
@@ -98,26 +117,17 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = 25) -> DataFrame:
     are one text and get the same result. Null doc_ids come first in the order.
     All other columns are kept as they are; a column named ``lines`` or ``lines_gone`` is replaced.
     """
-    found = written(repeated_lines(docs, min_words), "gone")
-    gone = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("gone").alias("_gone"))
-    text = F.split("text", "\n", -1)
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    out = docs.join(gone.hint("shuffle_hash"), same, "left")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(text) - 1), "_gone")
-    parts = F.transform(kept, lambda i: F.get("_lines", i))
-    out = out.withColumn("_lines", F.when(F.col("_gone").isNotNull(), text))
-    out = out.withColumn("lines", F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.translate("text", "\n", "")) + 1).cast("long"))
-    out = out.withColumn("lines_gone", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
-    out = out.withColumn("lines_gone", F.greatest("lines_gone", F.lit(0)).cast("long"))
-    out = out.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(parts, "\n")))
-    return out.select(*[c for c in docs.columns if c not in ("lines", "lines_gone")], "lines", "lines_gone")
+    own = docs.drop("lines", "lines_gone")
+    return _cut(own, min_words, "lines", "lines_gone").select(*own.columns, "lines", "lines_gone")
 
 
 def without_repeated_lines(docs: DataFrame, min_words: int = 25) -> DataFrame:
-    """``docs`` after ``drop_repeated_lines``, with its own columns: ``n_chars``, if there is
-    one, follows the text, and texts of which no word is left are dropped."""
-    out = drop_repeated_lines(docs, min_words).filter((F.col("lines_gone") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    """``docs`` after ``drop_repeated_lines``, with its own columns, whatever their names:
+    ``n_chars``, if there is one, follows the text, and texts of which no word is left are
+    dropped. Null and empty texts lose no line and stay."""
+    lines, gone = free_name(docs, "lines"), free_name(docs, "lines_gone")
+    out = _cut(docs, min_words, lines, gone).filter((F.col(gone) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         changed = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("lines_gone") > 0, changed).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(gone) > 0, changed).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

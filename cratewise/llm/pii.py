@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cratewise.functions.once import with_once
-from cratewise.llm.stores import written
+from cratewise.llm.stores import free_name, written
 
 # The forms of the contract. Possessive quantifiers and the look-behinds change no match: they
 # keep a long run of such characters from being tried again from each of its characters.
@@ -177,12 +177,14 @@ def personal_data(docs: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` (one row per doc_id) with the characters of each span of ``spans`` (a result of
     ``personal_data``) replaced by the kind in brackets; overlapping spans keep the first."""
-    parts = spans.select(F.col("doc_id").alias("_id"), F.split("spans", ",").alias("_spans")).filter("spans <> ''")
-    joined = docs.join(parts, docs["doc_id"].eqNullSafe(F.col("_id")), "left")
-    folded = F.expr("""aggregate(_spans, named_struct('at', 0, 'out', ''), (acc, s) ->
+    own = {c: free_name(docs, f"redact_{c}") for c in ("id", "spans", "done")}
+    parts = spans.select(F.col("doc_id").alias(own["id"]), F.split("spans", ",").alias(own["spans"])).filter(F.size(F.filter(own["spans"], lambda s: s != "")) > 0)
+    joined = docs.join(parts, docs["doc_id"].eqNullSafe(F.col(own["id"])), "left")
+    folded = F.expr(f"""aggregate({own["spans"]}, named_struct('at', 0, 'out', ''), (acc, s) ->
         if(cast(split(s, ':')[1] as int) < acc.at, acc,
            named_struct('at', cast(split(s, ':')[2] as int), 'out', concat(acc.out, substring(text, acc.at + 1, cast(split(s, ':')[1] as int) - acc.at),
                         '[', split(s, ':')[0], ']'))))""")
-    joined = with_once(joined, _done=F.when(F.col("_spans").isNotNull(), folded))
-    text = F.when(F.col("_done").isNull(), F.col("text")).otherwise(F.concat(F.col("_done.out"), F.expr("substring(text, _done.at + 1)")))
+    done = own["done"]
+    joined = with_once(joined, **{done: F.when(F.col(own["spans"]).isNotNull(), folded)})
+    text = F.when(F.col(done).isNull(), F.col("text")).otherwise(F.concat(F.col(f"{done}.out"), F.expr(f"substring(text, {done}.at + 1)")))
     return joined.withColumn("text", text).select(*docs.columns)

@@ -27,6 +27,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it: helper columns never meet the user's."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def components(links: DataFrame) -> DataFrame:
     """Smallest reachable id of each id in ``links`` (a, b): columns ``id``, ``component``.
 
