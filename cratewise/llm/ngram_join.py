@@ -18,10 +18,14 @@ is counted fragment by fragment and summed per pair.
 4. *Partial overlaps.* Pairs meet the segments of both sides; overlaps are
    counted per fragment and summed per pair.
 5. *The rest.* Prefix groups that still hold several components are searched
-   again in blocks inside tasks; a pair survives only if the size bound and a
-   parity bitmap (popcount of the xor never exceeds the symmetric difference)
-   allow the similarity. Survivors are counted as in step 4. Both bounds are
-   safe, so no link between different components is lost.
+   again, equal groups once. A pair survives only if the size bound and a parity
+   bitmap (popcount of the xor never exceeds the symmetric difference) allow the
+   similarity; both are safe, so no link between different components is lost.
+   Members of a large group carry their segments: a task counts the partial
+   overlaps of two blocks, unites what it links, and returns less links than the
+   blocks have members. First blocks by themselves, then, for groups that are
+   still apart, blocks with each other. Of what is then left, the allowed pairs
+   of a small group (a bounded number) are counted as in step 4.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cratewise.llm.stores import components, written
+from cratewise.llm.stores import components, free_name, written
 from cratewise.llm.words import NOT_SPACE, U, mix, small, windows, word_slices
 
 # The leading part of the order, as a share of all hashes.
@@ -43,8 +47,10 @@ LEAD = 0.375
 LEAD_END = int(LEAD * 2**64)
 # N-grams that one task holds at a time.
 PER_TASK = 1_000_000
-# Fragments of the overlap count, members of a block of step 5, bits of a bitmap.
-FRAGMENTS, BLOCK, BITS = 4, 1024, 2048
+# Fragments of the overlap count, bits of a bitmap.
+FRAGMENTS, BITS = 4, 2048
+# Step 5: members of a small group, members and n-grams of a block, pairs verified at a time.
+SMALL, BLOCK, BLOCK_GRAMS, AT_ONCE = 32, 1024, 1 << 22, 64
 
 
 def grams_of(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -313,31 +319,83 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _block_pairs(percent: int):
-    """Pairs of two blocks of a prefix group, in different components, that both bounds allow."""
+class _Side:
+    """Members of a prefix group as arrays."""
+
+    def __init__(self, members: list):
+        self.cid = [m["cid"] for m in members]
+        self.n = np.array([m["n"] for m in members], dtype=np.int64)
+        self.shared = np.array([m["shared"] for m in members], dtype=np.int64)
+        self.bits = np.frombuffer(b"".join(m["bitmap"] for m in members), dtype=U).reshape(len(members), -1)
+        self.component = [m["component"] for m in members]
+
+    def allowed(self, one: "_Side", i: int, among: np.ndarray, percent: int) -> np.ndarray:
+        """Those of ``among`` that may be similar to member ``i`` of ``one``."""
+        size = one.n[i] + self.n[among]
+        fits = (100 + percent) * np.minimum(one.shared[i], self.shared[among]) >= percent * size
+        among, size = among[fits], size[fits]
+        apart = np.bitwise_count(self.bits[among] ^ one.bits[i]).sum(axis=1, dtype=np.int64)
+        # |x ^ y| <= (100 - t) / (100 + t) (|x| + |y|) is the same as Jaccard >= t %.
+        return among[(100 + percent) * apart <= (100 - percent) * size]
+
+
+def _overlaps(own: list[bytes], others: list[list[bytes]]) -> np.ndarray:
+    """What a set shares with each of the others, counted fragment by fragment and summed."""
+    total = np.zeros(len(others), dtype=np.int64)
+    for f, segment in enumerate(own):
+        mine = np.frombuffer(segment, dtype=U)
+        if not len(mine):
+            continue
+        grams = np.frombuffer(b"".join(o[f] for o in others), dtype=U)
+        hit = mine[np.minimum(np.searchsorted(mine, grams), len(mine) - 1)] == grams
+        ends = np.cumsum([0] + [len(o[f]) // 8 for o in others])
+        total += np.diff(np.r_[0, np.cumsum(hit)][ends])
+    return total
+
+
+def _united(percent: int):
+    """Links between two blocks of a large group, enough to connect what is similar; at most one
+    less than the components that the members had before."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for one, two, same in zip(frame["one"], frame["two"], frame["same"]):
-                na, nb = (np.array([m["n"] for m in side], dtype=np.int64) for side in (one, two))
-                sa, sb = (np.array([m["shared"] for m in side], dtype=np.int64) for side in (one, two))
-                names = sorted({m["component"] for side in (one, two) for m in side})
-                number = {c: i for i, c in enumerate(names)}
-                ca, cb = (np.array([number[m["component"]] for m in side]) for side in (one, two))
-                ba, bb = (np.frombuffer(b"".join(m["bitmap"] for m in side), dtype=U).reshape(len(side), -1) for side in (one, two))
-                rows = []
+                left, right = _Side(one), _Side(two)
+                numbers = {c: i for i, c in enumerate(sorted({*left.component, *right.component}))}
+                here = np.array([numbers[c] for c in left.component])
+                there = here if same else np.array([numbers[c] for c in right.component])
+                segments, rows = [m["segments"] for m in two], []
                 for i in range(len(one)):
-                    size = na[i] + nb
-                    keep = (cb != ca[i]) & ((100 + percent) * np.minimum(sa[i], sb) >= percent * size)
-                    if same:
-                        keep[: i + 1] = False
-                    keep = np.flatnonzero(keep)
-                    apart = np.bitwise_count(bb[keep] ^ ba[i]).sum(axis=1, dtype=np.int64)
-                    # |x ^ y| <= (100 - t) / (100 + t) (|x| + |y|) is the same as Jaccard >= t %.
-                    for j in keep[(100 + percent) * apart <= (100 - percent) * size[keep]]:
-                        x, y = (one[i], two[j]) if one[i]["cid"] < two[j]["cid"] else (two[j], one[i])
-                        rows.append((x["cid"], y["cid"], x["n"], y["n"]))
-                if rows:
-                    yield pd.DataFrame(rows, columns=["a", "b", "na", "nb"]).drop_duplicates(["a", "b"])
+                    later = np.arange(i + 1 if same else 0, len(two))
+                    among = right.allowed(left, i, later[there[later] != here[i]], percent)
+                    while len(among):
+                        part = among[:AT_ONCE]
+                        common = _overlaps(one[i]["segments"], [segments[j] for j in part])
+                        union = left.n[i] + right.n[part] - common
+                        for j in part[100 * common >= percent * union]:
+                            if there[j] != here[i]:
+                                rows.append((left.cid[i], right.cid[j]))
+                                gone = there[j]
+                                there[there == gone] = here[i]
+                                here[here == gone] = here[i]
+                        among = among[len(part):]
+                        among = among[there[among] != here[i]]
+                yield pd.DataFrame(rows, columns=["a", "b"])
+
+    return run
+
+
+def _small_pairs(percent: int):
+    """Pairs of a small group, in different components, that both bounds allow."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for members in frame["members"]:
+                side = _Side(sorted(members, key=lambda m: m["cid"]))
+                for i in range(len(members)):
+                    later = [j for j in range(i + 1, len(members)) if side.component[j] != side.component[i]]
+                    for j in side.allowed(side, i, np.array(later, dtype=np.int64), percent):
+                        rows.append((side.cid[i], side.cid[j], side.n[i], side.n[j]))
+            yield pd.DataFrame(rows, columns=["a", "b", "na", "nb"]).drop_duplicates(["a", "b"])
 
     return run
 
@@ -353,25 +411,48 @@ def _pivot_pairs(buckets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _rest_pairs(buckets: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of prefix groups whose members are not one component yet."""
+def _open_groups(buckets: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members with their components, the prefix groups that hold several (equal groups once),
+    and the links in short: every class and the least of its component."""
+    found = written(components(links), "found")
     named = buckets.join(found.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     named = written(named, "named")
-    open_groups = written(
-        named.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-        .filter("low <> high").select("gram", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "open"
+    groups = (
+        named.groupBy("gram").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"), F.sum("n").alias("grams"),
+            F.bit_xor(F.xxhash64("cid")).alias("x"), F.sum(F.xxhash64(F.lit(1), "cid").cast("decimal(20,0)")).alias("y"),
+        ).filter("low <> high").groupBy("size", "grams", "x", "y").agg(F.min("gram").alias("gram")).select("gram", "size", "grams")
     )
-    members = written(
-        named.join(open_groups, "gram").join(sets.select("cid", "bitmap"), "cid")
+    return named, written(groups, "open"), found.select(F.col("id").alias("a"), F.col("component").alias("b")).filter("a <> b")
+
+
+def _large_links(named: DataFrame, groups: DataFrame, sets: DataFrame, percent: int, across: bool) -> DataFrame:
+    """Links inside the blocks of large groups, or ``across`` the blocks of groups with several."""
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")
+    wanted = groups.filter(F.col("size") > SMALL).select("gram", blocks.alias("blocks")).filter("blocks > 1" if across else "true")
+    members = (
+        named.join(wanted, "gram").join(sets.select("cid", "bitmap", "segments"), "cid")
         .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-        .groupBy("gram", "block").agg(F.collect_list(F.struct("cid", "component", "n", "shared", "bitmap")).alias("members")), "blocks"
+        .groupBy("gram", "block").agg(F.collect_list(F.struct("cid", "component", "n", "shared", "bitmap", "segments")).alias("members"))
     )
-    one = members.select("gram", F.col("block").alias("p"), F.col("members").alias("one"))
-    two = members.select("gram", F.col("block").alias("q"), F.col("members").alias("two"))
-    return (
-        one.join(two, "gram").filter("p <= q").select("one", "two", F.expr("p = q").alias("same"))
-        .mapInPandas(_block_pairs(percent), "a binary, b binary, na long, nb long").distinct()
+    if across:
+        members = written(members, "blocks")
+        one = members.select("gram", F.col("block").alias("p"), F.col("members").alias("one"))
+        two = members.select("gram", F.col("block").alias("q"), F.col("members").alias("two"))
+        met = one.join(two, "gram").filter("p < q").select("one", "two", F.lit(False).alias("same"))
+    else:
+        met = members.select(F.col("members").alias("one"), F.col("members").alias("two"), F.lit(True).alias("same"))
+    return written(met.mapInPandas(_united(percent), "a binary, b binary"), "large-links")
+
+
+def _small_links(named: DataFrame, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the small groups that are still open."""
+    members = (
+        named.join(groups.filter(F.col("size") <= SMALL).select("gram"), "gram").join(sets.select("cid", "bitmap"), "cid")
+        .groupBy("gram").agg(F.collect_list(F.struct("cid", "component", "n", "shared", "bitmap")).alias("members"))
     )
+    pairs = members.select("members").mapInPandas(_small_pairs(percent), "a binary, b binary, na long, nb long").distinct()
+    return written(linked(pairs, sets, percent).select("a", "b"), "small-links")
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -409,10 +490,13 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
 
     pairs = _pivot_pairs(buckets, percent)
     links = written(linked(pairs, ready, percent), "pivot-links")
-    found = written(components(links), "found")
-    rest = _rest_pairs(buckets, ready, found, percent)
-    more = written(linked(rest, ready, percent), "rest-links")
-    final = components(links.unionByName(more))
+    links = links.select("a", "b")
+    named, groups, links = _open_groups(buckets, links)
+    for across in (False, True):
+        found = _large_links(named, groups, ready, percent, across)
+        if not found.isEmpty():
+            named, groups, links = _open_groups(buckets, links.unionByName(found))
+    final = components(links.unionByName(_small_links(named, groups, ready, percent)))
 
     named = written(
         classes.join(final.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid")), "named-classes"
@@ -429,9 +513,11 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
 def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs``, all columns, with one row of each component: the smallest doc_id's, once.
 
-    Rows without words are linked with nothing and stay, one of equal ones.
+    Rows without words are linked with nothing and stay, one of equal ones. Other
+    columns, whatever their names, are returned as they are.
     """
     found = jaccard_components(docs, size, percent)
-    keep = written(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct(), "keep")
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
-    return kept.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    name, digest = free_name(docs, "keep_id"), free_name(docs, "text_digest")
+    keep = written(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct(), "keep")
+    kept = docs.join(keep, docs["doc_id"].eqNullSafe(F.col(name)), "left_semi")
+    return kept.withColumn(digest, F.sha2("text", 256)).dropDuplicates(["doc_id", digest]).drop(digest)

@@ -140,7 +140,8 @@ def brute_components(texts):
 
 
 def test_jaccard_components(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    for name, value in (("SMALL", 4), ("BLOCK", 8), ("AT_ONCE", 2)):
+        monkeypatch.setattr(ngram_join, name, value)
     r = random.Random(3)
     words = [f"w{i}" for i in range(300)]
     base = [[r.choice(words) for _ in range(60)] for _ in range(5)]
