@@ -14,6 +14,7 @@ from cratewise.operators.dedup import dedup_first
 from cratewise.operators.explode import explode_parts, number_comments
 from cratewise.operators.quality import enforce_schema
 from cratewise.operators.quantiles import cap_outliers
+from cratewise.operators.report import Steps
 from cratewise.session import materialize
 from cratewise.sources.bronze import stamp_to_iso
 
@@ -47,6 +48,7 @@ def silver_comments(
     drop_deleted: bool = False,
     bounded: bool = False,
     key: list[str] | None = None,
+    steps: Steps | None = None,
 ) -> DataFrame:
     """The silver table from ``read_posts`` rows.
 
@@ -54,13 +56,16 @@ def silver_comments(
     score counts once per part. The annotated rows are materialised once: the
     quantile passes then read two narrow columns instead of repeating the
     text work. ``stamp="file"`` keeps the stamp of each post file as
-    ``ingested_at`` instead of the run time.
+    ``ingested_at`` instead of the run time. ``steps`` counts the rows between the
+    steps, in the jobs that run anyway.
     """
     if stamp not in ("run", "file"):
         raise ValueError(f"unknown stamp: {stamp}")
-    annotated = materialize(annotate(comment_rows(posts, drop_deleted), bounded), "comments")
+    see = (steps or Steps()).see
+    comments = see("comments", comment_rows(posts, drop_deleted))
+    annotated = materialize(see("parts", annotate(comments, bounded)), "comments")
     capped = cap_outliers(annotated, ["score", "word_count"])
-    unique = dedup_first(capped, key or DEDUP_KEY, ["raw_comment_id", "part_pos"])
-    kept = drop_blank(unique, "clean_comment")
+    unique = see("unique", dedup_first(capped, key or DEDUP_KEY, ["raw_comment_id", "part_pos"]))
+    kept = see("kept", drop_blank(unique, "clean_comment"), ["title", "score", "clean_comment"])
     when = F.lit(run_ts) if stamp == "run" else stamp_to_iso("file_stamp")
     return enforce_schema(kept.withColumn("ingested_at", when), schemas.COMMENTS)[0]

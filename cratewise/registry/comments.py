@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cratewise import schemas
 from cratewise.functions.nlp import CONTRAST_MARKERS, with_classification, with_entities
 from cratewise.functions.once import with_once
 from cratewise.functions.sentiment import lookup_valence, score_sentiment, sentiment_label
@@ -13,12 +14,15 @@ from cratewise.operators import dedup as dd
 from cratewise.operators import explode as ex
 from cratewise.operators import metrics as m
 from cratewise.operators.quality import enforce_schema
+from cratewise.operators.report import Steps
+from cratewise.plans.comments import silver_comments
 from cratewise.registry.base import (
     COMMENT, COMMENTS_SQL, COMPUTED_AT, DOC_STAMP, comments, query, s_clean, s_round, s_strip, s_tokens, s_words,
 )
 from cratewise.registry.text import TEXTS_SQL, texts
 from cratewise.schemas import BOOL, DOUBLE, LONG, STRING, StructField, StructType
-from cratewise.session import materialize, spread
+from cratewise.session import materialize, spread, work_path
+from cratewise.sources.published import publish, read_published
 
 # --- null words, coercion, filters ---------------------------------------------------
 
@@ -136,6 +140,28 @@ S_BY = f"^[{WS}]*([^\\n]+?)[{WS}]+by[{WS}]+([^\\n]+?)[{WS}]*$"
 S_COLON = f"^[{WS}]*([^\\n]+?)[{WS}]*:[{WS}]*([^\\n]+?)[{WS}]*$"
 
 
+# The comment job reports what each of its steps let through; it publishes only if no required field is null.
+@query("comment_run_report", f"""WITH parts AS (SELECT * FROM ({PARTS_SQL}) x), found AS (
+    SELECT 0 AS step, 'comments' AS name, (SELECT count(*) FROM ({EXPLODED_SQL}) e) AS n
+    UNION ALL SELECT 1, 'parts', (SELECT count(*) FROM parts)
+    UNION ALL SELECT 2, 'unique', (SELECT count(*) FROM (SELECT DISTINCT title, clean_comment FROM parts) u)
+    UNION ALL SELECT 3, 'kept', (SELECT count(*) FROM (SELECT DISTINCT title, clean_comment FROM parts WHERE {s_strip('clean_comment')} <> '') k)
+    UNION ALL SELECT 4, 'published', (SELECT count(*) FROM (SELECT DISTINCT title, clean_comment FROM parts WHERE {s_strip('clean_comment')} <> '') k))
+  SELECT CAST(step AS INTEGER) AS step, name, n AS "rows", CAST(coalesce(lag(n) OVER (ORDER BY step) - n, 0) AS BIGINT) AS removed, CAST(0 AS BIGINT) AS nulls
+  FROM found""")
+def comment_run_report(t):
+    steps, folder = Steps(), work_path(t.spark, "comments-published")
+    silver = silver_comments(posts(t).withColumn("file_stamp", F.lit("20240301_000000")), COMPUTED_AT, steps=steps)
+
+    def gate(counts):
+        nulls = [c for c, n in counts.items() if c.startswith("nulls_") and n]
+        return f"null in {nulls}" if nulls or not counts["rows_out"] else None
+
+    publish(silver, folder, F.left("ingested_at", F.lit(10)), lambda df: df, gate, required=schemas.required(schemas.COMMENTS))
+    steps.see("published", read_published(t.spark, folder, schemas.COMMENTS), ["title"]).write.format("noop").mode("overwrite").save()
+    return steps.report(t.spark)
+
+
 def s_group(x, pattern, g, flags=""):
     return f"regexp_extract({x}, '{flags}{pattern}', {g})"
 

@@ -11,7 +11,7 @@ from cratewise.operators import metrics as m
 from cratewise.operators.views import last_updated, latest_run
 from cratewise.registry.base import SNAPSHOT_SQL, query, s_name_tokens, snapshots
 from cratewise.session import work_path
-from cratewise.sources import bronze, tables
+from cratewise.sources import bronze, published, tables
 
 # --- raw records -----------------------------------------------------------------------
 
@@ -174,6 +174,26 @@ def gold_month_upsert(t):
     return tables.read_table(t.spark, _two_runs(t), tables.with_months(schemas.STORYTELLING))
 
 
+# Three published runs: everything, the later days again, and one that its gate holds back.
+@query("gold_publish", f"SELECT *, 2 AS versions, (SELECT count(DISTINCT data_date[1:7]) FROM ({GOLD_SQL}) m) AS parts FROM ({GOLD_SQL}) g")
+def gold_publish(t):
+    folder = work_path(t.spark, "gold-published")
+    published.publish_months(_volumes(t, RUNS[0]), folder, gate=_complete, required=["data_date"])
+    published.publish_months(_volumes(t, RUNS[1]).filter(F.col("data_date") >= SPLIT), folder, gate=_complete, required=["data_date"])
+    try:
+        broken = _volumes(t, "2024-03-03T10:00:00").withColumn("data_date", F.when(F.col("dim2") != "F", F.col("data_date")))
+        published.publish_months(broken, folder, gate=_complete, required=["data_date"])
+    except published.GateFailed:
+        pass
+    now = published.current(folder)
+    rows = published.read_published(t.spark, folder, schemas.STORYTELLING)
+    return rows.withColumns({"versions": F.lit(now.number), "parts": F.lit(len(now.parts)).cast("long")})
+
+
+def _complete(counts):
+    return "rows without a date" if counts["nulls_data_date"] else None
+
+
 query("gold_history_read", f"SELECT * FROM ({GOLD_SQL}) g WHERE data_date >= '1998-06-15'")(
     lambda t: tables.read_history(t.spark, _two_runs(t), schemas.STORYTELLING, since="1998-06-15")
 )

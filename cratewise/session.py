@@ -11,6 +11,8 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cratewise.files import delete_tree
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Day boundaries are UTC days, whatever zone the cluster runs in."""
@@ -76,8 +78,7 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
         df.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        delete_tree(path)
 
 
 # Below this size dealing rows out costs less than leaving cores idle.
