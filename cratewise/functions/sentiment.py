@@ -6,10 +6,9 @@ before and weighs what comes after by 1.5; the sum ``x`` becomes
 ``x / sqrt(x*x + 15)``. Capitals and exclamation rules are left out: the
 cleaned comment is lower case without ``!``.
 
-The lexicon is an input table ``(token, valence)``. While it fits a bounded
-dictionary, scoring is a row-local expression (no join, no shuffle, hash
-lookups only). A larger lexicon goes through a token join instead; both give
-the same score.
+The lexicon is an input table ``(token, valence)`` of any size, met by a join on
+the token. The scored rows are written once, with a number each; only these
+numbers, single tokens and sums leave their tasks.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cratewise.session import broadcast_if_small
+from cratewise.session import broadcast_if_small, materialize
 
 # Rule constants of the published method.
 NORMAL = 15.0
@@ -123,15 +122,14 @@ def clean_lexicon(lexicon_df: DataFrame) -> DataFrame:
 
 
 def _score_by_join(df, tokens, lexicon_df, negations, boosters) -> DataFrame:
-    """Any lexicon size. A score depends on the tokens alone, so each distinct
-    token list is scored once and found again by its hash. Neighbours travel
-    with each token, so the rule needs no window; the sums are combined per map
-    task before they are shuffled."""
-    key = F.struct(F.xxhash64(tokens).alias("x"), F.xxhash64(F.lit(1), tokens).alias("y"))
-    df = df.withColumn("_list", key)
-    key = "_list"
-    distinct = df.filter(F.size(tokens) > 0).select(key, tokens).dropDuplicates([key])
-    spread = distinct.select(
+    """Any lexicon size. The rows are written once, so what made their tokens
+    is not repeated, and numbered there. Neighbours travel with each token, so
+    the rule needs no window; a row's hits are summed in the task that read it.
+    The sums are written too: their size is then known to the join that brings
+    them back, which is a broadcast if they are small."""
+    key = "_row"
+    df = materialize(df.withColumn(key, F.monotonically_increasing_id()), "to-score")
+    spread = df.filter(F.size(tokens) > 0).select(
         key,
         F.expr(f"array_position({tokens}, {_quote(CONTRAST)})").alias("but_at"),
         F.expr(
@@ -159,11 +157,11 @@ def _score_by_join(df, tokens, lexicon_df, negations, boosters) -> DataFrame:
                 f"THEN 1.0D ELSE {NEGATION_FACTOR}D END)"
             )
     weighted = hits.withColumn("_v", F.expr(f"{value} * {_contrast_weight('pos + 1', 'but_at')}"))
-    totals = weighted.groupBy(key).agg(F.sum("_v").alias("_total"))
+    totals = materialize(weighted.groupBy(key).agg(F.sum("_v").alias("_total")), "scores")
     return (
         df.join(totals, key, "left")
         .withColumn("compound", F.coalesce(_compound(F.col("_total")), F.lit(0.0)))
-        .drop("_total", "_list")
+        .drop("_total", key)
     )
 
 

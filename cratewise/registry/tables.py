@@ -11,7 +11,7 @@ from cratewise.operators import metrics as m
 from cratewise.operators.views import last_updated, latest_run
 from cratewise.registry.base import SNAPSHOT_SQL, query, s_name_tokens, snapshots
 from cratewise.session import work_path
-from cratewise.sources import bronze, published, tables
+from cratewise.sources import arrays, bronze, published, tables
 
 # --- raw records -----------------------------------------------------------------------
 
@@ -113,6 +113,22 @@ def post_files(t):
     )
 
 
+# All conversations as one file, read by ranges of 32 KB, beside a file that is cut off.
+@query("post_ranges", "SELECT conv_id, turn, role, text, (SELECT count(*) FROM conversations) AS ids, 1 AS rejects FROM conversations")
+def post_ranges(t):
+    folder = work_path(t.spark, "arrays")
+    one = t.conversations.coalesce(1)
+    mark = F.when(F.monotonically_increasing_id() == 0, "[").otherwise(",")
+    lines = one.select(F.concat(mark, F.to_json(F.struct(*one.columns), {"ignoreNullFields": "false"})).alias("value"))
+    end = t.spark.createDataFrame([("]",)], "value string")
+    lines.unionByName(end).coalesce(1).write.text(f"{folder}/whole")
+    lines.coalesce(1).write.text(f"{folder}/cut")
+    rows, rejects = arrays.read_arrays(t.spark, folder, t.conversations.schema, 1 << 15)
+    total = rows.agg((F.max("id") + 1).alias("ids"))
+    bad = rejects.agg(F.count("*").cast("int").alias("rejects"))
+    return rows.select("element.*").crossJoin(F.broadcast(total)).crossJoin(F.broadcast(bad))
+
+
 # --- silver ----------------------------------------------------------------------------------
 
 SILVER_SQL = f"""SELECT name, {s_name_tokens('name')} AS name_tokens, playcount, listeners, coalesce(mbid, 'unknown') AS mbid, ingested_at
