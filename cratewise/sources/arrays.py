@@ -183,7 +183,8 @@ def read_arrays(spark: SparkSession, folder: str, element: StructType, range_byt
     unfit = parsed.filter("e is null or e._broken is not null").select("path")
     bad = materialize(judged.filter("bad").select("path").unionByName(unfit).distinct(), "bad-files")
     counts = about.select("path", "start", "elements").join(bad, "path", "left_anti")
-    first = running_totals(counts, ["path", "start"], "elements").select("path", "start", "before")
+    counts = counts.withColumn("name", F.regexp_extract("path", "([^/]+)$", 1))
+    first = running_totals(counts, ["name", "path", "start"], "elements").select("path", "start", "before")
     rows = parsed.join(first, ["path", "start"]).select(
         "path", (F.col("before") + F.col("nth")).alias("id"), F.struct(*[F.col(f"e.{f.name}") for f in element]).alias("element")
     )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cratewise import schemas
 from cratewise.functions.text import name_tokens, strip
 from cratewise.session import materialize
+from cratewise.sources.arrays import read_arrays
 
 # Fixed value: the run stamp at the end of a post file's name.
 STAMP = r"_(\d{8}_\d{6})\.json$"
@@ -178,32 +179,16 @@ def read_posts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
     Posts are ``(file, file_stamp, post_id, title, score, comments)``; a file
     that is no JSON list, a cut-off one too, is a reject ``(file, message)``.
-    A post file is one JSON array, so it is one row until it is exploded. It
-    is parsed once, into the shared folder; ``post_id`` runs over the files in
-    name order, from a window over one narrow row per file.
+    A post file is one JSON array of any length: it is read by byte ranges, and
+    ``post_id`` runs over the files in name order.
     """
-    files = materialize(
-        spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True).select(
-            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"),
-            F.from_json("value", schemas.POSTS).alias("posts"),
-        ), "post-files",
+    rows, damaged = read_arrays(spark, folder, schemas.POSTS.elementType)
+    file = F.regexp_extract("path", "([^/]+)$", 1)
+    posts = rows.select(
+        file.alias("file"), F.regexp_extract(file, STAMP, 1).alias("file_stamp"), F.col("id").alias("post_id"),
+        "element.title", "element.score", "element.comments",
     )
-    rejects = files.filter("posts IS NULL").select("file", F.lit("no JSON list of posts").alias("message"))
-    good = files.filter("posts IS NOT NULL")
-    before = Window.orderBy("file", "path").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = good.select("path", "file", F.size("posts").alias("n"))
-    offsets = sizes.select("path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_id"))
-    posts = (
-        good.join(offsets, "path")
-        .select("file", "first_id", F.posexplode("posts").alias("pos", "post"))
-        .select(
-            "file",
-            F.regexp_extract("file", STAMP, 1).alias("file_stamp"),
-            (F.col("first_id") + F.col("pos")).cast("long").alias("post_id"),
-            "post.title", "post.score", "post.comments",
-        )
-    )
-    return posts, rejects
+    return posts, damaged.select(file.alias("file"), F.lit("no JSON list of posts").alias("message"))
 
 
 def latest_stamp(posts: DataFrame) -> DataFrame:
