@@ -49,7 +49,7 @@ STAGES = [
     ("best-fit packing", packing),
 ]
 
-# The toxicity model and the tokenizer are beyond SQL; tests compare with brute force.
+# The toxicity model and the tokenizer are beyond SQL.
 ORACLE_SQL = None
 
 
