@@ -60,16 +60,18 @@ def word_hashes(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     """
     if not len(start):
         return np.zeros(0, dtype=U)
-    first, place, at = characters(start, end)
-    letter = code[at].astype(np.int64)
-    near = (place < 256) & (letter < 256)
-    if near.all():
-        sign = _signs()[place << 8 | letter]
-    else:
-        sign = np.empty(len(place), dtype=U)
-        sign[near] = _signs()[place[near] << 8 | letter[near]]
-        sign[~near] = _sign(place[~near], letter[~near])
-    return mix(np.add.reduceat(sign, first))
+    begin = np.zeros(len(code), dtype=np.int32)
+    begin[start] = start
+    place = np.arange(len(code), dtype=np.int32) - np.maximum.accumulate(begin)
+    letter = code.astype(np.int32)
+    far = np.flatnonzero((place > 255) | (letter > 255))
+    key = place << 8 | letter
+    key[far] = 0
+    sign = _signs()[key]
+    sign[far] = _sign(place[far], letter[far])
+    total = np.zeros(len(code) + 1, dtype=U)
+    np.cumsum(sign, out=total[1:])
+    return mix(total[end] - total[start])
 
 
 @dataclass
