@@ -110,27 +110,44 @@ query("cap_outliers", f"SELECT event_id, {CAPPED_SQL} FROM events")(
 )
 
 
+# Quartiles that are off by twice the error, which leaves room for the rounding of a rank.
+OFF = [p + d for p in (0.25, 0.75) for d in (-2 * q.OUTLIER_ERROR, 0, 2 * q.OUTLIER_ERROR)]
+# Ends of the fences from such quartiles: (name, low end, high end).
+RATES = [
+    ("rate", "2.5 * {q1} - 1.5 * {q3}", "2.5 * {q3} - 1.5 * {q1}"),
+    ("rate_low", "2.5 * {q1_less} - 1.5 * {q3_more}", "2.5 * {q3_more} - 1.5 * {q1_less}"),
+    ("rate_high", "2.5 * {q1_more} - 1.5 * {q3_less}", "2.5 * {q3_less} - 1.5 * {q1_more}"),
+]
+EDGES = ["q1_less", "q1", "q1_more", "q3_less", "q3", "q3_more"]
+
+
+def _rates_sql(table, c):
+    ends = {edge: f"CAST(qs[{i + 1}] AS DOUBLE)" for i, edge in enumerate(EDGES)}
+    shares = ", ".join(
+        f"round(count(*) FILTER ({c} < CAST({lo.format(**ends)} AS DOUBLE) OR {c} > CAST({hi.format(**ends)} AS DOUBLE)) / count(*) * 100, 4) AS {name}"
+        for name, lo, hi in RATES)
+    return f"""SELECT '{c}' AS field, count({c}) AS n, {shares}, true AS in_bounds
+      FROM {table}, (SELECT quantile_cont(CAST({c} AS DOUBLE), {OFF}) AS qs FROM {table}) k"""
+
+
 @query("outlier_rate_approx", " UNION ALL ".join(
-    f"SELECT '{c}' AS field, true AS q1_within, true AS q3_within, true AS rate_follows" for c in NUMBERS["lineitem"] + ["value"]))
+    _rates_sql(table, c) for table, cols in (("lineitem", NUMBERS["lineitem"]), ("events", ["value"])) for c in cols))
 def outlier_rate_approx(t):
-    """The approximate quartiles must have a rank within 1 % of the wanted
-    one, and the rate must be the share outside the fences they give."""
+    """The exact rate, and the least and greatest one that quartiles within their error can give; the
+    approximate rate must lie between these."""
     def verdict(df, cols):
-        box = qt.fences(qt.approx_quantiles(df, cols, [0.25, 0.5, 0.75], q.OUTLIER_ERROR))
-        numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "field", "value")
-
-        def within(edge, p):
-            low = F.count_if(F.col("value") < F.col(edge)) / F.count("*") <= p + q.OUTLIER_ERROR
-            return low & (F.count_if(F.col("value") <= F.col(edge)) / F.count("*") >= p - q.OUTLIER_ERROR)
-
-        outside = (F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))
-        facts = numbers.join(F.broadcast(box), "field").groupBy("field").agg(
-            within("q1", 0.25).alias("q1_within"), within("q3", 0.75).alias("q3_within"),
-            F.round(F.count_if(outside) / F.count("*") * 100, 4).alias("expected"),
-        )
-        rates = qt.outlier_rates(df, cols, q.OUTLIER_ERROR)
-        return facts.join(F.broadcast(rates), "field").select(
-            "field", "q1_within", "q3_within", (F.col("rate") == F.col("expected")).alias("rate_follows"))
+        facts = []
+        for c, edges in qt.exact_quantiles(df, cols, OFF).items():
+            ends = {edge: f"double('{x!r}')" for edge, x in zip(EDGES, edges)}
+            shares = ", ".join(
+                f"'{name}', round(count_if({c} < {lo.format(**ends)} OR {c} > {hi.format(**ends)}) / count(*) * 100, 4)".replace("2.5 ", "2.5D ").replace("1.5 ", "1.5D ")
+                for name, lo, hi in RATES)
+            facts.append(f"named_struct('field', '{c}', 'n', count({c}), {shares})")
+        exact = df.selectExpr(f"array({', '.join(facts)}) AS facts").select(F.inline("facts"))
+        # One row per column on either side.
+        rates = qt.outlier_rates(df, cols, q.OUTLIER_ERROR).withColumnRenamed("rate", "about")
+        return exact.join(F.broadcast(rates), "field").withColumn(
+            "in_bounds", F.col("about").between(F.col("rate_low"), F.col("rate_high"))).drop("about")
 
     return verdict(t.lineitem, NUMBERS["lineitem"]).unionByName(verdict(t.events, ["value"]))
 
