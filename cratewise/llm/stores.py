@@ -39,34 +39,33 @@ def components(links: DataFrame) -> DataFrame:
     """Smallest reachable id of each id in ``links`` (a, b): columns ``id``, ``component``.
 
     Alternates large-star and small-star steps (every neighbour is tied to the
-    smallest one) until the links no longer change; the number of rounds grows
-    with the logarithm of the longest chain. Each step is an aggregation and a
-    join, both of which spread a hot id, and each round is a written table.
+    smallest one) until each id has one link, to an id that has none itself; the
+    number of rounds grows with the logarithm of the longest chain, and links that
+    are such stars already need none. Each step is an aggregation and a join, both
+    of which spread a hot id, and is written once.
     """
-    def both(df: DataFrame) -> DataFrame:
-        return df.unionByName(df.select(F.col("b").alias("a"), F.col("a").alias("b")))
-
-    def stamp(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first())
-
     def tied(near: DataFrame) -> DataFrame:
-        least = written(near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
+        least = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         return near.join(least, "a")
 
-    links = written(links.select("a", "b").filter("a <> b").distinct(), "links")
-    ids = both(links).select(F.col("a").alias("id")).distinct()
-    now = stamp(links)
-    while now[0]:
+    def unsettled(df: DataFrame) -> bool:
+        ends = df.select(F.col("a").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            df.select(F.col("b").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        ends = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        return ends.agg(F.count_if((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()[0] > 0
+
+    # From here on a link goes from the larger id to the smaller one.
+    links = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    links = written(links.distinct(), "links")
+    while unsettled(links):
         # Large star: neighbours above a are tied to the least around a.
-        large = tied(both(links)).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        large = tied(both).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = written(large.distinct(), "large")
         # Small star: a and its neighbours below it are tied to the least of them.
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        star = tied(down)
+        star = tied(large)
         small = star.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(star.select("a", F.col("m").alias("b")))
         links = written(small.filter("a <> b").distinct(), "links")
-        was, now = now, stamp(links)
-        if was == now:
-            break
-    roots = links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
-    return ids.join(roots, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    # Steps keep what is connected, so every id is still in a link.
+    found = links.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    return found.unionByName(links.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())

@@ -14,6 +14,7 @@ from cratewise.llm.line_dedup import drop_repeated_lines, without_repeated_lines
 from cratewise.llm.ngram_join import jaccard_components, keep_one_of_each
 from cratewise.llm.packing import pack
 from cratewise.llm.pii import personal_data, redacted
+from cratewise.llm.stores import components
 from cratewise.llm.token_counts import count_tokens
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -170,3 +171,15 @@ def test_columns_with_the_names_of_helpers_are_kept(spark, clashing):
     plain = redacted(clashing, personal_data(clashing))
     assert plain.columns == clashing.columns and kept(plain) == whole
     assert {r.doc_id: r.text for r in plain.collect()}[3] == "mail [email] now"
+
+
+@pytest.mark.parametrize("links", [
+    [(i, i + 1) for i in range(40)], [(5, i) for i in range(6, 60)], [(9, 1), (1, 9), (9, 2), (2, 7), (30, 20)], [],
+])
+def test_components_equal_a_plain_union(spark, links):
+    want = {x: x for pair in links for x in pair}
+    for _ in want:
+        for a, b in links:
+            want[a] = want[b] = min(want[a], want[b])
+    found = [tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect()]
+    assert len(found) == len(want) and dict(found) == want
