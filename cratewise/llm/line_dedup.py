@@ -1,23 +1,25 @@
 """Line dedup by winnowing over line hashes.
 
 Lines are symbols. A *window* is a shortest run of consecutive lines (blank ones
-left out) with at least ``min_words`` words; every run of that many words that
-two places share holds a common window at each of its lines. The smallest line
-hash of a window is its fingerprint, so places that share a window share its
-fingerprint for certain.
-
-1. Lines get 128-bit hashes; window functions over a document's lines yield the
-   shortest window that begins, and the shortest that ends, at each line.
-2. Fingerprints are counted; windows whose fingerprint occurs once are dropped.
-3. Positions are joined on the fingerprint and the window's content. The first
-   place (smallest doc_id, then line) of a window is kept.
-4. All windows are joined, not a sparse selection, so there is no extension step: the
-   union of the later places' windows is the longest repeated run to both sides.
-   Covered lines are deleted.
+left out) with at least ``min_words`` words, from the line it begins at or back
+from the line it ends at.
+
+1. Lines get 128-bit hashes. The smallest hash of each window that begins at a line,
+   and its place, is selected; the run of windows with one minimum has one position.
+   Two texts that share ``min_words`` words of whole lines share such a window, and
+   with it the position and its hash, for certain.
+2. A position is extended by the windows that hold it, line by line to both sides.
+   Equal extensions are one *kind*: kinds are counted and keep their first place
+   (smallest doc_id, then line). All places of a kind but the first are later runs as a whole.
+3. Kinds are joined on the position's hash. Only where different kinds share one are
+   their first places compared, window by window, to find how far the match goes; a hash
+   with one kind at one place goes no further.
+4. The lines of later runs are deleted. A run longer than an extension holds further
+   positions, whose extensions overlap.
 
 Texts move once, to meet the numbers of their deleted lines. All counting is
-combined before the shuffle; joins on a frequent window are inner joins of
-written tables, which Spark splits when one key is hot.
+combined before the shuffle, and copies meet as one kind, never pair by pair; joins on
+a frequent hash are inner joins of written tables, which Spark splits when one key is hot.
 """
 
 from __future__ import annotations
@@ -51,37 +53,61 @@ def _lines(docs: DataFrame) -> DataFrame:
     return one.withColumn("upto", F.sum("words").over(order)).withColumn("before", F.col("upto") - F.col("words"))
 
 
-def line_windows(docs: DataFrame, min_words: int) -> DataFrame:
-    """The windows of all texts: first and last line, fingerprint and content hashes."""
+def positions(docs: DataFrame, min_words: int) -> DataFrame:
+    """The selected positions of all texts: ``mark`` (hash of the line), first and last line of the
+    extension, its content (``kx``, ``ky``) and the windows in it."""
     lines = _lines(docs)
     text = Window.partitionBy("doc_id", "text_hash")
     ahead = text.orderBy("before").rangeBetween(0, min_words - 1)
     behind = text.orderBy("upto").rangeBetween(1 - min_words, 0)
 
-    def window(frame) -> Column:
-        return F.struct(
-            F.min("line").over(frame).alias("from"), F.max("line").over(frame).alias("to"), F.sum("words").over(frame).alias("words"),
-            F.min(F.struct("x", "y")).over(frame).alias("mark"), _hashes(F.collect_list(F.struct("x", "y")).over(frame)).alias("content"),
-        )
-
-    both = lines.select("doc_id", "text_hash", window(ahead).alias("a"), window(behind).alias("b"))
-    sides = both.select(
-        "doc_id", "text_hash", F.explode(F.when(F.col("a") == F.col("b"), F.array("a")).otherwise(F.array("a", "b"))).alias("w")
+    def content(frame) -> Column:
+        return _hashes(F.collect_list(F.struct("x", "y")).over(frame))
+
+    lines = lines.withColumns({
+        "to": F.max("line").over(ahead), "full": F.sum("words").over(ahead) >= min_words,
+        # Of equal hashes the one furthest up.
+        "least": F.min(F.struct("x", "y", "line")).over(ahead), "next": content(ahead),
+    })
+    lines = lines.withColumns({
+        "start": F.first(F.struct("line", "to", "least")).over(behind), "filled": F.sum("words").over(behind) >= min_words, "last": content(behind),
+    })
+
+    def window(first, last, hashes, least) -> Column:
+        return F.struct(F.col(first).alias("from"), F.col(last).alias("to"), F.col(f"{hashes}.x").alias("x"), F.col(f"{hashes}.y").alias("y"), F.col(least).alias("least"))
+
+    # A window that also begins where it was looked for backwards is there once.
+    both = F.array(
+        F.when(F.col("full"), window("line", "to", "next", "least")),
+        F.when(F.col("filled") & (F.col("start.to") < F.col("line")), window("start.line", "line", "last", "start.least")),
+    )
+    held = lines.select("doc_id", "text_hash", F.explode(F.array_compact(both)).alias("w"))
+    held = held.groupBy("doc_id", "text_hash", F.col("w.least.line").alias("at"), F.col("w.least.x").alias("mark")).agg(
+        F.sort_array(F.collect_list(F.struct("w.from", "w.to", "w.x", "w.y"))).alias("windows")
+    )
+    whole = _hashes(F.transform("windows", lambda w: F.struct(w["x"], w["y"])))
+    return held.select(
+        "doc_id", "text_hash", "mark", F.col("windows")[0]["from"].alias("from"), F.array_max(F.col("windows.to")).alias("to"),
+        whole["x"].alias("kx"), whole["y"].alias("ky"), "windows",
     )
-    return sides.select("doc_id", "text_hash", "w.*").filter(F.col("words") >= min_words).drop("words")
 
 
 def repeated_lines(docs: DataFrame, min_words: int = 25) -> DataFrame:
     """``doc_id``, ``text_hash`` and ``gone``: the numbers of lines in later repeated runs."""
-    windows = written(line_windows(docs, min_words), "windows")
-    # A mark that one window alone has, at one place, cannot be shared.
-    marks = written(windows.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark"), "marks")
-    near = written(windows.join(marks, "mark"), "near")
-    place = F.struct("doc_id", "from", "text_hash")
-    firsts = written(
-        near.groupBy("mark", "content").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last").drop("last"), "firsts"
-    )
-    later = near.join(firsts, ["mark", "content"]).filter(~place.eqNullSafe(F.col("first")))
+    selected = written(positions(docs, min_words), "positions")
+    place = F.struct("doc_id", "text_hash", "from")
+    kinds = written(selected.groupBy("kx", "ky").agg(F.first("mark").alias("mark"), F.min(place).alias("first"), F.count("*").alias("n")), "kinds")
+    # A hash with one place in all is not shared.
+    marks = kinds.groupBy("mark").agg(F.sum("n").alias("places"), F.count("*").alias("kinds")).filter("places > 1")
+    shared = kinds.join(marks, "mark").select("kx", "ky", "first", (F.col("kinds") > 1).alias("others"))
+    met = selected.join(shared, ["kx", "ky"]).withColumn("leads", place.eqNullSafe(F.col("first"))).filter("not leads or others")
+    met = written(met.select("doc_id", "text_hash", "from", "to", "leads", F.when(F.col("leads"), F.col("windows")).alias("windows")), "met")
+    copies = met.filter("not leads").select("doc_id", "text_hash", "from", "to")
+    # Windows that kinds share, at the kinds' first places.
+    parts = met.filter("leads").select("doc_id", "text_hash", F.inline("windows"))
+    firsts = parts.groupBy("x", "y").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    partly = parts.join(written(firsts, "firsts"), ["x", "y"]).filter(~place.eqNullSafe(F.col("first")))
+    later = copies.unionByName(partly.select("doc_id", "text_hash", "from", "to"))
     gone = later.select("doc_id", "text_hash", F.explode(F.sequence("from", "to")).alias("line"))
     return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("gone"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cratewise.llm import ngram_join, pretokens
-from cratewise.llm.line_dedup import drop_repeated_lines, without_repeated_lines
+from cratewise.llm.line_dedup import drop_repeated_lines, positions, without_repeated_lines
 from cratewise.llm.ngram_join import jaccard_components, keep_one_of_each
 from cratewise.llm.packing import pack
 from cratewise.llm.pii import personal_data, redacted
@@ -183,3 +183,40 @@ def test_components_equal_a_plain_union(spark, links):
             want[a] = want[b] = min(want[a], want[b])
     found = [tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect()]
     assert len(found) == len(want) and dict(found) == want
+
+
+def _plain_cut(texts, least):
+    """Lines left of each text when runs of ``least`` words that occur earlier go, all runs against all."""
+    split = {i: t.split("\n") for i, t in texts}
+    seen, gone = {}, {i: set() for i in split}
+    for i in sorted(split):
+        worded = [j for j, line in enumerate(split[i]) if line.split()]
+        size = [len(split[i][j].split()) for j in worded]
+        for a in range(len(worded)):
+            for b in range(a, len(worded)):
+                if sum(size[a : b + 1]) < least:
+                    continue
+                run = tuple(split[i][j] for j in worded[a : b + 1])
+                # Only shortest runs, from one side or the other, cover blank lines within.
+                shortest = sum(size[a:b]) < least or sum(size[a + 1 : b + 1]) < least
+                if run in seen and shortest:
+                    gone[i].update(range(worded[a], worded[b] + 1))
+                seen.setdefault(run, i)
+    return {i: "\n".join(x for j, x in enumerate(lines) if j not in gone[i]) for i, lines in split.items()}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_winnowed_runs_equal_all_runs_against_all(spark, seed):
+    dice = random.Random(seed)
+    lines = ["", " ", "a", "b c", "d e f", "g h i j", "k l m n o p q", "r"]
+    texts = [(i, "\n".join(dice.choices(lines, k=dice.randrange(0, 14)))) for i in range(150)]
+    found = drop_repeated_lines(spark.createDataFrame(texts, "doc_id long, text string"), 6)
+    assert {r.doc_id: r.text for r in found.collect()} == _plain_cut(texts, 6)
+
+
+def test_one_position_stands_for_the_windows_of_a_minimum(spark):
+    lines = [f"line {i} of a long text" for i in range(400)]
+    texts = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(lines[100:300]))], "doc_id long, text string")
+    # Five lines of six words to a window: positions are far fewer than windows.
+    assert positions(texts, 30).count() < 0.5 * 600
+    assert {r.doc_id: r.lines_gone for r in drop_repeated_lines(texts, 30).collect()} == {1: 0, 2: 200}
