@@ -3,7 +3,9 @@
 One model is of random strings, one of ordinary identifiers; both are character
 bigrams. They are trained on samples that Spark counts over the whole corpus:
 values of the fixed forms are random; words too short to be judged, and longer
-tokens that many rows have, are ordinary.
+tokens that many rows have, are ordinary. Identifiers are words put together, so the
+ordinary model also knows how words begin and end: it spells them in other cases and
+joins them by separators, digits and capitals.
 A token whose log-likelihood ratio, summed over its characters, is high enough,
 and that no fixed form covers, is reported as a ``random`` span. Any token of
 eight characters or more is judged, whatever characters it has.
@@ -120,8 +122,12 @@ def _outside(text: str, spans: list, start: np.ndarray, end: np.ndarray, data: n
     ]
 
 
+# Codes of the counts: pairs, then first and last characters.
+CODES = len(SYMBOLS) ** 2 + 2 * len(SYMBOLS)
+
+
 def _bigrams(tokens: list[bytes]) -> np.ndarray:
-    counts = np.zeros(len(SYMBOLS) ** 2, dtype=np.int64)
+    counts = np.zeros(CODES, dtype=np.int64)
     if tokens:
         joined = np.frombuffer(b"\n".join(tokens), dtype=np.uint8)
         pair = _TOKEN[joined[:-1]] & _TOKEN[joined[1:]]
@@ -131,22 +137,25 @@ def _bigrams(tokens: list[bytes]) -> np.ndarray:
 
 
 def _short(column: pa.Array, least: int) -> np.ndarray:
-    """Bigrams of the words that are shorter than ``least``, and of tokens without letters."""
-    counts = np.zeros(len(SYMBOLS) ** 2, dtype=np.int64)
+    """Bigrams, first and last characters of the words that are shorter than ``least``, and of tokens without letters."""
+    n, counts = len(SYMBOLS), np.zeros(CODES, dtype=np.int64)
     data, offsets = text_bytes(column)
     for at, to in slices(offsets):
         part = data[offsets[at] : offsets[to]]
         start, end = runs(part, offsets[at : to + 1] - offsets[at], _TOKEN, 2)
         letters = np.r_[0, np.cumsum(((part | 0x20) >= 0x61) & ((part | 0x20) <= 0x7A))]
         below = (end - start < least) | (letters[end] == letters[start])
-        start, n = start[below], (end - start)[below] - 1
-        pair = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        counts += np.bincount(_PLACE[part[pair]] * len(SYMBOLS) + _PLACE[part[pair + 1]], minlength=len(counts))
+        start, end = start[below], end[below]
+        size = end - start - 1
+        pair = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        counts[: n * n] += np.bincount(_PLACE[part[pair]] * n + _PLACE[part[pair + 1]], minlength=n * n)
+        counts[n * n : -n] += np.bincount(_PLACE[part[start]], minlength=n)
+        counts[-n:] += np.bincount(_PLACE[part[end - 1]], minlength=n)
     return counts
 
 
 def _sampled(least: int):
-    """Bigrams (label, code, n) of the random samples and of short words, and rows that have a longer token (token, n)."""
+    """Codes (label, code, n) of the random samples and of short words, and rows that have a longer token (token, n)."""
     names = ["label", "code", "token", "n"]
 
     def listed(rows: Counter) -> pa.RecordBatch:
@@ -154,7 +163,7 @@ def _sampled(least: int):
         return pa.RecordBatch.from_arrays([none, none, pa.array([t.decode() for t in rows], pa.string()), pa.array(list(rows.values()), pa.int64())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros((2, len(SYMBOLS) ** 2), dtype=np.int64), Counter()
+        total, rows = np.zeros((2, CODES), dtype=np.int64), Counter()
         for batch in small(batches):
             random = []
             total[1] += _short(batch.column(0), least)
@@ -174,18 +183,20 @@ def _sampled(least: int):
 
 
 def _weighted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bigrams of tokens, each as often as rows have it."""
-    total = np.zeros(len(SYMBOLS) ** 2, dtype=np.int64)
+    """Bigrams, first and last characters of tokens, each as often as rows have it."""
+    symbols, total = len(SYMBOLS), np.zeros(CODES, dtype=np.int64)
     for batch in small(batches):
         for token, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             place = _PLACE[np.frombuffer(token.encode(), dtype=np.uint8)]
-            np.add.at(total, place[:-1] * len(SYMBOLS) + place[1:], n)
+            np.add.at(total, place[:-1] * symbols + place[1:], n)
+            total[symbols**2 + place[0]] += n
+            total[symbols**2 + symbols + place[-1]] += n
     code = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(code)), pa.int32()), pa.array(code, pa.int32()), pa.array(total[code], pa.int64())], ["label", "code", "n"])
 
 
 def bigram_counts(docs: DataFrame, least: int = 8, often: int = 5) -> DataFrame:
-    """(label, code, n): character bigrams of random (0) and ordinary (1) samples of the whole corpus.
+    """(label, code, n): character bigrams, first and last characters of random (0) and ordinary (1) samples of the whole corpus.
 
     Ordinary are words shorter than ``least``, numbers of any length (phone numbers, dates) and tokens that ``often`` or more rows have."""
     counted = docs.select("text").mapInArrow(_sampled(least), "label int, code int, token string, n long")
@@ -195,6 +206,30 @@ def bigram_counts(docs: DataFrame, least: int = 8, often: int = 5) -> DataFrame:
     return counted.filter("token is null").select("label", "code", "n").unionByName(tokens).groupBy("label", "code").agg(F.sum("n").alias("n"))
 
 
+def joined_words(pairs: np.ndarray, first: np.ndarray, last: np.ndarray, share: float = 0.1) -> np.ndarray:
+    """Bigrams of identifiers made of words with these bigrams, first and last characters: ``share`` of the
+    words again in capitals, with one capital, and next to a separator, a digit or a capital."""
+    small_letters, capitals, digits, marks = (np.array([c in group for c in map(chr, SYMBOLS)]) for group in (
+        "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "+/_=-"))
+    low, up, dig, sep = map(np.flatnonzero, (small_letters, capitals, digits, marks))
+    within = sum(pairs[np.ix_(a, b)] for a in (low, up) for b in (low, up))
+    starts, ends = first[low] + first[up], last[low] + last[up]
+    opening = within * (starts / np.maximum(within.sum(axis=1), 1))[:, None]
+    beginning = starts / max(starts.sum(), 1)
+    made = np.zeros_like(pairs)
+    made[np.ix_(up, up)] += within
+    made[np.ix_(up, low)] += opening
+    for case in (low, up):
+        made[np.ix_(case, sep)] += ends[:, None] / len(sep)
+        made[np.ix_(sep, case)] += starts[None, :] / len(sep) / 2
+        made[np.ix_(case, dig)] += ends[:, None] / len(dig) / 5
+        made[np.ix_(dig, case)] += beginning[None, :] * last[dig][:, None] / 20
+    made[np.ix_(low, up)] += ends[:, None] * beginning[None, :] / 2
+    made[np.ix_(dig, sep)] += last[dig][:, None] / len(sep)
+    made[np.ix_(sep, dig)] += starts.sum() / len(sep) / len(dig) / 5
+    return share * made
+
+
 @dataclass
 class MarkovModels:
     """Log-likelihood ratio of each bigram, random against ordinary."""
@@ -203,11 +238,12 @@ class MarkovModels:
 
     @classmethod
     def fit(cls, counts: np.ndarray, backing: float = 20.0, uniform: float = 0.5) -> MarkovModels:
-        """``counts``: 2 x symbols**2. Pairs are backed by single characters (each seen half a time
+        """``counts``: 2 x CODES. Pairs are backed by single characters (each seen half a time
         more than it was); the random model is mixed with a uniform one, so that an alphabet that
-        no sample has is not held against a token."""
+        no sample has is not held against a token; the ordinary one has words joined to identifiers."""
         n = len(SYMBOLS)
-        pairs = counts.reshape(2, n, n).astype(float)
+        pairs = counts[:, : n * n].reshape(2, n, n).astype(float)
+        pairs[1] += joined_words(pairs[1], counts[1, n * n : -n], counts[1, -n:])
         single = pairs.sum(axis=1) + 0.5
         single /= single.sum(axis=1, keepdims=True)
         p = (pairs + backing * single[:, None, :]) / (pairs.sum(axis=2, keepdims=True) + backing)
@@ -251,13 +287,13 @@ def find_secrets(docs: DataFrame, least: int = 8, threshold: float = THRESHOLD,
     as kind:start:end by start, then kind; ``random`` is the models' kind). Places
     are code points, the end is exclusive. The models judge every token of ``least``
     or more characters; the log-likelihood ratio summed over a token must reach
-    ``threshold``, so a short token must be unlikelier per character. ``samples`` gives other bigram
+    ``threshold``, so a short token must be unlikelier per character. ``samples`` gives other
     counts (label, code, n); by default the corpus is counted first: two reads.
     A null or empty text has no spans; repeated rows get equal results; an empty
     table gives no rows; other columns are ignored.
     """
-    counts = np.zeros((2, len(SYMBOLS) ** 2), dtype=np.int64)
-    # At most 2 x symbols**2 rows.
+    counts = np.zeros((2, CODES), dtype=np.int64)
+    # At most 2 x CODES rows.
     for row in (samples if samples is not None else bigram_counts(docs)).collect():
         counts[row["label"], row["code"]] = row["n"]
     models = docs.sparkSession.sparkContext.broadcast(MarkovModels.fit(counts))

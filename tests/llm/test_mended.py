@@ -14,6 +14,7 @@ from cratewise.llm.line_dedup import drop_repeated_lines, positions, without_rep
 from cratewise.llm.ngram_join import jaccard_components, keep_one_of_each
 from cratewise.llm.packing import pack
 from cratewise.llm.pii import personal_data, redacted
+from cratewise.llm.secrets import find_secrets
 from cratewise.llm.stores import components
 from cratewise.llm.token_counts import count_tokens
 
@@ -220,3 +221,27 @@ def test_one_position_stands_for_the_windows_of_a_minimum(spark):
     # Five lines of six words to a window: positions are far fewer than windows.
     assert positions(texts, 30).count() < 0.5 * 600
     assert {r.doc_id: r.lines_gone for r in drop_repeated_lines(texts, 30).collect()} == {1: 0, 2: 200}
+
+
+# Written for this test; no text of the table holds them.
+IDENTIFIERS = """customer_account_overview get_user_by_identifier com/photos/2024/summer-holiday BUILD_RELEASE_CONFIGURATION xylophone-quartet
+Donaudampfschifffahrt customerAccountOverview MaxConnectionsPerHost read_only_replica docs/getting-started/install-guide HTTP_RESPONSE_TIMEOUT
+shopping-cart-total invoice_number_2023 Wirtschaftswissenschaften responsabilidad internationalisation parseRequestHeaders user-profile-settings
+is_valid_address ORDER_STATUS_PENDING backup-2024-03-01 temperature_sensor_12 ListOfOpenItems desarrollo-sostenible chambre_de_commerce
+www/static/images/header-logo employee-of-the-month createTemporaryFolder TOTAL_AMOUNT_DUE weather_forecast_daily monthlyNewsletter
+geschwindigkeitsbegrenzung anticonstitutionnellement last-modified-since remote_server_name LocalDateFormatter color=dark-green
+notes/meeting/october first_name+last_name table_of_contents SearchResultPage""".split()
+
+
+def test_ordinary_identifiers_are_told_from_random_strings(spark):
+    dice = random.Random(5)
+    alphabets = ("0123456789abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+                 "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
+    keys = ["".join(dice.choices(alphabets[i % 3], k=dice.randrange(12, 32))) for i in range(len(IDENTIFIERS))]
+    planted = [(10_000_000 + i, f"we saw {x} there") for i, x in enumerate(IDENTIFIERS + keys)]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    found = find_secrets(docs.unionByName(spark.createDataFrame(planted, "doc_id long, text string"))).filter("doc_id >= 10000000")
+    hit = [r.doc_id - 10_000_000 for r in found.filter("contains(spans, 'random:')").collect()]
+    right = sum(i >= len(IDENTIFIERS) for i in hit)
+    assert right >= 0.9 * len(keys)
+    assert right >= 0.9 * len(hit)
