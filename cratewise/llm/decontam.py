@@ -8,12 +8,14 @@ zero leads through the hash of the block to a bucket of patterns, and a direct
 comparison confirms an occurrence.
 
 The search runs inside Arrow batches: many stretches of text are walked at the
-same time, each by its own shifts, so every step is one numpy operation.
+same time, each by its own shifts, so every step is one numpy operation. Tables are
+compiled in tasks from bounded shares of the benchmark, and searched one after another.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,9 +27,11 @@ from pyspark.sql import functions as F
 from cratewise.llm.stores import written
 from cratewise.llm.words import LETTERS, U, Words, mix, small, windows, word_slices
 
-# Patterns of one search: a larger benchmark is searched in blocks of items
-# whose words sum to at most so many, so tables stay below some 30 MB.
+# Words, and bytes of words, in the tables of one search, which are sent to every
+# executor; a larger benchmark is searched share by share, and a longer item is cut
+# into pieces that overlap by a window.
 WORDS_PER_SEARCH = 250_000
+BYTES_PER_SEARCH = 2_500_000
 # Words of a text that one lane of the search walks.
 STRETCH = 128
 SHIFT_BITS = 18
@@ -159,19 +163,63 @@ def _searched(tables):
     return run
 
 
-def _benchmark_blocks(benchmark: DataFrame) -> list[list[tuple[int, str]]]:
-    """Item texts in blocks of bounded size. Only one search's share is held as
-    tables at a time; the items of a benchmark are streamed, never the documents."""
-    blocks, words = [[]], 0
-    rows = benchmark.select("item_id", "text").filter("item_id is not null and text is not null").orderBy("item_id", "text")
-    for item, text in rows.toLocalIterator():
-        n = len(text.split()) + 1
-        if blocks[-1] and words + n > WORDS_PER_SEARCH:
-            blocks.append([])
-            words = 0
-        blocks[-1].append((item, text))
-        words += n
-    return blocks
+def _pieces(spelled: list[bytes], size: int, most: int, widest: int) -> Iterator[tuple[int, bytes]]:
+    """(words, text) of pieces of an item that together hold all of its windows: of at most
+    ``most`` words and ``widest`` bytes, unless one window has more."""
+    at = 0
+    while True:
+        end = wide = 0
+        for word in spelled[at : at + max(most, size)]:
+            if end >= size and wide + len(word) >= widest:
+                break
+            end, wide = end + 1, wide + len(word) + 1
+        yield end, b" ".join(spelled[at : at + end])
+        if at + end >= len(spelled):
+            return
+        at += end - size + 1
+
+
+def _compiled(size: int, most: int, widest: int):
+    """Search tables of shares of a benchmark (item_id, text), pickled."""
+    def table(share: list[tuple[int, str]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(compile_patterns(share, size))], pa.binary())], ["tables"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        share, words, wide = [], 0, 0
+        for batch in small(batches):
+            ids = batch.column(0).to_pylist()
+            for at, to, found in word_slices(batch.column(1), LETTERS):
+                for r in range(to - at):
+                    a, z = int(found.first[r]), int(found.first[r + 1])
+                    spelled = [found.data[found.start[i] : found.end[i]].tobytes() for i in range(a, z)]
+                    for n, text in _pieces(spelled, size, most, widest) if spelled else ():
+                        if share and (words + n > most or wide + len(text) > widest):
+                            yield table(share)
+                            share, words, wide = [], 0, 0
+                        share.append((ids[at + r], text.decode()))
+                        words, wide = words + n, wide + len(text)
+        if share:
+            yield table(share)
+
+    return run
+
+
+def _searches(benchmark: DataFrame, size: int) -> tuple[int, Iterator[list[Patterns]]]:
+    """How many searches a benchmark takes, at least one, and their tables, one at a time."""
+    items = benchmark.filter("item_id is not null and text is not null").select("item_id", "text")
+    wide = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    # Few tasks for a small benchmark, so that its share is not cut without need.
+    compiled = items.coalesce(-(-wide // BYTES_PER_SEARCH) or 1).mapInArrow(_compiled(size, WORDS_PER_SEARCH, BYTES_PER_SEARCH), "tables binary")
+    compiled = written(compiled.select(F.monotonically_increasing_id().alias("nth"), "tables"), "searches")
+    shares = [row["nth"] for row in compiled.select("nth").collect()]
+
+    def read() -> Iterator[list[Patterns]]:
+        for nth in shares:
+            yield pickle.loads(compiled.filter(F.col("nth") == nth).first()["tables"])
+        if not shares:
+            yield []
+
+    return max(len(shares), 1), read()
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
@@ -183,20 +231,21 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
     digits, letters a-z (A-Z lower-cased) and non-ASCII characters. A null text
     has no words. Items without words, text or id match nothing; equal items
     are all named; repeated rows give equal rows; an empty benchmark hits nothing.
-    A benchmark above ``WORDS_PER_SEARCH`` words is searched in blocks of items.
+    A benchmark above ``WORDS_PER_SEARCH`` words or ``BYTES_PER_SEARCH`` bytes is searched in
+    several passes; the driver holds the tables of one of them.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     span = "array<struct<start: bigint, end: bigint>>"
     context = docs.sparkSession.sparkContext
-    blocks = _benchmark_blocks(benchmark)
+    n, searches = _searches(benchmark, size)
     rows = docs.select("doc_id", "text")
-    if len(blocks) == 1:
-        tables = context.broadcast(compile_patterns(blocks[0], size))
+    if n == 1:
+        tables = context.broadcast(next(searches))
         return rows.mapInArrow(_searched(tables), f"doc_id {kind}, n_words long, spans {span}, items array<string>")
     parts = None
     keyed = rows.select("doc_id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), "text")
-    for block in blocks:
-        tables = context.broadcast(compile_patterns(block, size))
+    for sets in searches:
+        tables = context.broadcast(sets)
         part = written(keyed.mapInArrow(_searched(tables), f"doc_id {kind}, h1 long, h2 long, n_words long, spans {span}, items array<string>"), "searched")
         if parts is None:
             parts, hits = part.select("doc_id", "h1", "h2", "n_words"), part.filter("size(items) > 0")
@@ -229,18 +278,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text holds no window of a benchmark item."""
-    context = docs.sparkSession.sparkContext
+    """The rows of ``docs``, all columns, whose text holds no window of a benchmark item.
+
+    Null and empty texts stay; repeated rows stay or go
+    together; an empty benchmark removes nothing. Between the passes of a large benchmark
+    the kept rows are written.
+    """
     schema = docs.schema
     at = schema.names.index("text")
-    for block in _benchmark_blocks(benchmark):
-        tables = context.broadcast(compile_patterns(block, size))
+    n, searches = _searches(benchmark, size)
+    for nth, sets in enumerate(searches, 1):
+        tables = docs.sparkSession.sparkContext.broadcast(sets)
 
         def clean(batches: Iterator[pa.RecordBatch], tables=tables) -> Iterator[pa.RecordBatch]:
             for batch in small(batches):
                 yield batch.filter(pa.array([not items for _, _, items in search(batch.column(at), tables.value)], pa.bool_()))
 
         docs = docs.mapInArrow(clean, schema)
+        if nth < n:
+            docs = written(docs, "clean")
+            tables.unpersist()
     return docs
 
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cratewise.llm import ngram_join, pretokens
+from cratewise.llm import decontam, ngram_join, pretokens
 from cratewise.llm.line_dedup import drop_repeated_lines, positions, without_repeated_lines
 from cratewise.llm.ngram_join import jaccard_components, keep_one_of_each
 from cratewise.llm.packing import pack
@@ -245,3 +245,41 @@ def test_ordinary_identifiers_are_told_from_random_strings(spark):
     right = sum(i >= len(IDENTIFIERS) for i in hit)
     assert right >= 0.9 * len(keys)
     assert right >= 0.9 * len(hit)
+
+
+@pytest.mark.parametrize("limits", [(12, 10**6), (10**6, 40)])
+def test_benchmark_in_shares_of_words_and_bytes(spark, monkeypatch, limits):
+    dice = random.Random(3)
+    texts = [",".join(dice.choices("abc", k=dice.randrange(0, 60))) for _ in range(60)] + [None, ""]
+    items = [",".join(dice.choices("abc", k=n)) for n in (0, 1, 4, 5, 6, 30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame([*enumerate(items), (90, None), (None, "a,b")], "item_id long, text string").repartition(3)
+    whole = decontam.contamination(docs, benchmark, 5).collect()
+    # Brute force.
+    named = {}
+    for i, t in enumerate(items):
+        words = [w for w in t.split(",") if w]
+        m = min(5, len(words))
+        for s in range(len(words) - m + 1) if m else ():
+            named.setdefault(tuple(words[s : s + m]), set()).add(i)
+    for row in whole:
+        words = [w for w in (texts[row.doc_id] or "").split(",") if w]
+        found = [(s, m, named[tuple(words[s : s + m])]) for m in range(1, 6) for s in range(len(words) - m + 1) if tuple(words[s : s + m]) in named]
+        assert row.n_hit == len({s + k for s, m, _ in found for k in range(m)})
+        assert row.items_sha256 == decontam.items_digest(set().union(*(x for *_, x in found)))
+    clean = {r.doc_id for r in decontam.decontaminate(docs, benchmark, 5).collect()}
+    assert clean == {r.doc_id for r in whole if not r.contaminated}
+    monkeypatch.setattr(decontam, "WORDS_PER_SEARCH", limits[0])
+    monkeypatch.setattr(decontam, "BYTES_PER_SEARCH", limits[1])
+    assert decontam._searches(benchmark, 5)[0] > 1
+    assert sorted(decontam.contamination(docs, benchmark, 5).collect()) == sorted(whole)
+    assert {r.doc_id for r in decontam.decontaminate(docs, benchmark, 5).collect()} == clean
+
+
+@pytest.mark.parametrize("most, widest", [(12, 10**6), (10**6, 40), (1, 1), (40, 10**6)])
+def test_pieces_hold_every_window(most, widest):
+    words = [b"w%d" % i for i in range(40)]
+    pieces = [*decontam._pieces(words, 5, most, widest)]
+    found = [tuple(text.split()[s : s + 5]) for n, text in pieces for s in range(n - 4)]
+    assert sorted(found) == sorted(tuple(words[i : i + 5]) for i in range(36))
+    assert all(n == 5 or (n <= most and len(text) <= widest) for n, text in pieces)
