@@ -37,12 +37,16 @@ KINDS = ("email", "ip", "card", "phone")
 
 
 def _found(kind: str, pattern: str, when: Column) -> Column:
-    """Matches with the length and the end of the gap before each."""
+    """Matches with the length of the gap before each and its last word, whatever its length and the blanks behind it."""
     text = F.col("text")
     gaps = F.split(text, pattern, -1)
+
+    def last_word(gap: Column) -> Column:
+        return F.substring_index(F.rtrim(F.translate(gap, "\t\n\v\f\r", " " * 5)), " ", -1)
+
     part = F.transform(
         F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match")),
-        lambda x: F.struct(F.length(x["gap"]).cast("long").alias("gap"), F.substring(x["gap"], -48, 48).alias("left"), x["match"].alias("match")),
+        lambda x: F.struct(F.length(x["gap"]).cast("long").alias("gap"), last_word(x["gap"]).alias("left"), x["match"].alias("match")),
     )
     none = F.array().cast("array<struct<gap: bigint, left: string, match: string>>")
     return F.struct(F.lit(kind).alias("kind"), F.coalesce(F.when(when, part), none).alias("items"))
@@ -97,7 +101,7 @@ def instances(spans: DataFrame) -> DataFrame:
     past, rest = text.rowsBetween(Window.unboundedPreceding, -1), text.rowsBetween(1, Window.unboundedFollowing)
     marked = spans.withColumn("reached", F.max(F.when(seed, F.col("end"))).over(past)).withColumn("next", F.min(F.when(seed, F.col("start"))).over(rest))
     free = F.coalesce(F.col("reached") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("next") >= F.col("end"), F.lit(True))
-    word = F.lower(F.regexp_extract("left", r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1))
+    word = F.lower("left")
     return marked.filter(seed | free).select(
         "doc_id", "text_hash", "kind", "start", "end", "match", F.when(word.rlike(r"\p{L}") & ~word.rlike("[0-9]"), word).alias("pattern")
     )

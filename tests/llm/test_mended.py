@@ -13,7 +13,7 @@ from cratewise.llm import decontam, ngram_join, pretokens
 from cratewise.llm.line_dedup import drop_repeated_lines, positions, without_repeated_lines
 from cratewise.llm.ngram_join import jaccard_components, keep_one_of_each
 from cratewise.llm.packing import pack
-from cratewise.llm.pii import personal_data, redacted
+from cratewise.llm.pii import instances, matches, personal_data, placed, redacted
 from cratewise.llm.secrets import find_secrets
 from cratewise.llm.stores import components
 from cratewise.llm.token_counts import count_tokens
@@ -283,3 +283,10 @@ def test_pieces_hold_every_window(most, widest):
     found = [tuple(text.split()[s : s + 5]) for n, text in pieces for s in range(n - 4)]
     assert sorted(found) == sorted(tuple(words[i : i + 5]) for i in range(36))
     assert all(n == 5 or (n <= most and len(text) <= widest) for n, text in pieces)
+
+
+def test_context_is_the_whole_word_before(spark):
+    long = "reach" * 30
+    docs = spark.createDataFrame([(1, f"{long}{' ' * 90}\n\t a@b.co and +49 30 1234567"), (2, "x1"), (3, None)], "doc_id long, text string")
+    found = {r.match: r.pattern for r in instances(placed(matches(docs))).collect()}
+    assert found == {"a@b.co": long, "+49 30 1234567": "and", "x1": None}
