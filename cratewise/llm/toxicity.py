@@ -31,9 +31,10 @@ from pyspark.sql import functions as F
 from cratewise.llm.stores import written
 from cratewise.llm.words import LETTERS, U, small, word_slices
 
-BLOCK = 64
+BLOCK = 32
 # A word that more than one in so many examples has is held in dense blocks.
 COMMON = 16
+POSTING = np.dtype([("row", np.int32), ("weight", np.float32)])
 
 
 def held_out(doc_id="doc_id"):
@@ -144,7 +145,10 @@ class BlockMaxIndex:
         self.dense = np.zeros((self.blocks, int(common.sum()), BLOCK), dtype=np.float32)
         self.dense[rows[dense] // BLOCK, np.repeat(self.place, n)[dense], rows[dense] % BLOCK] = weight[dense]
         self.top = np.ascontiguousarray(self.dense.max(axis=2, initial=0).T)
-        self.rows, self.weight = rows[~dense], weight[~dense]
+        postings = np.empty(len(rows) - int(dense.sum()), dtype=POSTING)
+        postings["row"], postings["weight"] = rows[~dense], weight[~dense]
+        # As plain numbers, which are copied faster than records.
+        self.postings = postings.view(U)
         # Postings of rare term t: start[t] to start[t + 1].
         self.start = np.r_[0, np.cumsum(np.where(common, 0, n))].astype(np.int32)
         self.common = n[common], rows[dense], weight[dense]
@@ -155,7 +159,7 @@ class BlockMaxIndex:
         n[self.place >= 0] = self.common[0]
         rows, weight = np.zeros(n.sum(), dtype=np.int32), np.zeros(n.sum(), dtype=np.float32)
         dense = np.repeat(self.place >= 0, n)
-        rows[dense], weight[dense], rows[~dense], weight[~dense] = *self.common[1:], self.rows, self.weight
+        rows[dense], weight[dense], rows[~dense], weight[~dense] = *self.common[1:], self.postings.view(POSTING)["row"], self.postings.view(POSTING)["weight"]
         return self.ids, self.toxic, self.blocks, n, rows.astype(np.min_scalar_type(len(self.ids))), weight
 
     def __setstate__(self, state):
@@ -168,26 +172,34 @@ class BlockMaxIndex:
             return []
         weight, place = weight.astype(np.float32), self.place[term]
         rare = place < 0
-        begin = self.start[term[rare]]
-        n = self.start[term[rare] + 1] - begin
-        at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        part = np.bincount(self.rows[at], weights=np.repeat(weight[rare], n) * self.weight[at], minlength=self.blocks * BLOCK).astype(float)
+        begin, end = self.start[term[rare]], self.start[term[rare] + 1]
+        # A term's postings lie one behind the other: they are copied as slices, not gathered entry by entry.
+        found = np.concatenate([self.postings[a:z] for a, z in zip([0, *begin.tolist()], [0, *end.tolist()])]).view(POSTING)
+        share = np.repeat(weight[rare], end - begin) * found["weight"]
+        part = np.bincount(found["row"], weights=share, minlength=self.blocks * BLOCK).astype(float, copy=False)
         part[list(but)] = -np.inf
+        best = np.maximum.reduceat(part, np.arange(0, len(part), BLOCK))
         part = part.reshape(self.blocks, BLOCK)
         place, weight = place[~rare], weight[~rare]
         # A little more than the sum, against rounding.
-        bound = (part.max(axis=1) + weight @ self.top[place]) * (1 + 1e-5)
+        bound = (best + weight @ self.top[place]) * (1 + 1e-5)
         order = np.argsort(-bound, kind="stable")
+        flat = self.dense.reshape(self.blocks * self.dense.shape[1], BLOCK)
         score, example, least, step = np.zeros(0), np.zeros(0, dtype=np.int64), 0.0, 4
         while len(order):
             take, order = order[:step], order[step:]
             take = take[(bound[take] > 0) & (bound[take] >= least)]
             if not len(take):
                 break
-            scores = part[take] + weight @ self.dense[take[:, None], place]
-            hit = (scores > 0) & (scores >= least)
-            score = np.r_[score, scores[hit]]
-            example = np.r_[example, (take[:, None] * BLOCK + np.arange(BLOCK))[hit]]
+            scores = part[take] + weight @ flat.take(take[:, None] * self.dense.shape[1] + place, axis=0)
+            scores = scores.ravel()
+            hit = np.flatnonzero(scores >= least if least > 0 else scores > 0)
+            score = np.concatenate([score, scores[hit]])
+            example = np.concatenate([example, take[hit // BLOCK] * BLOCK + hit % BLOCK])
+            if len(score) > k:
+                # Only those up to the k-th, with all that are equal to it, are put in order.
+                best = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
+                score, example = score[best], example[best]
             best = np.lexsort((example, -score))[:k]
             score, example = score[best], example[best]
             least = score[-1] if len(score) == k else 0.0
