@@ -13,14 +13,17 @@ about them.
 
 The examples are a bounded sample (``max_examples`` labelled rows), and the
 words are those of the sample. Document frequencies are counted over all texts.
+The index is compiled in tasks, in parts of bounded size; the driver passes one
+part at a time on to the executors and holds none of them.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,8 @@ BLOCK = 32
 # A word that more than one in so many examples has is held in dense blocks.
 COMMON = 16
 POSTING = np.dtype([("row", np.int32), ("weight", np.float32)])
+# Postings in a part of the index, but that a word's are never divided.
+ENTRIES_PER_PART = 1_000_000
 
 
 def held_out(doc_id="doc_id"):
@@ -73,11 +78,11 @@ def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _placed(shared):
-    """Per example the places of its words in the vocabulary and its unit vector."""
+    """Per example its heaviest word, how many it has, their places in the vocabulary and its unit vector."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in small(batches):
-            places, weights = [], []
+            places, weights, heads = [], [], []
             ends = np.r_[0, np.cumsum(batch.column(2).value_lengths().to_numpy(zero_copy_only=False))]
             place = np.searchsorted(model.vocabulary, batch.column(2).flatten().to_numpy(zero_copy_only=False).view(U))
             count = batch.column(3).flatten().to_numpy(zero_copy_only=False)
@@ -85,9 +90,11 @@ def _placed(shared):
                 by = np.argsort(place[a:z])
                 places.append(place[a:z][by].astype(np.int32))
                 weights.append(model.vector(places[-1], count[a:z][by]).astype(np.float32) if z > a else np.zeros(0, np.float32))
+                heads.append(int(places[-1][np.argmax(weights[-1])]) if z > a else -1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(places, pa.list_(pa.int32())), pa.array(weights, pa.list_(pa.float32()))],
-                ["doc_id", "toxic", "places", "weights"],
+                [batch.column(0), batch.column(1), pa.array(heads, pa.int32()), pa.array(np.diff(ends), pa.int32()),
+                 pa.array(places, pa.list_(pa.int32())), pa.array(weights, pa.list_(pa.float32()))],
+                ["doc_id", "toxic", "head", "size", "places", "weights"],
             )
 
     return run
@@ -123,58 +130,104 @@ def _frequencies(shared):
     return run
 
 
+class Part:
+    """Postings of a range of terms as they are searched: of rare terms as they are, of common ones for the dense blocks."""
+
+    def __init__(self, n: np.ndarray, rows: np.ndarray, weight: np.ndarray, examples: int):
+        """From postings in the order of terms, ``n`` of each term."""
+        self.n, self.examples = n.astype(np.int32), examples
+        dense = self._dense()
+        self.common = rows[dense].astype(np.int32), weight[dense]
+        postings = np.empty(len(rows) - int(dense.sum()), dtype=POSTING)
+        postings["row"], postings["weight"] = rows[~dense], weight[~dense]
+        # As plain numbers, which are copied faster than records.
+        self.postings = postings.view(U)
+
+    def _dense(self) -> np.ndarray:
+        return np.repeat(self.n.astype(np.int64) * COMMON > self.examples, self.n)
+
+    def __getstate__(self):
+        """With narrow row numbers: each executor keeps a file of them."""
+        dense, rare = self._dense(), self.postings.view(POSTING)
+        rows, weight = np.empty(len(dense), dtype=np.min_scalar_type(self.examples)), np.empty(len(dense), dtype=np.float32)
+        rows[dense], weight[dense], rows[~dense], weight[~dense] = *self.common, rare["row"], rare["weight"]
+        return self.n, rows, weight, self.examples
+
+    def __setstate__(self, state):
+        self.__init__(*state)
+
+
+def index_order(ids: list, heads: list[int], sizes: list[int]) -> list[int]:
+    """Examples whose heaviest word is the same lie together, so that block maxima are tight."""
+    return sorted(range(len(ids)), key=lambda i: (heads[i], sizes[i], ids[i]))
+
+
 class BlockMaxIndex:
     """Examples by term: postings of rare terms; dense blocks, with the largest weight in each, of common ones."""
 
     def __init__(self, ids: list, toxic: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int):
-        # Examples whose heaviest word is the same lie together, so that block maxima are tight.
-        order = sorted(range(len(ids)), key=lambda i: (int(vectors[i][0][np.argmax(vectors[i][1])]), len(vectors[i][0]), ids[i]))
-        self.ids, self.toxic = [ids[i] for i in order], np.asarray(toxic)[order]
-        self.blocks = -(-len(order) // BLOCK)
+        order = index_order(ids, [int(t[np.argmax(w)]) for t, w in vectors], [len(t) for t, _ in vectors])
+        self._examples([ids[i] for i in order], np.asarray(toxic)[order])
         rows = np.repeat(np.arange(len(order), dtype=np.int32), [len(vectors[i][0]) for i in order])
         term = np.concatenate([vectors[i][0] for i in order] or [np.zeros(0)]).astype(np.int32)
         weight = np.concatenate([vectors[i][1] for i in order] or [np.zeros(0)]).astype(np.float32)
         by = np.argsort(term, kind="stable")
-        self._fill(np.bincount(term, minlength=terms), rows[by], weight[by])
-
-    def _fill(self, n: np.ndarray, rows: np.ndarray, weight: np.ndarray) -> None:
-        """From postings in the order of terms, ``n`` of each term."""
-        common = n * COMMON > len(self.ids)
+        self.fill([Part(np.bincount(term, minlength=terms), rows[by], weight[by], len(order))])
+
+    @classmethod
+    def without_parts(cls, ids: list, toxic: np.ndarray) -> BlockMaxIndex:
+        """Of examples in their order; ``fill`` makes it searchable."""
+        index = cls.__new__(cls)
+        index._examples(ids, toxic)
+        return index
+
+    def _examples(self, ids: list, toxic: np.ndarray) -> None:
+        self.ids, self.toxic, self.parts = ids, toxic, None
+        self.blocks = -(-len(ids) // BLOCK)
+
+    def fill(self, parts: list[Part]) -> None:
+        """Takes the parts, which lie one behind the other, unless it has them."""
+        if self.parts is not None:
+            return
+        self.parts = parts
+        n = np.concatenate([np.zeros(0, dtype=np.int32), *(p.n for p in parts)])
+        common = n.astype(np.int64) * COMMON > len(self.ids)
         self.place = np.where(common, np.cumsum(common) - 1, -1).astype(np.int32)
-        dense = np.repeat(common, n)
         self.dense = np.zeros((self.blocks, int(common.sum()), BLOCK), dtype=np.float32)
-        self.dense[rows[dense] // BLOCK, np.repeat(self.place, n)[dense], rows[dense] % BLOCK] = weight[dense]
+        at = 0
+        for part in parts:
+            to, (rows, weight) = at + len(part.n), part.common
+            place = self.place[at:to]
+            self.dense[rows // BLOCK, np.repeat(place[place >= 0], part.n[place >= 0]), rows % BLOCK] = weight
+            at = to
         self.top = np.ascontiguousarray(self.dense.max(axis=2, initial=0).T)
-        postings = np.empty(len(rows) - int(dense.sum()), dtype=POSTING)
-        postings["row"], postings["weight"] = rows[~dense], weight[~dense]
-        # As plain numbers, which are copied faster than records.
-        self.postings = postings.view(U)
-        # Postings of rare term t: start[t] to start[t + 1].
+        # Postings of rare term t: start[t] to start[t + 1], counted through all parts; each part's first.
         self.start = np.r_[0, np.cumsum(np.where(common, 0, n))].astype(np.int32)
-        self.common = n[common], rows[dense], weight[dense]
+        self.first = np.cumsum([0, *(len(p.postings) for p in parts)])
 
     def __getstate__(self):
-        """Postings only, with narrow row numbers: each executor keeps a file of them."""
-        n = np.diff(self.start)
-        n[self.place >= 0] = self.common[0]
-        rows, weight = np.zeros(n.sum(), dtype=np.int32), np.zeros(n.sum(), dtype=np.float32)
-        dense = np.repeat(self.place >= 0, n)
-        rows[dense], weight[dense], rows[~dense], weight[~dense] = *self.common[1:], self.postings.view(POSTING)["row"], self.postings.view(POSTING)["weight"]
-        return self.ids, self.toxic, self.blocks, n, rows.astype(np.min_scalar_type(len(self.ids))), weight
+        """Examples and parts."""
+        return self.ids, self.toxic, self.parts
 
     def __setstate__(self, state):
-        self.ids, self.toxic, self.blocks, n, rows, weight = state
-        self._fill(n, rows.astype(np.int32), weight)
+        ids, toxic, parts = state
+        self._examples(ids, toxic)
+        if parts is not None:
+            self.fill(parts)
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, but: list[int] = ()) -> list[tuple[float, int]]:
-        """The k examples, none of ``but``, with the largest cosine above 0: (cosine, example). Ties by example."""
+        """The k examples, none of ``but``, with the largest cosine above 0: (cosine, example). Ties by example. ``term`` rises."""
         if not self.blocks:
             return []
         weight, place = weight.astype(np.float32), self.place[term]
         rare = place < 0
         begin, end = self.start[term[rare]], self.start[term[rare] + 1]
         # A term's postings lie one behind the other: they are copied as slices, not gathered entry by entry.
-        found = np.concatenate([self.postings[a:z] for a, z in zip([0, *begin.tolist()], [0, *end.tolist()])]).view(POSTING)
+        found, edge = [np.zeros(0, dtype=U)], [*np.searchsorted(begin, self.first[:-1]), len(begin)]
+        for part, first, i, j in zip(self.parts, self.first, edge, edge[1:]):
+            postings = part.postings
+            found += [postings[a:z] for a, z in zip((begin[i:j] - first).tolist(), (end[i:j] - first).tolist())]
+        found = np.concatenate(found).view(POSTING)
         share = np.repeat(weight[rare], end - begin) * found["weight"]
         part = np.bincount(found["row"], weights=share, minlength=self.blocks * BLOCK).astype(float, copy=False)
         part[list(but)] = -np.inf
@@ -216,10 +269,11 @@ class ToxicityModel:
     without: float  # the same among examples without a word
     steps: tuple[np.ndarray, np.ndarray]  # calibration: votes and probabilities
     k: int = 15
-    shared: Broadcast | None = None  # this model on the executors, but for its steps
+    parts: list[Broadcast] = field(default_factory=list)  # of the index, which the driver doesn't hold
+    shared: Broadcast | None = None  # this model on the executors, but for its steps and parts
 
     def __getstate__(self):
-        return self.__dict__ | {"shared": None}
+        return self.__dict__ | {"shared": None, "parts": []}
 
     def on_executors(self, context: SparkContext) -> Broadcast:
         self.shared = self.shared or context.broadcast(self)
@@ -270,10 +324,56 @@ def worths(n: np.ndarray, toxic: np.ndarray, base: float, idf: np.ndarray) -> np
     return idf * (np.abs(lift * z) + 0.01)
 
 
-def _votes(shared):
+def _entries(shared):
+    """Postings of a part of a batch by part of the index."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts, nth, rows = shared.value
+        for batch in small(batches):
+            row, term = _flat(batch.column(1))
+            row = rows[np.searchsorted(nth, batch.column(0).to_numpy(zero_copy_only=False))][row]
+            part = np.searchsorted(cuts, term, side="right") - 1
+            by = np.argsort(part, kind="stable")
+            columns = [x[by] for x in (term, row, batch.column(2).flatten().to_numpy(zero_copy_only=False))]
+            found, first = np.unique(part[by], return_index=True)
+            ends = pa.array(np.r_[first, len(by)], pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x, t)) for x, t in zip(columns, (pa.int32(), pa.int32(), pa.float32()))]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), *lists], ["part", "terms", "rows", "weights"])
+
+    return run
+
+
+def _compiled(cuts: list[int], examples: int):
+    """A part of the index, pickled."""
+    def run(table: pa.Table) -> pa.Table:
+        nth = table["part"][0].as_py()
+        term, rows, weight = (np.concatenate([c.flatten().to_numpy() for c in table[x].chunks]) for x in ("terms", "rows", "weights"))
+        by = np.lexsort((rows, term))
+        n = np.bincount(term - cuts[nth], minlength=cuts[nth + 1] - cuts[nth])
+        part = pickle.dumps(Part(n, rows[by], weight[by], examples))
+        return pa.table([pa.array([nth], pa.int32()), pa.array([part], pa.binary())], ["part", "postings"])
+
+    return run
+
+
+def _parts(worded: DataFrame, nth: list[int], n: np.ndarray) -> list[Broadcast]:
+    """The parts of the index on the executors. ``nth`` are the examples in their order, ``n`` how many have each term."""
+    context = worded.sparkSession.sparkContext
+    at = (np.cumsum(n) - n) // ENTRIES_PER_PART
+    cuts = [*np.flatnonzero(np.diff(at, prepend=-1)).tolist(), len(n)]
+    by = np.argsort(nth)
+    shared = context.broadcast((np.array(cuts[:-1]), np.array(nth)[by], by.astype(np.int32)))
+    entries = worded.select("nth", "places", "weights").mapInArrow(_entries(shared), "part int, terms array<int>, rows array<int>, weights array<float>")
+    compiled = written(entries.groupBy("part").applyInArrow(_compiled(cuts, len(nth)), "part int, postings binary"), "parts")
+    shared.destroy()
+    # One after the other: the driver holds one.
+    return [context.broadcast(pickle.loads(compiled.filter(F.col("part") == i).first()["postings"])) for i in range(len(cuts) - 1)]
+
+
+def _votes(shared, parts: list[Broadcast]):
     """Vote of each example's neighbours, itself left out, beside its label."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, own = shared.value, {}
+        model.index.fill([p.value for p in parts])
         for n, i in enumerate(model.index.ids):
             own.setdefault(i, []).append(n)
         for batch in small(batches):
@@ -310,9 +410,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000) -> Toxic
     # The words of at most max_examples texts.
     seen = [c.to_numpy() for c in seen.toArrow().columns]
     by = np.argsort(seen[0].view(U))
-    vocabulary = seen[0].view(U)[by]
+    vocabulary, counts, bad = seen[0].view(U)[by], seen[1][by], seen[2][by]
+    del seen, by
 
-    df, texts = np.zeros(len(vocabulary)), 0
+    df = np.zeros(len(vocabulary))
     shared = context.broadcast(vocabulary)
     # One row per word at most, summed.
     counted = docs.select("text").mapInArrow(_frequencies(shared), "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
@@ -320,33 +421,34 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 20_000) -> Toxic
     texts = int(n[term < 0].sum())
     df[term[term >= 0]] = n[term >= 0]
     shared.destroy()
-    worth = worths(seen[1][by], seen[2][by], base, np.log((texts + 1) / (df + 1)) + 1).astype(np.float32)
+    worth = worths(counts, bad, base, np.log((texts + 1) / (df + 1)) + 1).astype(np.float32)
+    del counted, term, n, df, bad
 
     model = ToxicityModel(vocabulary, worth, BlockMaxIndex([], np.zeros(0), [], 0), base, base, (np.array([0.0]), np.array([base])))
     shared = context.broadcast(model)
-    placed = written(examples.mapInArrow(_placed(shared), f"doc_id {kind}, toxic int, places array<int>, weights array<float>"), "placed")
-    bare, bad = placed.filter("size(places) = 0").agg(F.count("*"), F.sum("toxic")).first()
-    model.without = bad / bare if bare else base
-    # At most max_examples rows.
-    worded = placed.filter("size(places) > 0")
-    table = worded.toArrow().combine_chunks()
+    placed = examples.mapInArrow(_placed(shared), f"doc_id {kind}, toxic int, head int, size int, places array<int>, weights array<float>")
+    placed = written(placed.select(F.monotonically_increasing_id().alias("nth"), "*"), "placed")
     shared.destroy()
+    bare, bad = placed.filter("size = 0").agg(F.count("*"), F.sum("toxic")).first()
+    model.without = bad / bare if bare else base
+    worded = placed.filter("size > 0")
+    # At most max_examples rows, without their words.
+    table = worded.select("nth", "doc_id", "toxic", "head", "size").toArrow()
     if table.num_rows:
-        ids, label, places, weights = (c.chunk(0) for c in table.columns)
-        ends = np.r_[0, np.cumsum(places.value_lengths().to_numpy(zero_copy_only=False))]
-        places, weights = places.flatten().to_numpy(), weights.flatten().to_numpy()
-        vectors = [(places[a:z], weights[a:z]) for a, z in zip(ends[:-1], ends[1:])]
-        model.index = BlockMaxIndex(ids.to_pylist(), label.to_numpy(), vectors, len(vocabulary))
-        del table, places, weights, vectors
-        votes = worded.mapInArrow(_votes(model.on_executors(context)), "vote double, toxic int").toArrow()
+        nth, ids, label, heads, sizes = (c.to_pylist() for c in table.columns)
+        order = index_order(ids, heads, sizes)
+        model.index = BlockMaxIndex.without_parts([ids[i] for i in order], np.array(label)[order])
+        model.parts = _parts(worded, [nth[i] for i in order], counts)
+        votes = worded.select("doc_id", "toxic", "places", "weights").mapInArrow(_votes(model.on_executors(context), model.parts), "vote double, toxic int").toArrow()
         model.steps = isotonic(votes["vote"].to_numpy(), votes["toxic"].to_numpy().astype(float))
     return model
 
 
-def _scored(shared, steps: tuple[np.ndarray, np.ndarray], with_text: bool, at: int):
+def _scored(shared, parts: list[Broadcast], steps: tuple[np.ndarray, np.ndarray], with_text: bool, at: int):
     """Rows with score and evidence, or (``with_text``) only rows below one half."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = replace(shared.value, steps=steps), {}
+        model.index.fill([p.value for p in parts])
         for batch in small(batches):
             score = np.full(batch.num_rows, model.without)
             evidence = [""] * batch.num_rows
@@ -376,11 +478,11 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """
     shared = model.on_executors(docs.sparkSession.sparkContext)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = docs.select("doc_id", "text").mapInArrow(_scored(shared, model.steps, False, 1), f"doc_id {kind}, score double, evidence string")
+    scored = docs.select("doc_id", "text").mapInArrow(_scored(shared, model.parts, model.steps, False, 1), f"doc_id {kind}, score double, evidence string")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """The rows of ``docs``, all columns, that are not predicted toxic."""
     shared = model.on_executors(docs.sparkSession.sparkContext)
-    return docs.mapInArrow(_scored(shared, model.steps, True, docs.columns.index("text")), docs.schema)
+    return docs.mapInArrow(_scored(shared, model.parts, model.steps, True, docs.columns.index("text")), docs.schema)
